@@ -251,15 +251,18 @@ def drift_features(reference: DataFrame, current: DataFrame, columns: list[str]
     else:
         scores = spark.createDataFrame([], "column_name string, psi double, ks_statistic double")
     # names and scores have one row per feature: a bounded, tiny join.
-    joined = names.join(F.broadcast(scores), "column_name", "left")
-    p = ks_pvalue(F.col("n_reference"), F.col("n_current"), F.col("ks_statistic"), method)
-    ok = F.col("psi").isNotNull()
-    return joined.select(
+    joined = (names.join(F.broadcast(scores), "column_name", "left")
+              .withColumnsRenamed({"psi": "_psi", "ks_statistic": "_d"}))
+    # unrounded scores get their own names so the rounded outputs cannot shadow them
+    scored = joined.withColumn(
+        "_p", ks_pvalue(F.col("n_reference"), F.col("n_current"), F.col("_d"), method))
+    ok = F.col("_psi").isNotNull()
+    return scored.select(
         "column_name", "n_reference", "n_current",
-        F.when(ok, F.round("psi", 6)).otherwise(F.lit(0.0)).alias("psi"),
-        F.when(ok, F.round("ks_statistic", 6)).alias("ks_statistic"),
-        F.when(ok, F.round(p, 6)).otherwise(F.lit(1.0)).alias("ks_pvalue"),
-        F.when(ok, (F.col("psi") > psi_limit) | (p < p_limit)).otherwise(F.lit(False))
+        F.when(ok, F.round("_psi", 6)).otherwise(F.lit(0.0)).alias("psi"),
+        F.when(ok, F.round("_d", 6)).alias("ks_statistic"),
+        F.when(ok, F.round("_p", 6)).otherwise(F.lit(1.0)).alias("ks_pvalue"),
+        F.when(ok, (F.col("_psi") > psi_limit) | (F.col("_p") < p_limit)).otherwise(F.lit(False))
         .alias("drifted"),
     )
 
