@@ -50,17 +50,21 @@ def pooled(reference: DataFrame, current: DataFrame, columns: list[str]) -> Data
 
 
 def side_stats(both: DataFrame, columns: list[str]) -> dict[str, dict]:
-    """n / min / max per side and feature in one aggregate (a single row to the driver)."""
-    aggs = []
-    for i, c in enumerate(columns):
-        for s in (SIDE_REF, SIDE_CUR):
-            v = F.when(F.col("side") == s, F.col(c))
-            aggs += [F.count(v).alias(f"n{s}_{i}"), F.min(v).alias(f"lo{s}_{i}"),
-                     F.max(v).alias(f"hi{s}_{i}")]
-    row = both.agg(*aggs).first()
-    out = {}
-    for i, c in enumerate(columns):
-        out[c] = {k: row[f"{k}_{i}"] for k in ("n0", "n1", "lo0", "lo1", "hi0", "hi1")}
+    """n / min / max per side and feature.
+
+    The pooled frame is unpivoted to (side, column_name, value) and grouped;
+    the partial aggregate leaves at most 2 x features rows per task, so the
+    shuffle is tiny and the generated code stays small for wide frames.
+    """
+    long = both.unpivot(["side"], columns, "column_name", "value")
+    rows = (long.groupBy("column_name", "side")
+            .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+            .collect())
+    out = {c: {"n0": 0, "n1": 0, "lo0": None, "lo1": None, "hi0": None, "hi1": None}
+           for c in columns}
+    for r in rows:
+        s = int(r["side"])
+        out[r["column_name"]].update({f"n{s}": int(r["n"]), f"lo{s}": r["lo"], f"hi{s}": r["hi"]})
     return out
 
 
@@ -72,11 +76,20 @@ def bin_edges(lo: float, hi: float, bins: int = schema.PSI_BINS) -> list[float]:
 
 
 def bin_index(x: Column, edges: list[float]) -> Column:
-    """Bin of ``x`` for edges e0..eB: number of inner edges at or below x."""
-    idx = F.lit(0)
-    for e in edges[1:-1]:
-        idx = idx + (x >= F.lit(e)).cast("int")
-    return idx
+    """Bin of ``x`` for edges e0..eB: the number of inner edges at or below x.
+
+    Edges never decrease, so that count is the highest inner edge x reaches;
+    a CASE chain from the top keeps the generated code small (a sum of
+    casts per edge made the fused stage too large to be JIT-compiled).
+    """
+    inner = edges[1:-1]
+    if not inner:
+        return F.when(x.isNotNull(), F.lit(0))
+    out = None
+    for k in range(len(inner), 0, -1):
+        cond = x >= F.lit(inner[k - 1])
+        out = F.when(cond, F.lit(k)) if out is None else out.when(cond, F.lit(k))
+    return out.otherwise(F.when(x.isNotNull(), F.lit(0)))
 
 
 BINS_SCHEMA = "column_name string, bin int, reference_count bigint, current_count bigint"
@@ -98,17 +111,19 @@ def psi_bins(reference: DataFrame, current: DataFrame, columns: list[str] | None
     edges = {c: bin_edges(min(stats[c]["lo0"], stats[c]["lo1"]),
                           max(stats[c]["hi0"], stats[c]["hi1"]), bins) for c in usable}
     binned = both.select("side", *[
-        F.when(F.col(c).isNotNull(), bin_index(F.col(c), edges[c])).alias(f"b{i}")
-        for i, c in enumerate(usable)])
-    aggs = [F.count_if((F.col("side") == s) & (F.col(f"b{i}") == k)).alias(f"c{s}_{i}_{k}")
-            for i in range(len(usable)) for s in (SIDE_REF, SIDE_CUR) for k in range(bins)]
-    wide = binned.agg(*aggs)
-    items = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("bin"),
-                 F.col(f"c0_{i}_{k}").cast("bigint").alias("reference_count"),
-                 F.col(f"c1_{i}_{k}").cast("bigint").alias("current_count"))
-        for i, c in enumerate(usable) for k in range(bins)])
-    return wide.select(F.explode(items).alias("r")).select("r.*")
+        bin_index(F.col(c), edges[c]).alias(c) for c in usable])
+    counts = (binned.unpivot(["side"], usable, "column_name", "bin")
+              .where(F.col("bin").isNotNull())
+              .groupBy("column_name", "bin")
+              .agg(F.count_if(F.col("side") == SIDE_REF).alias("reference_count"),
+                   F.count_if(F.col("side") == SIDE_CUR).alias("current_count")))
+    # every (feature, bin) pair, so empty bins still count: features x bins rows
+    grid = spark.createDataFrame([(c, k) for c in usable for k in range(bins)],
+                                 "column_name string, bin int")
+    return (grid.join(F.broadcast(counts), ["column_name", "bin"], "left")
+            .select("column_name", "bin",
+                    F.coalesce("reference_count", F.lit(0)).cast("bigint").alias("reference_count"),
+                    F.coalesce("current_count", F.lit(0)).cast("bigint").alias("current_count")))
 
 
 def psi_from_bins(bins_df: DataFrame, eps: float = schema.PSI_EPSILON) -> DataFrame:

@@ -37,8 +37,7 @@ def reference_bins(reference: DataFrame, edges: dict[str, list[float]],
     dtypes = {f.name: f.dataType for f in reference.schema.fields}
     cols = list(edges)
     binned = reference.select(*[
-        F.when(to_double(c, dtypes[c]).isNotNull(), bin_index(to_double(c, dtypes[c]), edges[c]))
-        .alias(f"b{i}") for i, c in enumerate(cols)])
+        bin_index(to_double(c, dtypes[c]), edges[c]).alias(f"b{i}") for i, c in enumerate(cols)])
     wide = binned.agg(*[F.count_if(F.col(f"b{i}") == k).alias(f"c{i}_{k}")
                         for i in range(len(cols)) for k in range(bins)])
     items = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("bin"),
@@ -54,8 +53,7 @@ def windowed_bins(stream: DataFrame, ts_col: str, edges: dict[str, list[float]],
     cols = list(edges)
     ts = F.col(ts_col).cast("timestamp")
     binned = stream.select(ts.alias("event_ts"), *[
-        F.when(to_double(c, dtypes[c]).isNotNull(), bin_index(to_double(c, dtypes[c]), edges[c]))
-        .alias(c) for c in cols])
+        bin_index(to_double(c, dtypes[c]), edges[c]).alias(c) for c in cols])
     long = binned.unpivot(["event_ts"], cols, "column_name", "bin").where(F.col("bin").isNotNull())
     return (long.withWatermark("event_ts", watermark)
             .groupBy(F.window("event_ts", window).alias("window"), "column_name", "bin")
