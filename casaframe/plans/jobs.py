@@ -10,8 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from casaframe import schema
 from casaframe.functions.names import select_known_columns
 from casaframe.operators import drift as drift_ops
@@ -48,8 +46,10 @@ def ingest(spark: SparkSession, paths: Paths, run_log: RunLog | None = None) ->
     clean = replace_table(kept, paths.raw_table)
     prof = raw_profile(raw)
     if run_log is not None:
+        run_id = RunLog.new_run_id()
         m = profile_metrics(prof).first()
-        run_log.log_metrics(RunLog.new_run_id(), "ingest", m.asDict())
+        run_log.log_metrics(run_id, "ingest", m.asDict())
+        run_log.log_artifact(run_id, "ingest", "raw_data_stats.json", profile_dict(prof))
     return clean
 
 

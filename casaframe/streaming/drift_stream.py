@@ -100,3 +100,14 @@ def window_psi(spark: SparkSession, sink_dir: str, ref_bins: DataFrame,
                          ((q - p) * F.ln(q / p)).alias("term"))
             .groupBy("window_start", "window_end", "column_name")
             .agg(F.sum("term").alias("psi"), F.sum("current_count").alias("n_current")))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark dropped as late, summed over the query's recent progress."""
+    total = 0
+    for prog in query.recentProgress or []:
+        for op in prog.get("stateOperators", []) if isinstance(prog, dict) else prog.stateOperators:
+            val = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(
+                op, "numRowsDroppedByWatermark", 0)
+            total += int(val or 0)
+    return total

@@ -55,3 +55,11 @@ def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"), "NA"), (1.0, "NAmes")], "x double, s string")
     rows = missing_to_null(df).collect()
     assert rows[0].x is None and rows[0].s is None and rows[1].s == "NAmes"
+
+
+def test_text_number_guard(spark):
+    from casaframe.functions.exprs import to_double
+
+    df = spark.createDataFrame([(" 12 ",), ("1d",), ("1_0",), ("nan",), ("-1.5e2",), (".5",)], "s string")
+    got = [r[0] for r in df.select(to_double("s", df.schema["s"].dataType)).collect()]
+    assert got == [12.0, None, None, None, -150.0, 0.5]

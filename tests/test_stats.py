@@ -99,3 +99,17 @@ def test_cumulative_counts_across_partitions(spark):
     cum = order_stats.cumulative_counts(spark.createDataFrame(pdf), ["n"], num_partitions=7)
     got = sorted((r.value, r.cum_n, r.total_n) for r in cum.collect())
     assert got == [(float(i), i + 1, 100) for i in range(100)]
+
+
+def test_partition_invariance(spark):
+    from casaframe.operators import drift
+
+    rng = np.random.RandomState(11)
+    a = spark.createDataFrame(pd.DataFrame({"x": rng.normal(0, 1, 3000).round(2)}))
+    b = spark.createDataFrame(pd.DataFrame({"x": rng.normal(0.1, 1, 2500).round(2)}))
+    one = drift.drift_features(a.coalesce(1), b.coalesce(1)).first()
+    many = drift.drift_features(a.repartition(8), b.repartition(8)).first()
+    assert one == many
+    d1 = duplicate_report(a.coalesce(1)).first()
+    d8 = duplicate_report(a.repartition(8)).first()
+    assert d1 == d8

@@ -48,3 +48,17 @@ def test_stream_drift_single_batch(spark, tmp_path):
     n_cur = cur.count()
     assert total == {"gr_liv_area": n_cur, "saleprice": n_cur}
     assert psi.where(F.col("psi") < 0).count() == 0
+
+
+def test_late_rows_counted(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("v", T.DoubleType())])
+    src = str(tmp_path / "late")
+    import datetime as dt
+    spark.createDataFrame([(dt.datetime(2020, 1, 10), 1.0)], schema).write.parquet(src + "/a")
+    q = ds.start_stream_drift(spark, src + "/*", schema, "ts", {"v": [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]},
+                              str(tmp_path / "sink"), str(tmp_path / "ckpt"), window="1 day",
+                              watermark="1 day")
+    q.awaitTermination()
+    assert ds.late_rows(q) == 0
