@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from casaframe import schema
 from casaframe.functions.names import normalize_columns, select_known_columns
 from casaframe.operators import drift, duplicates, features, model, outliers, profile, validate
+from casaframe.operators.clean import clean_view
 from casaframe.operators.split import is_test_row
 from casaframe.session import shared_dir
 from casaframe.sources import fixtures as fx
@@ -151,6 +152,26 @@ def q_prepare_xy(spark, sf):
                             (schema.FEATURE_RATIO_BATH, schema.FEATURE_AREA_ROOM)})
 
 
+@query("profile_metrics", _with(FIX) + "SELECT CAST(count(*) AS BIGINT) AS raw_rows, "
+       f"CAST({len(RAW_COLS)} AS BIGINT) AS raw_columns, CAST(" + " + ".join(
+           f"(count(*) - count({c}))" for c in RAW_COLS) + " AS BIGINT) AS raw_total_nulls "
+       "FROM properties_raw")
+def q_profile_metrics(spark, sf):
+    return profile.profile_metrics(profile.raw_profile(fx.properties_raw(spark, sf)))
+
+
+@query("table_roundtrip", _with(FIX) + "SELECT * FROM properties_clean")
+def q_table_roundtrip(spark, sf):
+    from casaframe.sources.readers import load_prepared
+    from casaframe.sources.sinks import replace_table
+
+    path = shared_dir(spark, "tables", "properties_raw", unique=True)
+    replace_table(fx.properties_raw(spark, sf), path)
+    # the table exists now, so this reads it back instead of rebuilding it
+    raw = load_prepared(spark, path, lambda: fx.properties_raw(spark, sf))
+    return clean_view(raw)
+
+
 # ------------------------------------------------------------------ validation
 
 def _rules_sql(source: str, cols_present: bool = True) -> str:
@@ -221,6 +242,33 @@ def q_request_validation(spark, sf):
                       F.array_join(errs, "; ").alias("errors"))
 
 
+def _defaults_sql() -> str:
+    cols = []
+    for name, kind, required, *_ in schema.REQUEST_FIELDS:
+        if required or kind == "str":
+            cols.append(name)
+        else:
+            t = "BIGINT" if kind == "int" else "DOUBLE"
+            cols.append(f"CAST(coalesce(CAST({name} AS DOUBLE), 0.0) AS {t}) AS {name}")
+    conds = []
+    for name, kind, required, lo, lo_incl, hi in schema.REQUEST_FIELDS:
+        if required:
+            conds.append(f"{name} IS NOT NULL")
+        if kind != "str" and lo is not None:
+            conds.append(f"coalesce(NOT ({name} {'<' if lo_incl else '<='} {lo}), true)")
+        if kind != "str" and hi is not None:
+            conds.append(f"coalesce(NOT ({name} > {hi}), true)")
+    return (_with(fx.duckdb_request_cte()) + "SELECT order_id, " + ", ".join(cols) +
+            " FROM requests WHERE " + " AND ".join(conds))
+
+
+@query("request_defaults", _defaults_sql())
+def q_request_defaults(spark, sf):
+    req = fx.requests(spark, sf).drop("l_shipdate")
+    valid, _ = validate.split_requests(req)
+    return valid
+
+
 # ------------------------------------------------------------------ outliers
 
 def _zscore_sql(table: str, col: str) -> str:

@@ -30,3 +30,13 @@ def write_csv(df: DataFrame, path: str) -> str:
     """CSV with header, no index; missing values as empty cells."""
     df.write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+def raw_table_ddl(name: str, location: str, table_schema=None) -> str:
+    """``CREATE TABLE ... USING parquet`` text for the declared raw schema."""
+    from casaframe import schema as sch
+
+    fields = (table_schema or sch.RAW_SCHEMA).fields
+    cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"
+                        + ("" if f.nullable else " NOT NULL") for f in fields)
+    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols}\n) USING parquet LOCATION '{location}'"

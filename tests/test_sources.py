@@ -63,3 +63,13 @@ def test_text_number_guard(spark):
     df = spark.createDataFrame([(" 12 ",), ("1d",), ("1_0",), ("nan",), ("-1.5e2",), (".5",)], "s string")
     got = [r[0] for r in df.select(to_double("s", df.schema["s"].dataType)).collect()]
     assert got == [12.0, None, None, None, -150.0, 0.5]
+
+
+def test_raw_table_ddl_runs(spark, tmp_path):
+    from casaframe.sources.sinks import raw_table_ddl
+
+    ddl = raw_table_ddl("props_raw_ddl_test", str(tmp_path / "t"))
+    assert "`saleprice` INT NOT NULL" in ddl and "USING parquet" in ddl
+    spark.sql(ddl)
+    assert "lot_frontage" in spark.table("props_raw_ddl_test").columns
+    spark.sql("DROP TABLE props_raw_ddl_test")
