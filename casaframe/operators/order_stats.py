@@ -10,7 +10,12 @@ value of a feature into one task.  Instead:
    branch sees the same assignment even after a lost executor;
 3. per-(partition, feature) totals -- at most ``partitions x features`` rows,
    a bound known at plan time -- give exclusive offsets, broadcast back;
-4. the running sum is a window inside (partition, feature) plus the offset.
+4. the running sums are taken in place: the offsets are joined by broadcast
+   (which keeps the range partitioning), each partition is sorted locally and
+   a ``mapInPandas`` pass adds up the weights in order.  A window over
+   (partition, feature) would need a second full exchange, because Spark no
+   longer knows the checkpointed partitioning; ``in_place=False`` keeps that
+   JVM-only form.
 
 The result carries, for each distinct value, the inclusive cumulative weight
 and the feature total: enough for exact quantiles and empirical CDFs.
@@ -22,6 +27,7 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casaframe.session import reliable_checkpoint
 
@@ -42,7 +48,8 @@ def long_values(df: DataFrame, columns: list[str], value_exprs: dict | None = No
 
 
 def cumulative_counts(counts: DataFrame, weights: list[str], feature_col: str = "feature",
-                      value_col: str = "value", num_partitions: int | None = None) -> DataFrame:
+                      value_col: str = "value", num_partitions: int | None = None,
+                      in_place: bool = True) -> DataFrame:
     """Inclusive running sums of ``weights`` per feature in value order.
 
     ``counts`` must hold one row per (feature, value).  Output columns:
@@ -63,15 +70,56 @@ def cumulative_counts(counts: DataFrame, weights: list[str], feature_col: str =
         *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_off_{w}") for w in weights],
         *[F.sum(w).over(whole).alias(f"total_{w}") for w in weights],
     )
-    # offsets has at most parts x features rows, so broadcasting it is bounded.
+    # offsets has at most parts x features rows, so broadcasting it is bounded;
+    # the broadcast join keeps the range partitioning of ``ranked``.
     joined = ranged.join(F.broadcast(offsets), [PART, feature_col])
-    running = Window.partitionBy(PART, feature_col).orderBy(value_col).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return joined.select(
-        feature_col, value_col, *weights,
-        *[(F.sum(w).over(running) + F.col(f"_off_{w}")).alias(f"cum_{w}") for w in weights],
-        *[F.col(f"total_{w}") for w in weights],
-    )
+    if not in_place:
+        running = Window.partitionBy(PART, feature_col).orderBy(value_col).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        return joined.select(
+            feature_col, value_col, *weights,
+            *[(F.sum(w).over(running) + F.col(f"_off_{w}")).alias(f"cum_{w}") for w in weights],
+            *[F.col(f"total_{w}") for w in weights],
+        )
+    # Every range partition already holds whole (partition, feature) runs, so the
+    # running sums are taken in place over a local sort: no second exchange.
+    sorted_parts = joined.sortWithinPartitions(feature_col, value_col)
+    out_schema = T.StructType(
+        [sorted_parts.schema[feature_col], sorted_parts.schema[value_col]]
+        + [T.StructField(w, T.LongType()) for w in weights]
+        + [T.StructField(f"cum_{w}", T.LongType()) for w in weights]
+        + [T.StructField(f"total_{w}", T.LongType()) for w in weights])
+    return sorted_parts.mapInPandas(
+        _running_sums(feature_col, value_col, weights), out_schema)
+
+
+def _running_sums(feature_col: str, value_col: str, weights: list[str]):
+    """Per-partition running sums over batches sorted by (feature, value)."""
+    def run(batches):
+        import pandas as pd
+
+        carry: dict = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            out = pd.DataFrame({feature_col: pdf[feature_col], value_col: pdf[value_col]})
+            for w in weights:
+                vals = pdf[w].astype("int64")
+                within = vals.groupby(pdf[feature_col], sort=False).cumsum()
+                start = pd.Series([carry.get((f, w), o) for f, o in
+                                   zip(pdf[feature_col], pdf[f"_off_{w}"])], index=pdf.index)
+                # start is the running total before this batch: the partition offset
+                # for a feature's first batch, the carried total afterwards
+                cum = within + start.groupby(pdf[feature_col], sort=False).transform("first")
+                out[w] = vals
+                out[f"cum_{w}"] = cum.astype("int64")
+                for f, v in cum.groupby(pdf[feature_col], sort=False).last().items():
+                    carry[(f, w)] = int(v)
+            for w in weights:
+                out[f"total_{w}"] = pdf[f"total_{w}"].astype("int64")
+            yield out[[feature_col, value_col, *weights, *[f"cum_{w}" for w in weights],
+                       *[f"total_{w}" for w in weights]]]
+    return run
 
 
 def value_counts(long_df: DataFrame, feature_col: str = "feature",

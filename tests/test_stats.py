@@ -113,3 +113,26 @@ def test_partition_invariance(spark):
     d1 = duplicate_report(a.coalesce(1)).first()
     d8 = duplicate_report(a.repartition(8)).first()
     assert d1 == d8
+
+
+def test_running_sums_carry_across_batches(spark):
+    # tiny Arrow batches force every partition to be processed in several pieces
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = np.random.RandomState(5)
+        pdf = pd.DataFrame({"feature": rng.choice(["a", "b", "c"], 500),
+                            "value": rng.randint(0, 120, 500).astype(float)})
+        counts = order_stats.value_counts(spark.createDataFrame(pdf))
+        got = {(r.feature, r.value): (r.cum_n, r.total_n)
+               for r in order_stats.cumulative_counts(counts, ["n"], num_partitions=3).collect()}
+        window = {(r.feature, r.value): (r.cum_n, r.total_n)
+                  for r in order_stats.cumulative_counts(counts, ["n"], num_partitions=3,
+                                                         in_place=False).collect()}
+        assert got == window
+        for f, grp in pdf.groupby("feature"):
+            vc = grp["value"].value_counts().sort_index().cumsum()
+            for v, c in vc.items():
+                assert got[(f, v)] == (c, len(grp))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
