@@ -542,11 +542,11 @@ def _baseline_metrics(spark, sf) -> DataFrame:
     clean = fx.properties_clean(spark, sf)
     frames = []
     for order, (name, feat) in enumerate(BASELINES):
+        # the fit is two numbers (one aggregate row); they enter the plan as literals
         fit = clean.agg(F.regr_slope("saleprice", feat).alias("b"),
-                        F.regr_intercept("saleprice", feat).alias("a"))
-        pred = clean.crossJoin(F.broadcast(fit)).select(  # fit is one row by construction
-            F.col("saleprice").alias("label"),
-            (F.col("a") + F.col("b") * F.col(feat)).alias("prediction"))
+                        F.regr_intercept("saleprice", feat).alias("a")).first()
+        pred = clean.select(F.col("saleprice").alias("label"),
+                            (F.lit(fit["a"]) + F.lit(fit["b"]) * F.col(feat)).alias("prediction"))
         m = model.regression_metrics(pred)
         frames.append(m.select(F.lit(name).alias("model"), F.lit(order).alias("model_order"),
                                "mae", "rmse", "r2"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF001, SF01
+from conftest import SF001, SF01  # noqa: F401
 from oracle import compare, duck
 
 ORACLE = entry.oracle_sql()

@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from casaframe.operators import order_stats
 from casaframe.operators.duplicates import duplicate_report, mark_duplicates
