@@ -135,3 +135,23 @@ def test_running_sums_carry_across_batches(spark):
                 assert got[(f, v)] == (c, len(grp))
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_hot_value_third_of_rows(spark):
+    # one value holds a third of all rows: quantiles stay exact and spread over partitions
+    rng = np.random.RandomState(9)
+    vals = np.concatenate([np.full(3000, 42.0), rng.normal(0, 50, 6000).round(1)])
+    long = spark.createDataFrame(pd.DataFrame({"feature": "x", "value": vals})).repartition(8)
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    got = order_stats.exact_quantiles(long, probs, num_partitions=8)["x"]
+    assert np.allclose(got, np.quantile(vals, probs), atol=1e-9)
+
+
+def test_hot_duplicate_group(spark):
+    # a third of the rows are the same record
+    rows = [(i, "same", 1) for i in range(300)] + [(300 + i, f"t{i}", i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, text string, n int").repartition(8)
+    assert duplicate_report(df, ["text", "n"]).first().duplicate_rows == 299
+    marks = mark_duplicates(df, "k", ["text", "n"])
+    assert marks.where("is_duplicate").count() == 299
+    assert marks.where("NOT is_duplicate AND text = 'same'").first().k == 0
