@@ -143,12 +143,64 @@ def ks_statistic(reference: DataFrame, current: DataFrame,
                  columns: list[str] | None = None) -> DataFrame:
     """column_name, n_reference, n_current, ks_statistic (D = max |F_ref - F_cur|)."""
     columns = numeric_columns(reference, current) if columns is None else columns
+    return ks_from_counts(distinct_counts(reference, current, columns))
+
+
+def distinct_counts(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value, n_ref, n_cur) for every distinct value, range-partitioned
+    and checkpointed: the one pass over both inputs that the drift report needs."""
     both = pooled(reference, current, columns)
     long = both.unpivot(["side"], columns, "column_name", "value").where(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(
         F.count_if(F.col("side") == SIDE_REF).alias("n_ref"),
         F.count_if(F.col("side") == SIDE_CUR).alias("n_cur"))
-    ranked = order_stats.cumulative_counts(counts, ["n_ref", "n_cur"], "column_name", "value")
+    return order_stats.range_partitioned(counts, "column_name", "value")
+
+
+def stats_from_counts(counts: DataFrame, columns: list[str]) -> dict[str, dict]:
+    """Per side n / min / max from the distinct-value table (one row per feature)."""
+    rows = counts.groupBy("column_name").agg(
+        F.sum("n_ref").alias("n0"), F.sum("n_cur").alias("n1"),
+        F.min(F.when(F.col("n_ref") > 0, F.col("value"))).alias("lo0"),
+        F.max(F.when(F.col("n_ref") > 0, F.col("value"))).alias("hi0"),
+        F.min(F.when(F.col("n_cur") > 0, F.col("value"))).alias("lo1"),
+        F.max(F.when(F.col("n_cur") > 0, F.col("value"))).alias("hi1")).collect()
+    out = {c: {"n0": 0, "n1": 0, "lo0": None, "lo1": None, "hi0": None, "hi1": None}
+           for c in columns}
+    for r in rows:
+        out[r["column_name"]] = {"n0": int(r["n0"]), "n1": int(r["n1"]), "lo0": r["lo0"],
+                                 "lo1": r["lo1"], "hi0": r["hi0"], "hi1": r["hi1"]}
+    return out
+
+
+def bins_from_counts(counts: DataFrame, stats: dict, usable: list[str],
+                     bins: int = schema.PSI_BINS) -> DataFrame:
+    """Dense PSI histogram from the distinct-value table (same bins as ``psi_bins``)."""
+    spark = counts.sparkSession
+    if not usable:
+        return spark.createDataFrame([], BINS_SCHEMA)
+    edges = {c: bin_edges(min(stats[c]["lo0"], stats[c]["lo1"]),
+                          max(stats[c]["hi0"], stats[c]["hi1"]), bins) for c in usable}
+    idx = None
+    for c in usable:
+        cond = F.col("column_name") == F.lit(c)
+        expr = bin_index(F.col("value"), edges[c])
+        idx = F.when(cond, expr) if idx is None else idx.when(cond, expr)
+    hist = (counts.select("column_name", idx.alias("bin"), "n_ref", "n_cur")
+            .where(F.col("bin").isNotNull())
+            .groupBy("column_name", "bin")
+            .agg(F.sum("n_ref").alias("reference_count"), F.sum("n_cur").alias("current_count")))
+    grid = spark.createDataFrame([(c, k) for c in usable for k in range(bins)],
+                                 "column_name string, bin int")
+    return (grid.join(F.broadcast(hist), ["column_name", "bin"], "left")
+            .select("column_name", "bin",
+                    F.coalesce("reference_count", F.lit(0)).cast("bigint").alias("reference_count"),
+                    F.coalesce("current_count", F.lit(0)).cast("bigint").alias("current_count")))
+
+
+def ks_from_counts(counts: DataFrame) -> DataFrame:
+    """column_name, n_reference, n_current, ks_statistic from the distinct-value table."""
+    ranked = order_stats.running_sums(counts, ["n_ref", "n_cur"], "column_name", "value")
     gap = F.abs(F.col("cum_n_ref") / F.col("total_n_ref") - F.col("cum_n_cur") / F.col("total_n_cur"))
     return ranked.groupBy("column_name").agg(
         F.max("total_n_ref").cast("bigint").alias("n_reference"),
@@ -253,15 +305,17 @@ def drift_features(reference: DataFrame, current: DataFrame, columns: list[str]
     spark = reference.sparkSession
     if not columns:
         return spark.createDataFrame([], FEATURES_SCHEMA)
-    both = pooled(reference, current, columns)
-    stats = side_stats(both, columns)
+    # one pass over both inputs: every statistic below comes from the distinct-value table
+    counts = distinct_counts(reference, current, columns)
+    stats = stats_from_counts(counts, columns)
     names = spark.createDataFrame(
         [(c, int(stats[c]["n0"]), int(stats[c]["n1"])) for c in columns],
         "column_name string, n_reference bigint, n_current bigint")
     usable = [c for c in columns if stats[c]["n0"] >= 2 and stats[c]["n1"] >= 2]
     if usable:
-        psi_df = psi_from_bins(psi_bins(reference, current, usable, stats=stats))
-        ks_df = ks_statistic(reference, current, usable).select("column_name", "ks_statistic")
+        psi_df = psi_from_bins(bins_from_counts(counts, stats, usable))
+        ks_df = (ks_from_counts(counts).where(F.col("column_name").isin(usable))
+                 .select("column_name", "ks_statistic"))
         scores = psi_df.join(ks_df, "column_name")
     else:
         scores = spark.createDataFrame([], "column_name string, psi double, ks_statistic double")

@@ -47,6 +47,20 @@ def long_values(df: DataFrame, columns: list[str], value_exprs: dict | None = No
     return out.where(F.col(value_col).isNotNull())
 
 
+def range_partitioned(counts: DataFrame, feature_col: str = "feature", value_col: str = "value",
+                      num_partitions: int | None = None) -> DataFrame:
+    """``counts`` range-partitioned on (feature, value) with its partition id, checkpointed.
+
+    The result can feed several aggregates (and ``running_sums``) that all
+    see the same rows and partition ids, from one pass over the input.
+    """
+    spark = counts.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (counts.repartitionByRange(parts, feature_col, value_col)
+              .withColumn(PART, F.spark_partition_id()))
+    return reliable_checkpoint(ranged)
+
+
 def cumulative_counts(counts: DataFrame, weights: list[str], feature_col: str = "feature",
                       value_col: str = "value", num_partitions: int | None = None,
                       in_place: bool = True) -> DataFrame:
@@ -55,12 +69,13 @@ def cumulative_counts(counts: DataFrame, weights: list[str], feature_col: str =
     ``counts`` must hold one row per (feature, value).  Output columns:
     feature, value, each weight, ``cum_<w>`` and ``total_<w>``.
     """
-    spark = counts.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (counts.repartitionByRange(parts, feature_col, value_col)
-              .withColumn(PART, F.spark_partition_id()))
-    ranged = reliable_checkpoint(ranged)
+    ranged = range_partitioned(counts, feature_col, value_col, num_partitions)
+    return running_sums(ranged, weights, feature_col, value_col, in_place)
+
 
+def running_sums(ranged: DataFrame, weights: list[str], feature_col: str = "feature",
+                 value_col: str = "value", in_place: bool = True) -> DataFrame:
+    """Running sums over the output of ``range_partitioned``."""
     per_part = ranged.groupBy(PART, feature_col).agg(*[F.sum(w).alias(w) for w in weights])
     before = Window.partitionBy(feature_col).orderBy(PART).rowsBetween(
         Window.unboundedPreceding, -1)
