@@ -157,13 +157,21 @@ def _lerp(a: float, b: float, t: float) -> float:
 def exact_quantiles(long_df: DataFrame, probs: list[float], totals: dict[str, int] | None = None,
                     feature_col: str = "feature", value_col: str = "value",
                     num_partitions: int | None = None) -> dict[str, list[float | None]]:
-    """Exact linear-interpolation quantiles per feature (numpy/pandas default).
+    """Exact linear-interpolation quantiles per feature (numpy/pandas default)."""
+    ranged = range_partitioned(value_counts(long_df, feature_col, value_col),
+                               feature_col, value_col, num_partitions)
+    return quantiles_from_ranged(ranged, probs, totals, feature_col, value_col)
+
+
+def quantiles_from_ranged(ranged: DataFrame, probs: list[float],
+                          totals: dict[str, int] | None = None, feature_col: str = "feature",
+                          value_col: str = "value") -> dict[str, list[float | None]]:
+    """Quantiles from a range-partitioned (feature, value, n) table.
 
     Only the at most ``2 x len(probs)`` ranked rows per feature that hold the
     needed order statistics reach the driver.
     """
-    ranked = cumulative_counts(value_counts(long_df, feature_col, value_col), ["n"],
-                               feature_col, value_col, num_partitions)
+    ranked = running_sums(ranged, ["n"], feature_col, value_col)
     if totals is None:
         totals = {r[0]: int(r[1]) for r in
                   ranked.select(feature_col, "total_n").distinct().collect()}

@@ -155,3 +155,15 @@ def test_hot_duplicate_group(spark):
     marks = mark_duplicates(df, "k", ["text", "n"])
     assert marks.where("is_duplicate").count() == 299
     assert marks.where("NOT is_duplicate AND text = 'same'").first().k == 0
+
+
+def test_approx_mode_runs_and_agrees_on_z(spark):
+    rng = np.random.RandomState(4)
+    vals = np.concatenate([rng.normal(0, 1, 3000), [10.0, -9.0]])
+    df = spark.createDataFrame(pd.DataFrame({"x": vals}))
+    exact = outlier_report(df, ["x"]).first()
+    approx = outlier_report(df, ["x"], approx=True).first()
+    assert approx.zscore_outliers == exact.zscore_outliers
+    assert abs(approx.iqr_outliers - exact.iqr_outliers) <= 3
+    small = outlier_report(_one(spark, [1000, 1100, 1050, 5000]), ["x"], approx=True).first()
+    assert small.zscore_outliers == 1
