@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+def qcol(name: str) -> Column:
+    """A column by its exact name (dots, spaces and dashes are not parsed)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_float_type(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.FloatType, T.DoubleType))
 
@@ -29,13 +34,13 @@ def to_double(name: str, dtype: T.DataType) -> Column:
     Text is accepted only when it is a plain decimal number, which keeps
     ANSI casts from failing and rejects forms such as ``1d`` or ``nan``.
     """
-    col = F.col(name)
+    col = qcol(name)
     if is_numeric_type(dtype):
         out = col.cast("double")
         return nan_to_null(out) if is_float_type(dtype) else out
     if isinstance(dtype, T.StringType):
         txt = F.trim(col)
-        return F.when(txt.rlike(NUMBER_PATTERN), F.expr(f"try_cast(trim(`{name}`) AS double)"))
+        return F.when(txt.rlike(NUMBER_PATTERN), txt.try_cast("double"))
     if isinstance(dtype, T.BooleanType):
         return F.lit(None).cast("double")
     return F.lit(None).cast("double")
@@ -43,7 +48,7 @@ def to_double(name: str, dtype: T.DataType) -> Column:
 
 def is_missing(name: str, dtype: T.DataType) -> Column:
     """NULL, or NaN for float columns."""
-    col = F.col(name)
+    col = qcol(name)
     if is_float_type(dtype):
         return col.isNull() | F.isnan(col)
     return col.isNull()

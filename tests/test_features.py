@@ -100,3 +100,19 @@ def test_select_known_skips_missing_and_renames(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`order` int, `1st_flr_sf` int, saleprice int")
     out = select_known_columns(df)
     assert out.columns == ["order_id", "first_flr_sf", "saleprice"]
+
+
+def test_category_values_with_dots_and_spaces(spark):
+    from casaframe.operators.features import prepare
+
+    df = spark.createDataFrame(
+        [(1, "St. Louis", 1500, 2, 3, 10.0, 1.0, 100.0), (2, "A-B C", 1600, 1, 2, 0.0, 0.0, 200.0),
+         (3, "Zed", 1700, 2, 2, 5.0, 2.0, 300.0)],
+        "order_id int, neighborhood string, gr_liv_area int, full_bath int, bedroom_abvgr int, "
+        "total_bsmt_sf double, garage_cars double, saleprice double")
+    prepared, enc = prepare(df)
+    assert "nbh_St. Louis" in prepared.columns and "nbh_Zed" in prepared.columns
+    aligned = align_features(prepared, ["nbh_St. Louis", "gr_liv_area", "nbh_None"], keep=["order_id"])
+    assert {r.order_id: r["nbh_St. Louis"] for r in aligned.collect()} == {1: 1, 2: 0, 3: 0}
+    x, y = split_xy(prepared)
+    assert "nbh_St. Louis" in x.columns and y.columns == ["order_id", "saleprice"]
