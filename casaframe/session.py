@@ -41,8 +41,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The reliable checkpoint folder of this session.
 
     Taken from the running context or from ``spark.checkpoint.dir``; a
-    private temporary folder is created only when neither is set, which
-    happens in local tests.
+    private temporary folder is created only when neither is set and the
+    master is local (tests).  On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to the other executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="casaframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
