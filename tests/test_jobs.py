@@ -38,3 +38,13 @@ def test_full_run(spark, tmp_path):
     c.write.parquet(cur)
     d = run_step(spark, "drift", paths, reference=ref, current=cur)["drift"]
     assert 0.0 <= d["drift_share"] <= 1.0 and d["report"].endswith(".json")
+
+
+def test_cli_parser_and_unknown_step(spark, tmp_path):
+    from casaframe.plans.jobs import STEPS, main
+
+    assert STEPS == ["ingest", "validate", "clean", "train", "drift", "full"]
+    with pytest.raises(SystemExit):
+        main(["nonsense", "--work", str(tmp_path)])
+    with pytest.raises(ValueError):
+        run_step(spark, "convert", Paths())

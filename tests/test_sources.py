@@ -73,3 +73,15 @@ def test_raw_table_ddl_runs(spark, tmp_path):
     spark.sql(ddl)
     assert "lot_frontage" in spark.table("props_raw_ddl_test").columns
     spark.sql("DROP TABLE props_raw_ddl_test")
+
+
+def test_rounding_and_integer_casts(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    # Spark rounds half up on the decimal text (2.675 -> 2.68), unlike Python's round
+    assert spark.range(1).select(F.round(F.lit(2.675), 2)).first()[0] == 2.68
+    # text to integer columns is rounded before the cast, never truncated
+    p = _write(tmp_path, "i.csv", "a\n2.7\n-2.7\n")
+    sch = T.StructType([T.StructField("a", T.IntegerType())])
+    assert [r.a for r in read_csv(spark, p, schema=sch).collect()] == [3, -3]
