@@ -167,3 +167,10 @@ def test_approx_mode_runs_and_agrees_on_z(spark):
     assert abs(approx.iqr_outliers - exact.iqr_outliers) <= 3
     small = outlier_report(_one(spark, [1000, 1100, 1050, 5000]), ["x"], approx=True).first()
     assert small.zscore_outliers == 1
+
+
+def test_columns_without_numbers_report_zero(spark):
+    df = spark.createDataFrame([(None, "a", 1.0), (None, "b", 2.0)], "e double, t string, x double")
+    rows = {r.column_name: (r.zscore_outliers, r.iqr_outliers) for r in
+            outlier_report(df, ["e", "t", "x"]).collect()}
+    assert rows == {"e": (0, 0), "t": (0, 0), "x": (0, 0)}
