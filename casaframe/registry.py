@@ -174,7 +174,7 @@ def q_table_roundtrip(spark, sf):
 
 # ------------------------------------------------------------------ validation
 
-def _rules_sql(source: str, cols_present: bool = True) -> str:
+def _rules_sql(source: str) -> str:
     parts, order = [], 0
     for col, kind in schema.CONTRACT.items():
         rows = [("required", "0"), ("type", "0"), ("not_null", f"count(*) - count({col})"),
