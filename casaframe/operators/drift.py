@@ -283,9 +283,7 @@ def ks_pvalue(n1: Column, n2: Column, d: Column, method: str = "auto") -> Column
 
 def ks_test(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
             method: str = "auto") -> DataFrame:
-    columns = numeric_columns(reference, current) if columns is None else columns
-    ks = ks_statistic(reference, current, columns).repartition(
-        max(1, min(len(columns), 64)), "column_name")  # exact p-values in parallel
+    ks = ks_statistic(reference, current, columns)
     return ks.withColumn("ks_pvalue", ks_pvalue(F.col("n_reference"), F.col("n_current"),
                                                 F.col("ks_statistic"), method))
 
@@ -322,11 +320,13 @@ def drift_features(reference: DataFrame, current: DataFrame, columns: list[str]
     else:
         scores = spark.createDataFrame([], "column_name string, psi double, ks_statistic double")
     # names and scores have one row per feature: a bounded, tiny join.
-    # One row per feature; spread over tasks so exact p-values (each up to
-    # 10000 x 10000 lattice steps) run in parallel rather than in one task.
     joined = (names.join(F.broadcast(scores), "column_name", "left")
-              .withColumnsRenamed({"psi": "_psi", "ks_statistic": "_d"})
-              .repartition(max(1, min(len(columns), 64)), "column_name"))
+              .withColumnsRenamed({"psi": "_psi", "ks_statistic": "_d"}))
+    # Features that take the exact p-value (each up to 10000 x 10000 lattice
+    # steps) are known from the counts; spread them over tasks when several do.
+    exact = [c for c in usable if max(stats[c]["n0"], stats[c]["n1"]) <= schema.KS_EXACT_MAX_N]
+    if method != "asymp" and len(exact) > 1:
+        joined = joined.repartition(min(len(exact), 64), "column_name")
     # unrounded scores get their own names so the rounded outputs cannot shadow them
     scored = joined.withColumn(
         "_p", ks_pvalue(F.col("n_reference"), F.col("n_current"), F.col("_d"), method))
