@@ -54,11 +54,14 @@ def range_partitioned(counts: DataFrame, feature_col: str = "feature", value_col
     The result can feed several aggregates (and ``running_sums``) that all
     see the same rows and partition ids, from one pass over the input.
     """
-    spark = counts.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (counts.repartitionByRange(parts, feature_col, value_col)
-              .withColumn(PART, F.spark_partition_id()))
-    return reliable_checkpoint(ranged)
+    # Without an explicit count, AQE may merge neighbouring ranges after seeing
+    # the real sizes; a merged partition is still one contiguous key range, and
+    # the ids are read after that decision and then checkpointed.
+    if num_partitions:
+        ranged = counts.repartitionByRange(num_partitions, feature_col, value_col)
+    else:
+        ranged = counts.repartitionByRange(feature_col, value_col)
+    return reliable_checkpoint(ranged.withColumn(PART, F.spark_partition_id()))
 
 
 def cumulative_counts(counts: DataFrame, weights: list[str], feature_col: str = "feature",

@@ -174,3 +174,15 @@ def test_columns_without_numbers_report_zero(spark):
     rows = {r.column_name: (r.zscore_outliers, r.iqr_outliers) for r in
             outlier_report(df, ["e", "t", "x"]).collect()}
     assert rows == {"e": (0, 0), "t": (0, 0), "x": (0, 0)}
+
+
+def test_quantiles_with_adaptive_range_partitions(spark):
+    # no explicit partition count: AQE may merge neighbouring ranges
+    rng = np.random.RandomState(21)
+    pdf = pd.concat([pd.DataFrame({"feature": f, "value": rng.gamma(2.0, 3.0, 4000).round(3)})
+                     for f in ("p", "q", "r")])
+    long = spark.createDataFrame(pdf).repartition(6)
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    got = order_stats.exact_quantiles(long, probs)
+    for f in ("p", "q", "r"):
+        assert np.allclose(got[f], np.quantile(pdf[pdf.feature == f].value, probs), atol=1e-9)
