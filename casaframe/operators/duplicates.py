@@ -4,22 +4,65 @@ Equality is over all listed columns with missing equal to missing (Spark's
 grouping already treats NULL = NULL, NaN = NaN and -0.0 = 0.0).  A group of
 identical rows is combined map-side by the partial aggregate, so one hot
 group never lands in one task.
+
+Long rows (documents) are not shuffled whole: rows are first grouped by a
+64-bit hash, which moves only the hashes; only rows whose hash occurs more
+than once are then grouped on their full columns.  A hash collision merely
+adds a candidate, so the result stays exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from casaframe.functions.exprs import qcol
+
+_ATOMIC = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
+           T.TimestampNTZType, T.BinaryType)
+
+
+def _row_hash(df: DataFrame, cols: list[str]) -> Column | None:
+    """64-bit hash that agrees with grouping equality, or None for nested columns."""
+    parts = []
+    for c in cols:
+        dt = df.schema[c].dataType
+        if not isinstance(dt, _ATOMIC):
+            return None
+        # -0.0 + 0.0 = 0.0; NaN is hashed through its canonical bits
+        parts.append(qcol(c) + F.lit(0.0) if isinstance(dt, (T.FloatType, T.DoubleType))
+                     else qcol(c))
+    return F.xxhash64(*parts)
+
+
+def _hash_groups(df: DataFrame, cols: list[str]):
+    """(rows with their hash, per-hash counts) or None for nested columns."""
+    h = _row_hash(df, cols)
+    if h is None:
+        return None
+    hashed = df.withColumn("_h", h)
+    return hashed, hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
 
 
 def duplicate_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row: total_rows, duplicate_rows (rows equal to an earlier row), duplicate_pct."""
     cols = columns or df.columns
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-    totals = groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
-    )
+    hg = _hash_groups(df, cols)
+    if hg is None:
+        groups = df.groupBy(*[qcol(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+        parts = groups.agg(F.sum("_n").alias("t"), F.sum(F.col("_n") - 1).alias("d"))
+    else:
+        hashed, per_hash = hg
+        shared = per_hash.where(F.col("_n") > 1).select("_h")
+        # only rows whose hash repeats are grouped (and shuffled) on their full columns
+        cand = hashed.join(shared, "_h", "left_semi")
+        exact = cand.groupBy(*[qcol(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+        parts = (per_hash.agg(F.sum("_n").alias("t")).withColumn("d", F.lit(0).cast("bigint"))
+                 .unionByName(exact.agg(F.sum(F.col("_n") - 1).alias("d"))
+                              .withColumn("t", F.lit(0).cast("bigint"))))
+    totals = parts.agg(F.coalesce(F.sum("t"), F.lit(0)).cast("bigint").alias("total_rows"),
+                       F.coalesce(F.sum("d"), F.lit(0)).cast("bigint").alias("duplicate_rows"))
     return totals.select(
         "total_rows", "duplicate_rows",
         F.when(F.col("total_rows") > 0,
@@ -33,13 +76,19 @@ def mark_duplicates(df: DataFrame, key: str, columns: list[str] | None = None) -
     in its group of equal rows.  ``key`` must be unique.
 
     Instead of a window over each group (a hot group would be one task), the
-    first key of every group is found by aggregation and joined back on the
-    unique key, which cannot be skewed.
+    first key of every group is found by aggregation, and only the keys of
+    later copies are joined back on the unique key, which cannot be skewed.
     """
     cols = columns or [c for c in df.columns if c != key]
-    firsts = (df.groupBy(*[F.col(f"`{c}`") for c in cols])
-              .agg(F.min(key).alias(key))
-              .select(key, F.lit(True).alias("_first")))
-    return (df.join(firsts, key, "left")
-            .withColumn("is_duplicate", F.col("_first").isNull())
-            .drop("_first"))
+    hg = _hash_groups(df, cols)
+    if hg is None:
+        cand = df
+    else:
+        hashed, per_hash = hg
+        cand = hashed.join(per_hash.where(F.col("_n") > 1).select("_h"), "_h", "left_semi")
+    firsts = cand.groupBy(*[qcol(c) for c in cols]).agg(F.min(key).alias(key)).select(key)
+    later = (cand.select(key).join(firsts, key, "left_anti")
+             .select(key, F.lit(True).alias("_dup")))
+    return (df.join(later, key, "left")
+            .withColumn("is_duplicate", F.coalesce(F.col("_dup"), F.lit(False)))
+            .drop("_dup"))

@@ -186,3 +186,18 @@ def test_quantiles_with_adaptive_range_partitions(spark):
     got = order_stats.exact_quantiles(long, probs)
     for f in ("p", "q", "r"):
         assert np.allclose(got[f], np.quantile(pdf[pdf.feature == f].value, probs), atol=1e-9)
+
+
+def test_hash_collisions_are_resolved_exactly(spark):
+    # the row hash skips NULLs, so these two different rows share a hash
+    df = spark.createDataFrame([(1, None, "a"), (2, "a", None), (3, "b", "b"), (4, "b", "b")],
+                               "k int, x string, y string")
+    assert duplicate_report(df, ["x", "y"]).first().duplicate_rows == 1
+    marks = {r.k: r.is_duplicate for r in mark_duplicates(df, "k").collect()}
+    assert marks == {1: False, 2: False, 3: False, 4: True}
+
+
+def test_nested_columns_use_exact_grouping(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (2, [1, 2]), (3, [2])], "k int, a array<int>")
+    assert duplicate_report(df, ["a"]).first().duplicate_rows == 1
+    assert mark_duplicates(df, "k").where("is_duplicate").first().k == 2
