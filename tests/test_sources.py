@@ -85,3 +85,17 @@ def test_rounding_and_integer_casts(spark, tmp_path):
     p = _write(tmp_path, "i.csv", "a\n2.7\n-2.7\n")
     sch = T.StructType([T.StructField("a", T.IntegerType())])
     assert [r.a for r in read_csv(spark, p, schema=sch).collect()] == [3, -3]
+
+
+def test_worker_functions_ship_by_value():
+    # executors must not need the package installed: its functions are pickled by value
+    import pickle
+
+    import casaframe
+    from pyspark import cloudpickle
+
+    from casaframe.operators import order_stats
+
+    assert cloudpickle.cloudpickle._is_registered_pickle_by_value(casaframe)
+    blob = cloudpickle.dumps(order_stats._running_sums("f", "v", ["n"]))
+    assert pickle.loads(blob) is not None
