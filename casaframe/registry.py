@@ -237,9 +237,8 @@ def _request_sql() -> str:
 @query("request_validation", _request_sql())
 def q_request_validation(spark, sf):
     req = fx.requests(spark, sf).drop("l_shipdate")
-    errs = validate.request_errors(req)
-    return req.select("order_id", F.size(errs).alias("n_errors"),
-                      F.array_join(errs, "; ").alias("errors"))
+    return req.select("order_id", validate.request_error_count(req).alias("n_errors"),
+                      validate.request_error_text(req).alias("errors"))
 
 
 def _defaults_sql() -> str:
