@@ -45,3 +45,49 @@ def op2_packing(spark, sf):
 def op8_simhash(spark, sf):
     from casaframe.llm.simhash import near_duplicates
     return near_duplicates(common.documents(spark, sf))
+
+
+@query("op3_fingerprints")
+def op3_fingerprints(spark, sf):
+    from casaframe.llm.fingerprints import fingerprints
+    return fingerprints(common.documents(spark, sf))
+
+
+MIXED = """
+WITH d AS (SELECT doc_id, text, source, coalesce(strlen(text), 0) AS sz FROM documents),
+by_source AS (SELECT source, CAST(sum(sz) AS DOUBLE) AS b FROM d GROUP BY source),
+weighed AS (SELECT source, b, CASE WHEN b > 0 THEN pow(b, 0.5) ELSE 0.0 END AS w FROM by_source),
+total AS (SELECT sum(b) AS tb, sum(w) AS tw FROM weighed),
+rated AS (SELECT source, CASE WHEN b > 0 THEN round(w / tw * (tb / b), 9) ELSE 1.0 END AS rate
+          FROM weighed, total),
+parted AS (SELECT source, greatest(1, CAST(ceil(rate / 16.0) AS INTEGER)) AS parts, rate
+           FROM rated),
+terms AS (SELECT source, parts, k, exp(-(rate / parts)) * pow(rate / parts, k) / gamma(k + 1) AS p
+          FROM parted, range(0, 97) AS r(k)),
+cum AS (SELECT source, parts, list(c ORDER BY k) AS c FROM (
+          SELECT source, parts, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms)
+        GROUP BY source, parts),
+named AS (SELECT d.doc_id, d.text, d.source, c.c, c.parts,
+            concat_ws(':', coalesce(CAST(d.doc_id AS VARCHAR), ''), md5(coalesce(d.text, ''))) AS ident
+          FROM d JOIN cum c ON d.source IS NOT DISTINCT FROM c.source),
+drawn AS (SELECT doc_id, text, source, ident, CAST(list_sum([
+            len(list_filter(c, lambda x: x <= CAST(CAST(concat('0x', substr(md5(concat_ws(':', '7',
+              CAST(j AS VARCHAR), ident)), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0))
+            for j in range(1, parts + 1)]) AS INTEGER) AS copies FROM named)
+SELECT doc_id, source, text, CAST(copy AS INTEGER) AS copy, copies,
+       md5(concat_ws(':', 'order7', CAST(copy AS VARCHAR), ident)) AS shuffle_key
+FROM (SELECT *, unnest(range(0, copies)) AS copy FROM drawn)
+"""
+
+
+@query("op7_mixing", MIXED)
+def op7_mixing(spark, sf):
+    from casaframe.llm.mixing import mix_sources
+    docs = common.documents(spark, sf).select("doc_id", "source", "text")
+    return mix_sources(docs)
+
+
+@query("op9_sharding")
+def op9_sharding(spark, sf):
+    from casaframe.llm.sharding import shard
+    return shard(common.documents(spark, sf))
