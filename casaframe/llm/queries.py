@@ -91,3 +91,66 @@ def op7_mixing(spark, sf):
 def op9_sharding(spark, sf):
     from casaframe.llm.sharding import shard
     return shard(common.documents(spark, sf))
+
+
+def _license_oracle() -> str:
+    from casaframe.llm import licenses as L
+    quoted = ", ".join(f"('{label}', list_distinct(string_split('{t}', ' ')))"
+                       for label, t in L.TEMPLATES)
+    phrases = ", ".join(f"('{label}', string_split('{p}', ' '))" for p, label in L.PHRASES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+             translate(coalesce(text, ''), '{L.UPPER}', '{L.LOWER}') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, list_filter(string_split_regex(t, '{L.GAPS}'), lambda x: x <> '') AS w
+      FROM d),
+ph(label, p) AS (VALUES {phrases}),
+places AS (SELECT rid, label, i FROM (
+    SELECT rid, label, w, p, unnest(range(0, greatest(0, len(w) - len(p) + 1))) AS i FROM w, ph)
+  WHERE w[i + 1] = p[1] AND w[i + 1:i + len(p)] = p),
+base AS (SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+           list(DISTINCT label) AS labels FROM places GROUP BY rid),
+b AS (SELECT rid, row_number() OVER () AS bid, list_distinct(string_split_regex(block, '{L.GAPS}')) AS held
+      FROM (SELECT rid, unnest(string_split_regex(t, '{L.BLOCK_ENDS}')) AS block FROM d)),
+tpl(label, tok) AS (VALUES {quoted}),
+met AS (SELECT rid, bid, label, len(list_intersect(tok, held)) AS k, len(tok) AS n FROM b, tpl
+        WHERE list_has_any(held, tok)),
+good AS (SELECT rid, bid, label, k / CAST(n AS DOUBLE) AS c,
+           max(k / CAST(n AS DOUBLE)) OVER (PARTITION BY bid) AS best
+         FROM met WHERE k >= ceil({L.THRESHOLD} * n - 1e-9)),
+meth AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS score FROM good WHERE c = best
+         GROUP BY rid)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+  first_word, last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []),
+    coalesce(meth.labels, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0.0) END::DOUBLE AS score
+FROM w LEFT JOIN base USING (rid) LEFT JOIN meth USING (rid)
+"""
+
+
+@query("op5_licenses", _license_oracle())
+def op5_licenses(spark, sf):
+    from casaframe.llm.licenses import license_report
+    return license_report(common.documents(spark, sf))
+
+
+LINES = """
+WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+             unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents),
+known AS (SELECT trim(line) AS k, min((doc_id, pos)) AS first FROM l
+          WHERE length(trim(line)) >= 16 GROUP BY 1 HAVING count(DISTINCT source) >= 8),
+marked AS (SELECT l.*, known.k IS NOT NULL AND (doc_id, pos) <> first AS gone
+           FROM l LEFT JOIN known ON trim(line) = known.k),
+back AS (SELECT doc_id, CAST(count_if(gone) AS BIGINT) AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+         FROM marked GROUP BY doc_id)
+SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE back.text END AS text,
+       coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN back USING (doc_id)
+"""
+
+
+@query("op6_line_dedup", LINES)
+def op6_line_dedup(spark, sf):
+    from casaframe.llm.lines import dedup_lines
+    return dedup_lines(common.documents(spark, sf).select("doc_id", "source", "text"))
