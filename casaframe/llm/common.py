@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from casaframe.session import shared_dir
 
@@ -36,3 +41,27 @@ def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str)
     """Join; broadcast ``right`` only after its rows have been counted and are few."""
     small = right.count() <= MAX_BROADCAST_ROWS
     return left.join(F.broadcast(right) if small else right, on, how)
+
+
+def append_columns(docs: DataFrame, keep: list[str], new: str, make: Callable) -> DataFrame:
+    """The ``keep`` columns of ``docs``, unchanged, and columns computed from its texts.
+
+    ``new`` is a DDL list of the added columns; ``make()`` runs once per task
+    and returns a function from a list of texts to one sequence per column.
+    The kept columns pass as Arrow arrays, so any type and null survives.
+    """
+    kept = docs.select(*[F.col(f"`{c}`") for c in keep])
+    added = StructType.fromDDL(new)
+    schema = StructType([*kept.schema.fields, *added.fields])
+    types = [(f.name, t) for f, t in zip(added.fields, to_arrow_schema(added).types)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for batch in batches:
+            got = compute(batch.column("text").to_pylist())
+            arrays = [batch.column(c) for c in keep]
+            arrays += [pa.array(v, type=t) for v, (_, t) in zip(got, types)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *[n for n, _ in types]])
+
+    need = dict.fromkeys([*keep, "text"])
+    return docs.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, schema)

@@ -23,10 +23,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from casaframe.llm.common import written
 
@@ -146,9 +148,6 @@ def poured(pieces: list, window: int) -> tuple[list[list], list]:
 
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
            "sequence_length")
-EXTRA = ", ids binary, merge_group long"
-
-
 def _rows(windows: list[list], first_id: int, ids: bool) -> dict[str, list]:
     out: dict[str, list] = {c: [] for c in (*COLUMNS, "ids")}
     for k, window in enumerate(windows):
@@ -163,10 +162,6 @@ def _rows(windows: list[list], first_id: int, ids: bool) -> dict[str, list]:
     return out
 
 
-def _id_type(docs: DataFrame) -> str:
-    return docs.schema["doc_id"].dataType.simpleString()
-
-
 def pack(docs: DataFrame, *, path: str | None = None, window: int = WINDOW,
          open_windows: int = OPEN_WINDOWS, min_cut: int = MIN_CUT,
          merge_partitions: int = MERGE_PARTITIONS, with_ids: bool = True) -> DataFrame:
@@ -177,23 +172,25 @@ def pack(docs: DataFrame, *, path: str | None = None, window: int = WINDOW,
     which is cut into lengths that are powers of two.
     """
     path = path or tokenizer_path()
-    schema = (f"doc_id {_id_type(docs)}, start long, length long, ids_crc32 long, "
-              "doc_tokens long, sequence_id long, offset long, sequence_length long" + EXTRA)
+    rest = StructType.fromDDL("start long, length long, ids_crc32 long, doc_tokens long, "
+                              "sequence_id long, offset long, sequence_length long, ids binary, "
+                              "merge_group long")
+    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *rest.fields])
+    arrow = to_arrow_schema(schema)
 
-    def frame(rows: dict, group: int | None = None) -> pd.DataFrame:
-        pdf = pd.DataFrame(rows).astype({c: "int64" for c in COLUMNS if c != "doc_id"})
-        pdf["doc_id"] = pd.Series(rows["doc_id"], dtype=object)
-        return pdf.assign(merge_group=pd.array([group] * len(pdf), dtype="Int64"))
+    def frame(rows: dict, group: int | None = None) -> pa.RecordBatch:
+        rows["merge_group"] = [group] * len(rows["doc_id"])
+        return pa.RecordBatch.from_pydict(rows, schema=arrow)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         packer, encoder = Packer(window, open_windows, min_cut), PieceEncoder(path)
         next_id = part << 32
-        for pdf in batches:
-            keys = pdf["doc_id"].array
-            for key, text in zip(keys, pdf["text"]):
+        for batch in batches:
+            for key, text in zip(batch.column("doc_id").to_pylist(),
+                                 batch.column("text").to_pylist()):
                 ids = np.array((encoder.ids(text) if text else []) + [0], dtype=np.uint32)
-                packer.add((None if pd.isna(key) else key, len(ids)), ids)
+                packer.add((key, len(ids)), ids)
                 if len(packer.done) >= 4096:
                     yield frame(_rows(packer.done, next_id, with_ids))
                     next_id += len(packer.done)
@@ -203,22 +200,21 @@ def pack(docs: DataFrame, *, path: str | None = None, window: int = WINDOW,
         if rest:  # goes on with its ids to the merge of its group of partitions
             yield frame(_rows([rest], part, True), part // merge_partitions)
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["sequence_id", "offset"])
-        group = int(pdf["merge_group"].iloc[0])
-        pieces = [((None if pd.isna(d) else d, t), s, np.frombuffer(raw, dtype="<u4"))
-                  for d, t, s, raw in zip(pdf["doc_id"].array, pdf["doc_tokens"], pdf["start"],
-                                          pdf["ids"])]
+    def merge(table: pa.Table) -> pa.Table:
+        rows = table.sort_by([("sequence_id", "ascending"), ("offset", "ascending")]).to_pydict()
+        group = rows["merge_group"][0]
+        pieces = [((d, t), s, np.frombuffer(raw, dtype="<u4")) for d, t, s, raw in
+                  zip(rows["doc_id"], rows["doc_tokens"], rows["start"], rows["ids"])]
         full, rest = poured(pieces, window)
         while rest:
             left = sum(len(p[2]) for p in rest)
             head, rest = poured(rest, 1 << (left.bit_length() - 1))
             full += head
-        return frame(_rows(full, (1 << 62) + (group << 20), with_ids))
+        return pa.Table.from_batches([frame(_rows(full, (1 << 62) + (group << 20), with_ids))])
 
     docs = docs.select("doc_id", "text")
-    first = written(docs.mapInPandas(run, schema), "packing")
+    first = written(docs.mapInArrow(run, schema), "packing")
     last = (first.where("merge_group IS NOT NULL").groupBy("merge_group")
-            .applyInPandas(merge, schema))
+            .applyInArrow(merge, schema))
     out = first.where("merge_group IS NULL").unionByName(last).drop("merge_group")
     return out if with_ids else out.drop("ids")

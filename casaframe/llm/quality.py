@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casaframe.llm import words as W
-from casaframe.llm.common import join_small
+from casaframe.llm.common import append_columns, join_small
 
 BITS = 16
 SMOOTHING = 1.0       # pseudo-count of each bucket, in the trusted as in the raw multinomial
@@ -110,16 +110,14 @@ def quality_scores(docs: DataFrame, ratios: np.ndarray, *, bits: int = BITS,
     model = docs.sparkSession.sparkContext.broadcast(ratios.astype(np.float32))
     new = [prefix + c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
                                 "n_repeat_words", "base_failed", "kept", "score")]
-    schema = docs.select(
-        *[F.col(f"`{c}`") for c in keep], *[F.lit(0).cast("long").alias(c) for c in new[:5]],
-        F.lit(True).alias(new[5]), F.lit(True).alias(new[6]), F.lit(0.0).alias(new[7])).schema
+    ddl = ", ".join(f"`{c}` {t}" for c, t in zip(new, ["long"] * 5 + ["boolean"] * 2 + ["double"]))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ratio, exact = model.value.astype(np.float64), W.WordHasher(W.NOT_SPACE)
-        for pdf in batches:
-            texts, n_all = pdf["text"].tolist(), len(pdf)
-            got = np.zeros((5, n_all), dtype=np.int64)
-            mean = np.zeros(n_all)
+    def make():
+        ratio, hasher = model.value.astype(np.float64), W.WordHasher(W.NOT_SPACE)
+
+        def compute(texts: list) -> list:
+            got = np.zeros((5, len(texts)), dtype=np.int64)
+            mean = np.zeros(len(texts))
             for first, buf, starts in W.groups(texts, fold=False):
                 n = len(starts)
                 span = slice(first, first + n)
@@ -127,22 +125,21 @@ def quality_scores(docs: DataFrame, ratios: np.ndarray, *, bits: int = BITS,
                 got[1, span] = np.add.reduceat(in_word & ((buf & 0xC0) != 0x80), starts,
                                                dtype=np.int64)
                 got[2, span] = np.add.reduceat(SYMBOLS[buf], starts, dtype=np.int64)
-                at, h = exact.hashes(buf)
+                at, h = hasher.hashes(buf)
                 doc = np.searchsorted(starts, at, side="right") - 1
                 got[0, span] = np.bincount(doc, minlength=n)
                 got[4, span] = _repeated_words(h, doc, n)
                 folded = np.frombuffer(buf.tobytes().translate(W.LOWER), dtype=np.uint8)
-                doc, bucket = _grams(exact.hashes(folded)[1], doc, bits)
+                doc, bucket = _grams(hasher.hashes(folded)[1], doc, bits)
                 total = np.bincount(doc, weights=ratio[bucket], minlength=n)
                 mean[span] = total / np.maximum(1, np.bincount(doc, minlength=n))
             got[3] = [_dup_lines(t) for t in texts]
             failed = (got[0] < MIN_WORDS) | (100 * got[4] > MAX_REPEAT_PCT * got[0])
-            out = pdf[list(keep)].copy()
-            for name, values in zip(new, [*got, failed, ~failed & (mean >= threshold), mean]):
-                out[name] = values
-            yield out
+            return [*got, failed, ~failed & (mean >= threshold), mean]
+
+        return compute
 
-    return docs.mapInPandas(run, schema)
+    return append_columns(docs, list(keep), ddl, make)
 
 
 def quality_rules(docs: DataFrame, labelled: DataFrame, *, keep: tuple[str, ...] = ("doc_id",),

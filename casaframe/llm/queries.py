@@ -154,3 +154,9 @@ FROM documents d LEFT JOIN back USING (doc_id)
 def op6_line_dedup(spark, sf):
     from casaframe.llm.lines import dedup_lines
     return dedup_lines(common.documents(spark, sf).select("doc_id", "source", "text"))
+
+
+@query("op10_pii")
+def op10_pii(spark, sf):
+    from casaframe.llm.pii import personal_data
+    return personal_data(common.documents(spark, sf))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casaframe.llm import words as W
-from casaframe.llm.common import written
+from casaframe.llm.common import append_columns, written
 from casaframe.session import reliable_checkpoint
 
 SHINGLE_WORDS = 4
@@ -68,17 +68,10 @@ def simhash(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SE
 def with_fingerprints(docs: DataFrame, name: str, *, keep: list[str],
                       shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
     """The ``keep`` columns and the fingerprint of ``text`` as a long, without a shuffle."""
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep],
-                         F.lit(0).cast("long").alias(name)).schema
+    def make():
+        return lambda texts: ([simhash(t, shingle_words, seed) for t in texts],)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fps = np.fromiter((simhash(t, shingle_words, seed) for t in pdf["text"]),
-                              dtype=np.int64, count=len(pdf))
-            yield pdf[keep].assign(**{name: fps})
-
-    return docs.select(*{c: F.col(f"`{c}`") for c in [*keep, "text"]}.values()).mapInPandas(
-        run, schema)
+    return append_columns(docs, keep, f"`{name}` long", make)
 
 
 def _positions(max_distance: int) -> list[tuple[int, ...]]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casaframe.llm import words as W
-from casaframe.llm.common import written
+from casaframe.llm.common import append_columns, written
 
 BITS = 20            # feature buckets: 2**BITS
 TRAIN_ROWS = 16384   # expected bound of the sample of labelled rows that is learnt from
@@ -137,25 +137,26 @@ def score(docs: DataFrame, weights: dict[int, float], *, bits: int = BITS,
     buckets = np.array(sorted(b for b in weights if b), dtype=np.int64)
     values = np.array([weights[b] for b in buckets.tolist()])
     model = sc.broadcast((buckets, values, weights.get(0, 0.0)))
-    others = [c for c in docs.columns if c != "text"]
-    schema = docs.select(*[F.col(f"`{c}`") for c in others],
-                         F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         buckets, values, bias = model.value
         dense = np.zeros(1 << bits)
         dense[buckets] = values
-        for pdf in batches:
-            logit = np.full(len(pdf), bias)
-            for first, n, doc, bucket in _text_features(pdf["text"].tolist(), bits):
+
+        def compute(texts: list) -> tuple[np.ndarray, np.ndarray]:
+            logit = np.full(len(texts), bias)
+            for first, n, doc, bucket in _text_features(texts, bits):
                 live = dense[bucket] != 0
                 key = np.unique((doc[live] << bits) | bucket[live])
                 logit[first:first + n] += np.bincount(
                     key >> bits, weights=dense[key & ((1 << bits) - 1)], minlength=n)
             p = 1.0 / (1.0 + np.exp(-np.clip(logit, -35, 35)))
-            yield pdf[others].assign(score=p, predicted=(p >= threshold).astype(np.int32))
+            return p, (p >= threshold).astype(np.int32)
 
-    return docs.mapInPandas(run, schema)
+        return compute
+
+    others = [c for c in docs.columns if c != "text"]
+    return append_columns(docs, others, "score double, predicted int", make)
 
 
 def held_out(doc_id: str = "doc_id"):
