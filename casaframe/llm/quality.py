@@ -3,12 +3,12 @@
 Two multinomials over hashed words and word pairs are counted over whole
 tables: one over the trusted documents (quality label 1), one over every
 document.  A document's score is the mean over its n-grams of
-log(p_trusted / p_raw), so it does not depend on the length; a document is
-kept when the score reaches a fixed threshold and the base rules pass.
+log(p_trusted / p_raw), so it does not depend on the length; both are
+smoothed alike at the size of the trusted corpus.  A document is kept when the score reaches a fixed threshold and the base rules pass.
 
 Counting is one pass whose tasks each send at most 2**BITS counters;
-scoring is a second pass with the 2**BITS log ratios shipped to every task
-(256 kB).  No text is shuffled.
+scoring is a second pass with the 2 x 2**BITS counts shipped to every task
+(1 MB).  No text is shuffled.
 
 Defined results: a null text has no words (and so fails the base rules); a
 repeated id is trusted if any of its quality labels is 1; without trusted
@@ -28,7 +28,7 @@ from casaframe.llm import words as W
 from casaframe.llm.common import append_columns, join_small
 
 BITS = 16
-SMOOTHING = 1.0       # pseudo-count of each bucket, in the trusted as in the raw multinomial
+SMOOTHING = 4.0       # pseudo-count of each bucket, at the size of the trusted corpus
 THRESHOLD = -0.1      # mean log ratio per n-gram below which a document is rejected
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -88,18 +88,35 @@ def gram_counts(docs: DataFrame, trusted: str, bits: int = BITS) -> DataFrame:
                                    F.sum("r").alias("raw_count")))
 
 
-def log_ratios(counts: DataFrame, bits: int = BITS, smoothing: float = SMOOTHING) -> np.ndarray:
-    """log(p_trusted / p_raw) of every bucket; at most 2**bits rows reach the driver."""
-    t, r = np.zeros(1 << bits), np.zeros(1 << bits)
+def collected(counts: DataFrame, bits: int = BITS) -> np.ndarray:
+    """Trusted and raw counts by bucket, 2 x 2**bits; at most that many rows reach the driver."""
+    out = np.zeros((2, 1 << bits))
     for row in counts.collect():
-        t[row["bucket"]], r[row["bucket"]] = row["trusted_count"], row["raw_count"]
-    if not t.sum():
-        return np.zeros(1 << bits)
-    total = smoothing * (1 << bits)
-    return np.log((t + smoothing) / (t.sum() + total)) - np.log((r + smoothing) / (r.sum() + total))
+        out[:, row["bucket"]] = row["trusted_count"], row["raw_count"]
+    return out
 
 
-def quality_scores(docs: DataFrame, ratios: np.ndarray, *, bits: int = BITS,
+def mean_log_ratio(doc: np.ndarray, bucket: np.ndarray, n: int, counts: np.ndarray,
+                   smoothing: float = SMOOTHING) -> np.ndarray:
+    """Per text the mean of log(p_trusted / p_raw) over its n-grams.
+
+    The raw counts are taken without the text's own n-grams and scaled to the
+    trusted total, so both sides have one sum and one smoothing: an n-gram
+    seen nowhere else is neutral, in a corpus of any size.
+    """
+    trusted, raw = counts
+    if not trusted.sum() or not len(doc):
+        return np.zeros(n)
+    bits = int(len(raw)).bit_length() - 1
+    pairs, own = np.unique((doc << bits) | bucket, return_counts=True)
+    d, b = pairs >> bits, pairs & ((1 << bits) - 1)
+    others = np.maximum(raw[b] - own, 0) * (trusted.sum() / raw.sum())
+    ratio = np.log((trusted[b] + smoothing) / (others + smoothing))
+    return (np.bincount(d, weights=own * ratio, minlength=n)
+            / np.maximum(1, np.bincount(d, weights=own, minlength=n)))
+
+
+def quality_scores(docs: DataFrame, counts: np.ndarray, *, bits: int = BITS,
                    threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",),
                    prefix: str = "") -> DataFrame:
     """The ``keep`` columns with base statistics, mean log ratio and verdict of every row.
@@ -107,13 +124,13 @@ def quality_scores(docs: DataFrame, ratios: np.ndarray, *, bits: int = BITS,
     ``prefix`` is put before the names of the new columns, for inputs that
     already have columns of these names.
     """
-    model = docs.sparkSession.sparkContext.broadcast(ratios.astype(np.float32))
+    model = docs.sparkSession.sparkContext.broadcast(counts)
     new = [prefix + c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
                                 "n_repeat_words", "base_failed", "kept", "score")]
     ddl = ", ".join(f"`{c}` {t}" for c, t in zip(new, ["long"] * 5 + ["boolean"] * 2 + ["double"]))
 
     def make():
-        ratio, hasher = model.value.astype(np.float64), W.WordHasher(W.NOT_SPACE)
+        counts, hasher = model.value, W.WordHasher(W.NOT_SPACE)
 
         def compute(texts: list) -> list:
             got = np.zeros((5, len(texts)), dtype=np.int64)
@@ -131,8 +148,7 @@ def quality_scores(docs: DataFrame, ratios: np.ndarray, *, bits: int = BITS,
                 got[4, span] = _repeated_words(h, doc, n)
                 folded = np.frombuffer(buf.tobytes().translate(W.LOWER), dtype=np.uint8)
                 doc, bucket = _grams(hasher.hashes(folded)[1], doc, bits)
-                total = np.bincount(doc, weights=ratio[bucket], minlength=n)
-                mean[span] = total / np.maximum(1, np.bincount(doc, minlength=n))
+                mean[span] = mean_log_ratio(doc, bucket, n, counts)
             got[3] = [_dup_lines(t) for t in texts]
             failed = (got[0] < MIN_WORDS) | (100 * got[4] > MAX_REPEAT_PCT * got[0])
             return [*got, failed, ~failed & (mean >= threshold), mean]
@@ -150,5 +166,5 @@ def quality_rules(docs: DataFrame, labelled: DataFrame, *, keep: tuple[str, ...]
             .withColumn(flag, F.lit(True)))
     marked = join_small(docs.select("doc_id", "text"), good, "doc_id", "left").select(
         "text", F.coalesce(F.col(flag), F.lit(False)).alias(flag))
-    return quality_scores(docs, log_ratios(gram_counts(marked, flag)), keep=keep, prefix=prefix,
+    return quality_scores(docs, collected(gram_counts(marked, flag)), keep=keep, prefix=prefix,
                           threshold=threshold)
