@@ -15,7 +15,8 @@ of documents that hold them, counted over the whole corpus.  Then
 
 Templates are a fixed list, so their side of the join is a constant in the
 plan: one pass counts frequencies, one pass scans, no text is shuffled.
-Of the templates a block meets, the best contained ones give its labels.
+Of the templates a block meets, the best contained give its labels; of equally
+contained ones the largest.
 
 Next to the join stand the base labels: phrases whose words follow each
 other.  All of it is DataFrame expressions.
@@ -108,10 +109,14 @@ def block_labels(text: Column, order: list[str], templates=TEMPLATES,
 
     def scored(b: Column) -> Column:
         each = F.array(*[F.struct(F.lit(t.label).alias("label"),
-                                  t.containment(b["held"]).alias("containment")) for t in known])
-        met = F.filter(each, lambda x: x["containment"] > 0)
-        best = F.array_max(F.transform(met, lambda x: x["containment"]))
-        return F.transform(F.filter(met, lambda x: x["containment"] == best), lambda x: F.struct(
+                                  F.struct(t.containment(b["held"]).alias("containment"),
+                                           F.lit(len(t.tokens)).alias("size")).alias("fit"))
+                         for t in known])
+        met = F.transform(F.filter(each, lambda x: x["fit"]["containment"] > 0), lambda x: F.struct(
+            x["label"].alias("label"), x["fit"].alias("fit"),
+            x["fit"]["containment"].alias("containment")))
+        best = F.array_max(F.transform(met, lambda x: x["fit"]))
+        return F.transform(F.filter(met, lambda x: x["fit"] == best), lambda x: F.struct(
             b["block"].alias("block"), x["label"].alias("label"),
             x["containment"].alias("containment")))
 

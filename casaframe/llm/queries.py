@@ -115,9 +115,9 @@ tpl(label, tok) AS (VALUES {quoted}),
 met AS (SELECT rid, bid, label, len(list_intersect(tok, held)) AS k, len(tok) AS n FROM b, tpl
         WHERE list_has_any(held, tok)),
 good AS (SELECT rid, bid, label, k / CAST(n AS DOUBLE) AS c,
-           max(k / CAST(n AS DOUBLE)) OVER (PARTITION BY bid) AS best
+           rank() OVER (PARTITION BY bid ORDER BY k / CAST(n AS DOUBLE) DESC, n DESC) AS place
          FROM met WHERE k >= ceil({L.THRESHOLD} * n - 1e-9)),
-meth AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS score FROM good WHERE c = best
+meth AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS score FROM good WHERE place = 1
          GROUP BY rid)
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
   first_word, last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
