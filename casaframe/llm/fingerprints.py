@@ -104,12 +104,10 @@ def with_next(docs: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFram
                .where(~F.col("ghost")).select("doc_id", "text", "next_text"))
     if n_ids == n:
         return chained
+    # one document's text
     first = (docs.where(doc_id == first_id)
-             .select(F.lit(0).alias("one"),
-                     F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("next_text")).alias("s"))
-             .groupBy("one").agg(F.min("s").alias("s")).select("one", "s.next_text"))
-    lost = (docs.where("doc_id IS NULL").withColumn("one", F.lit(0))
-            .join(F.broadcast(first), "one").select("doc_id", "text", "next_text"))  # one row
+             .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))).first()[0]["text"])
+    lost = docs.where("doc_id IS NULL").withColumn("next_text", F.lit(first))
     return chained.unionByName(lost)
 
 
