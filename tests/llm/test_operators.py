@@ -1,0 +1,588 @@
+"""Training-data operators against brute force, round trips and held-out labels."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from casaframe.llm import (fingerprints, licenses, lines, mixing, packing, pii, quality, sharding,
+                           simhash, toxicity)
+from casaframe.llm import words as W
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "alpha beta gamma delta éclair über straße naïve 日本 one two three four five six".split()
+
+
+def frame(spark, rows, schema=SCHEMA, parts=3):
+    full = [(i, t, "en", f"s{(i or 0) % 4}", len(t or "")) for i, t in rows]
+    return spark.createDataFrame(full, schema).repartition(parts)
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", "", ".", ",\n"]) for _ in range(n))
+
+
+def corpus(seed=1, n=60):
+    """Varied texts: copies, near copies, nulls, empties, one very long text, repeated rows."""
+    rng = random.Random(seed)
+    rows = [(i, prose(rng, rng.randint(1, 120))) for i in range(n)]
+    rows += [(100, rows[3][1]), (101, rows[3][1]), (102, rows[4][1] + " tail"), (103, None),
+             (104, ""), (105, "   \n \t"), (106, prose(rng, 30_000)), (107, "x" * 50_000),
+             (108, "1" * 20_000), (None, "no id here"), (None, None), (110, "twice"), (110, "twice"),
+             (111, "a\n\nb\n"), (112, "<|endoftext|> inside")]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return frame(spark, corpus()).cache()
+
+
+def key(row):
+    return tuple((v is None, v) if not isinstance(v, list) else v for v in row)
+
+
+# ------------------------------------------------------------------ words
+
+def test_word_hashes_name_words_exactly():
+    text = "Aa bb aa\tBB  cc\n" * 3
+    h = W.WordHasher(W.NOT_SPACE)
+    _, buf, _ = next(W.groups([text], fold=True))
+    at, got, stem = h.hashes(buf, (1,))
+    names = text.lower().split()
+    assert len(at) == len(names)
+    by_hash = defaultdict(set)
+    for n, x in zip(names, got.tolist()):
+        by_hash[x].add(n)
+    assert all(len(v) == 1 for v in by_hash.values()) and len(by_hash) == 3
+    assert len(set(stem.tolist())) == 3
+
+
+def test_blocks_do_not_change_hashes(monkeypatch):
+    text = prose(random.Random(3), 4000) + " " + "y" * 5000 + " end"
+    buf = next(W.groups([text], fold=False))[1]
+    whole = W.WordHasher(W.NOT_SPACE).hashes(buf)
+    monkeypatch.setattr(W, "BLOCK", 64)
+    cut = W.WordHasher(W.NOT_SPACE).hashes(buf)
+    assert all((a == b).all() for a, b in zip(whole, cut))
+
+
+# ------------------------------------------------------------------ 1 toxicity
+
+def toxic_rows(n, seed):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        bad = rng.random() < 0.3
+        words = [rng.choice(WORDS) for _ in range(rng.randint(10, 60))]
+        if bad:
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(["vilecow", "vilepig", "nastyrat"]))
+        out.append((i, " ".join(words), int(bad)))
+    return out
+
+
+def test_toxicity_learns_outside_the_held_out_third(spark):
+    rows = toxic_rows(600, 5)
+    docs = frame(spark, [(i, t) for i, t, _ in rows] + [(9000, None), (9001, ""), (None, "x")])
+    held = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1}
+    # labels of the held-out third are turned round: learning from them would show
+    marks = spark.createDataFrame([(i, 1, 1 - y if i in held else y) for i, _, y in rows] * 2,
+                                  "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, marks).collect()}
+    assert len(got) == 603 and {i for i, r in got.items() if r["held_out"] and i < 9000 and i in held
+                                } == held if None not in held else True
+    truth = {i: y for i, _, y in rows}
+    right = sum(got[i]["predicted"] == truth[i] for i in held)
+    assert right >= 0.97 * len(held)
+    assert got[9000]["score"] == got[9001]["score"] and 0 <= got[9000]["score"] <= 1
+    assert all(r["predicted"] == int(r["score"] >= 0.7) for r in got.values())
+
+
+def test_toxicity_without_labels(spark, docs):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity(docs, none).collect()
+    assert len(got) == docs.count() and {round(r["score"], 6) for r in got} == {0.5}
+    assert toxicity.toxicity(docs.limit(0), none).count() == 0
+
+
+def test_ftrl_matches_a_plain_loop():
+    rng = np.random.default_rng(0)
+    rows = [(np.unique(np.append(0, rng.integers(1, 30, 5))), float(rng.integers(2))) for _ in range(80)]
+    model = toxicity.FtrlProximal(30, 0.5, 1.0, 0.4, 0.1)
+    z, n = [0.0] * 30, [0.0] * 30
+    for idx, y in rows:
+        w = {}
+        for i in idx:
+            l1 = 0.0 if i == 0 else 0.4
+            s = -1 if z[i] < 0 else 1
+            w[i] = 0.0 if abs(z[i]) <= l1 else -(z[i] - s * l1) / ((1 + n[i] ** .5) / .5 + .1)
+        g = 1 / (1 + np.exp(-sum(w.values()))) - y
+        for i in idx:
+            z[i] += g - ((n[i] + g * g) ** .5 - n[i] ** .5) / .5 * w[i]
+            n[i] += g * g
+        model.learn(idx, y)
+    assert np.allclose(model.z, z) and np.allclose(model.n, n)
+
+
+# ------------------------------------------------------------------ 2 packing
+
+def tokenizer():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(packing.tokenizer_path())
+
+
+def test_encoder_gives_the_tokenizers_ids():
+    rng = random.Random(2)
+    parts = ["a", " the", "  ", "\n", "\t", "'s", "É", "ß", "12", "!", "日本", "‍", "😀", "\x00",
+             "'LL", "_", "\r\n", "<|endoftext|>", "﻿"]
+    fast, slow = packing.Encoder(packing.tokenizer_path()), tokenizer()
+    assert fast.fast is not None
+    for text in [*("".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(400)),
+                 "z" * 30_000, " " * 30_000 + "x"]:
+        assert fast.ids(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("window,open_windows,merge", [(1024, 64, 64), (64, 3, 2)])
+def test_packing_round_trip(spark, docs, window, open_windows, merge):
+    rows = packing.pack(docs, window=window, open_windows=open_windows, merge_partitions=merge).collect()
+    slow = tokenizer()
+    want = Counter()
+    for i, t in corpus():
+        ids = (slow.encode(t, add_special_tokens=False).ids if t else []) + [0]
+        want[(i, np.array(ids, "<u4").tobytes())] += 1
+    by_doc = defaultdict(list)
+    for r in rows:
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+        by_doc[r["doc_id"]].append(r)
+    for i, pieces in by_doc.items():
+        texts = [k[1] for k in want.elements() if k[0] == i]
+        assert sum(p["length"] for p in pieces) == sum(len(t) // 4 for t in texts)
+        if len(texts) == 1:
+            pieces.sort(key=lambda p: p["start"])
+            assert b"".join(p["ids"] for p in pieces) == texts[0]
+            assert {p["doc_tokens"] for p in pieces} == {len(texts[0]) // 4}
+    by_seq = defaultdict(list)
+    for r in rows:
+        by_seq[r["sequence_id"]].append(r)
+    pad = 0
+    for pieces in by_seq.values():
+        pieces.sort(key=lambda p: p["offset"])
+        at = 0
+        for p in pieces:
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= window and {p["sequence_length"] for p in pieces} == {at}
+        pad += 0 if at & (at - 1) == 0 else window - at
+    assert pad <= 8 * len(by_seq)
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 3 fingerprints
+
+@pytest.mark.parametrize("rows_per_block", [4096, 5])
+def test_next_document_and_edit(spark, docs, rows_per_block):
+    ided = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    got = {r["doc_id"]: r for r in fingerprints.with_next(ided, rows_per_block).collect()}
+    texts = dict(sorted((i, t or "") for i, t in corpus() if i is not None))
+    order = list(texts)
+    assert {i: r["next_text"] for i, r in got.items()} == {
+        i: texts[order[(k + 1) % len(order)]] for k, i in enumerate(order)}
+
+
+def test_fingerprints_by_hand(spark, docs):
+    rows = fingerprints.fingerprints(docs).collect()
+    texts = corpus()
+    assert len(rows) == len(texts)
+    by_text = defaultdict(set)
+    for i, t in texts:
+        for r in rows:
+            if r["doc_id"] == i and r["n_chars"] == len(t or ""):
+                by_text[t or ""].add(r["fingerprint"])
+    assert len({f for fs in by_text.values() for f in fs}) == len(by_text)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    order = sorted({i for i, _ in texts if i is not None})
+    text = {i: t or "" for i, t in texts}
+    for r in rows:
+        i = r["doc_id"]
+        if i is None or i == 110:
+            continue
+        t, nxt = text[i], text[order[(order.index(i) + 1) % len(order)]]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + nxt[:half]
+        assert r["edited_sha256"] == sha(edited)
+        for x, name in ((t, "fingerprint"), (edited, "edited_fingerprint")):
+            nodes = [sha(p) for p in x.split("\n")]
+            out, now = [], []
+            for k, (n, p) in enumerate(zip(nodes, x.split("\n"))):
+                now.append(n)
+                if k == len(nodes) - 1 or p == "" or n[0] in "01":
+                    out.append(sha("".join(now)))
+                    now = []
+            assert r[name] == sha("".join(out))
+        leaf = lambda x: set(re.findall(r"[^\n.!?]{1,64}[.!?]*", x))
+        for x, name in ((edited, "near_edited"), (nxt, "near_next")):
+            a, b = leaf(t), leaf(x)
+            if all(ord(c) < 0x10000 for c in t + x):
+                assert r[name] == pytest.approx(
+                    1.0 if t == x else len(a & b) / len(a | b) if a | b else 0.0)
+
+
+def test_fingerprints_without_ids_or_rows(spark):
+    alone = frame(spark, [(None, "a b"), (None, "c")])
+    assert {r["near_next"] for r in fingerprints.fingerprints(alone).collect()} == {1.0}
+    assert fingerprints.fingerprints(alone.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 4 quality
+
+def test_quality_base_by_hand(spark, docs):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = quality.quality_rules(docs, none).collect()
+    texts = [t or "" for _, t in corpus()]
+
+    def by_hand(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        tri = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+        n = Counter(tri)
+        marked = {i + k for i, x in enumerate(tri) if n[x] > 1 for k in range(3)}
+        seen, dup = set(), 0
+        for line in t.split("\n"):
+            if re.search(r"[^\x20\x09-\x0D]", line):
+                dup += line in seen
+                seen.add(line)
+        failed = len(w) < 50 or 100 * len(marked) > 50 * len(w)
+        return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(marked), failed,
+                not failed)
+
+    assert Counter(tuple(r)[1:8] for r in rows) == Counter(map(by_hand, texts))
+
+
+def test_quality_ratio_by_brute_force_and_verdict(spark):
+    rng = random.Random(9)
+    good = [(i, " ".join(rng.choice(WORDS) for _ in range(80)) + f" n{i}") for i in range(80)]
+    junk = [(200 + i, " ".join(f"zz{rng.randint(0, 9)}$$" for _ in range(80)) + f" n{i} m{i}")
+            for i in range(40)]
+    odd = (500, " ".join(f"rare{i}" for i in range(90)))  # clean, of words seen nowhere else
+    docs = frame(spark, [*good, *junk, odd, (501, None)])
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(0, 80, 2)] + [(i, 0, 0) for i in (200, 201)],
+                                  "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality.quality_rules(docs, marks).collect()}
+    raw, target = Counter(), Counter()
+    grams = {}
+    for i, t in [*good, *junk, odd]:
+        h = W.WordHasher(W.NOT_SPACE).hashes(next(W.groups([t], True))[1])[1]
+        grams[i] = [int(x) >> 48 for x in np.concatenate((h, W.pair(h[:-1], h[1:], 1)))]
+        raw.update(grams[i])
+        if i < 80 and i % 2 == 0:
+            target.update(grams[i])
+    ratio = sum(target.values()) / sum(raw.values())
+    for i, gs in grams.items():
+        own = Counter(gs)
+        mean = np.mean([np.log((target[g] + 4) / ((raw[g] - own[g]) * ratio + 4)) for g in gs])
+        assert got[i]["score"] == pytest.approx(mean, abs=1e-5)
+        assert got[i]["kept"] == (not got[i]["base_failed"] and mean >= quality.THRESHOLD)
+    assert all(got[i]["kept"] for i, _ in good if not got[i]["base_failed"]) and got[500]["kept"]
+    assert not any(got[i]["kept"] for i, _ in junk) and not got[501]["kept"]
+
+
+# ------------------------------------------------------------------ 5 licenses
+
+LICENSED = [
+    (1, "Hello.\nReleased under the MIT License.\nBye"), (2, "Under THE mit; license: under the mit license"),
+    (3, "Licensed under the Apache License, Version 2.0."), (4, "Licensed under CC BY-NC 4.0."),
+    (5, "Licensed under CC BY 4.0."), (6, "This work is licensed under the GNU General Public License, "
+                                         "version 3."),
+    (7, "This work is licenced under the GNU General Public License, version 3."), (8, None), (9, ""),
+    (10, "license " * 3000), (11, "Under the mit licence. apache license. cc by"), (None, "CC-BY-NC"),
+    (12, "permission hereby granted free of charge to any person obtaining a copy of this software and "
+         "associated documentation files"), (13, "All rights reserved.")]
+
+
+def test_license_labels(spark):
+    got = {r["doc_id"]: r for r in licenses.license_report(frame(spark, LICENSED)).collect()}
+    labels = {i: (r["base_labels"], r["labels"]) for i, r in got.items()}
+    assert labels == {
+        1: ("mit", "mit"), 2: ("mit", "mit"), 3: ("apache-2", "apache-2"), 4: ("cc-by-nc", "cc-by-nc"),
+        5: ("", "cc-by"), 6: ("", "gpl-3"), 7: ("", "gpl-3"), 8: ("", ""), 9: ("", ""), 10: ("", ""),
+        11: ("", ""), None: ("cc-by-nc", "cc-by-nc"), 12: ("", "mit"), 13: ("", "all-rights-reserved")}
+    assert (got[2]["n_base"], got[2]["first_word"], got[2]["last_word"], got[2]["n_words"]) == (2, 0, 4, 8)
+    assert got[8]["n_words"] == 0 and got[8]["first_word"] is None and got[10]["n_words"] == 3000
+    assert licenses.license_report(frame(spark, LICENSED).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.75, 0.9])
+def test_license_join_finds_every_block(spark, threshold):
+    rng = random.Random(4)
+    vocab = sorted({w for _, t in licenses.TEMPLATES for w in t.split()})
+    rows = []
+    for i in range(150):
+        _, t = rng.choice(licenses.TEMPLATES)
+        w = [x for x in t.split() if rng.random() < rng.choice([0.5, 0.8, 1.0])]
+        rows.append((i, " ".join(w + rng.sample(vocab, rng.randint(0, 4)))))
+    got = {(r["doc_id"], m["label"], round(m["containment"], 9))
+           for r in licenses.scan(frame(spark, rows), threshold=threshold).collect() for m in r["matches"]}
+    want = set()
+    for i, t in rows:
+        have = [(label, len(set(x.split()) & set(t.split())) / len(set(x.split())),
+                 len(set(x.split()))) for label, x in licenses.TEMPLATES]
+        met = [x for x in have if x[1] >= threshold - 1e-9]
+        best = max(((c, n) for _, c, n in met), default=None)
+        want |= {(i, label, round(c, 9)) for label, c, n in met if (c, n) == best}
+    assert got == want
+
+
+# ------------------------------------------------------------------ 6 lines
+
+@pytest.mark.parametrize("sites", [2, 3, 5])
+def test_line_dedup_by_brute_force(spark, sites):
+    rng = random.Random(6)
+    pool = [f"a shared line number {k} of some length" for k in range(12)] + ["short", ""]
+    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < .6 else f"an own line {i} {j} here"
+                          for j in range(rng.randint(1, 9))), "en", f"s{rng.randint(0, 6)}", 0)
+            for i in range(60)]
+    rows += [(100, None, "en", "s1", 0), (101, "", "en", "s2", 0), (102, pool[0], "en", None, 0),
+             (None, pool[1], "en", "s5", 0), (103, pool[2], "en", "s0", 0), (103, pool[2], "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = lines.dedup_lines(docs, sites=sites).collect()
+    spread, first = defaultdict(set), {}
+    for i, t, _, s, _ in rows:
+        for pos, line in enumerate((t or "").split("\n") if t is not None else []):
+            k = line.strip(" ")
+            if len(k) >= 16:
+                if s is not None:
+                    spread[k].add(s)
+                at = ((i is not None, i or 0), pos)
+                first[k] = min(first.get(k, at), at)
+    want = []
+    for i, t, lang, s, n in rows:
+        if t is None:
+            want.append((i, None, lang, s, n, 0))
+            continue
+        kept = [line for pos, line in enumerate(t.split("\n")) if not (
+            len(spread[line.strip(" ")]) >= sites
+            and first.get(line.strip(" ")) != ((i is not None, i or 0), pos))]
+        want.append((i, "\n".join(kept), lang, s, n, len(t.split("\n")) - len(kept)))
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    assert lines.dedup_lines(docs.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 7 mixing
+
+def test_mixing_rates_and_repeats(spark):
+    rows = [(i, "w" * 50, "en", "big" if i % 4 else "small", 50) for i in range(4000)]
+    rows += [(9000, None, "en", None, 0), (9001, None, "en", None, 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    first = mixing.mix_sources(docs)
+    again = mixing.mix_sources(docs.repartition(7))
+    assert sorted(r["shuffle_key"] for r in first.collect()) == sorted(
+        r["shuffle_key"] for r in again.collect())
+    n = Counter(r["source"] for r in first.collect())
+    share = 1000 ** .5 / (1000 ** .5 + 3000 ** .5)
+    assert n["small"] == pytest.approx(4000 * share, rel=.1)
+    assert n["big"] == pytest.approx(4000 * (1 - share), rel=.1)
+    copies = Counter(r["doc_id"] for r in first.collect() if r["source"] == "small")
+    mean = 4 * share
+    for k in (1, 2, 3):
+        p = np.exp(-mean) * mean ** k / np.prod(range(1, k + 1))
+        assert sum(c == k for c in copies.values()) == pytest.approx(1000 * p, abs=5 * (1000 * p) ** .5)
+
+
+def test_mixing_large_rates_are_not_capped(spark):
+    rows = [(i, "w" * 10, "en", "rare" if i < 40 else "rest", 10) for i in range(4000)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), weights={"rare": 1.0})
+    n = Counter(r["source"] for r in got.select("source").collect())
+    assert set(n) == {"rare"} and n["rare"] == pytest.approx(4000, rel=.1)  # rate 100
+    order = [r["doc_id"] for r in got.collect()]
+    assert order != sorted(order)
+
+
+def test_mixing_clashing_names_and_empty(spark, docs):
+    odd = docs.withColumn("s", F.lit("own")).withColumn("b", F.lit(1)).withColumn("rate", F.lit(2))
+    got = mixing.mix_sources(odd)
+    assert sorted(got.columns) == sorted([*odd.columns, "copy", "copies", "shuffle_key"])
+    assert mixing.mix_sources(docs.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 8 simhash
+
+def plain_simhash(text):
+    import xxhash
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    sh = [" ".join(w[i:i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+
+
+def plain_components(fps, ids, distance=4):
+    parent = list(range(len(fps)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(len(fps)):
+        for j in range(i):
+            if bin(fps[i] ^ fps[j]).count("1") <= distance:
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    least = {}
+    for i, d in enumerate(ids):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return [least.get(find(i)) for i in range(len(ids))]
+
+
+def test_simhash_by_brute_force(spark, docs):
+    rows = [r for r in corpus() if r[0] not in (106,)]
+    got = simhash.near_duplicates(docs.where("doc_id IS NULL OR doc_id <> 106")).collect()
+    fps = [plain_simhash(t) for _, t in rows]
+    comps = plain_components(fps, [i for i, _ in rows])
+    want = sorted(key((i, f"{f:016x}", c)) for (i, _), f, c in zip(rows, fps, comps))
+    assert sorted(map(key, got)) == want
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [1 << 15, 7])
+def test_links_connect_what_brute_force_connects(spark, block):
+    """Dense clusters, chains of small steps and lone fingerprints; long postings go in blocks."""
+    rng = random.Random(8)
+    fps = {rng.getrandbits(64) for _ in range(120)}
+    for _ in range(4):
+        centre = rng.getrandbits(64)
+        for _ in range(40):
+            x = centre
+            for _ in range(rng.randint(0, 4)):
+                x ^= 1 << rng.randrange(64)
+            fps.add(x)
+    x = rng.getrandbits(64)
+    for _ in range(30):  # a chain whose ends are far apart
+        for _ in range(4):
+            x ^= 1 << rng.randrange(64)
+        fps.add(x)
+    fps = sorted(fps)
+    signed = [simhash._signed(f) for f in fps]
+    df = spark.createDataFrame([(f, i) for i, f in enumerate(signed)], "fp long, label long")
+    edges = simhash.links(df.select("fp"), "fp", block=block)
+    for r in edges.collect():
+        assert bin((r["a"] ^ r["b"]) & (2 ** 64 - 1)).count("1") <= 4
+    found = {r["node"]: r["label"] for r in simhash.components(
+        edges, df.select(F.col("fp").alias("node"), "label")).collect()}
+    assert [found.get(f, i) for i, f in enumerate(signed)] == plain_components(fps, range(len(fps)))
+
+
+def test_one_of_each_group_stays(spark, docs):
+    odd = docs.withColumn("fp", F.lit("own")).withColumn("least", F.lit(1)).withColumn("th", F.lit(1))
+    kept = simhash.one_of_each(odd)
+    assert kept.columns == odd.columns
+    rows = corpus()
+    comps = plain_components([plain_simhash(t) for _, t in rows], [i for i, _ in rows])
+    want = Counter(i for i in comps if i is not None)
+    got = Counter(r["doc_id"] for r in kept.collect())
+    assert got == Counter(set(want)) + Counter({None: 1} if any(c is None for c in comps) else {})
+    # same id, different texts: the row of the right group stays
+    two = frame(spark, [(1, prose(random.Random(1), 80)), (2, prose(random.Random(2), 80)),
+                        (2, prose(random.Random(1), 80))])
+    assert Counter((r["doc_id"], r["text"]) for r in simhash.one_of_each(two).collect()) == Counter(
+        [(1, prose(random.Random(1), 80)), (2, prose(random.Random(2), 80))])
+
+
+# ------------------------------------------------------------------ 9 sharding
+
+@pytest.mark.parametrize("shards", [16, 5])
+def test_shards_hold_equal_bytes_and_whole_groups(spark, shards):
+    rng = random.Random(11)
+    rows = [(i, prose(rng, rng.randint(1, 60))) for i in range(1500)]
+    rows += [(2000 + i, rows[i % 7][1]) for i in range(30)] + [(None, "x"), (None, None), (3000, ""),
+                                                              (3001, "y"), (3001, "y")]
+    got = sharding.shard(frame(spark, rows), shards).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    size, slots, where = Counter(), defaultdict(list), defaultdict(set)
+    for r in got:
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+        where[r["text_crc32"], r["size"]].add(r["shard"])
+    mean = sum(size.values()) / shards
+    assert set(size) == set(range(shards)) and max(abs(x / mean - 1) for x in size.values()) < 0.05
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(s) == 1 for s in where.values())
+
+
+def test_shards_of_ties_one_group_and_nothing(spark):
+    same = frame(spark, [(i, "same text") for i in range(50)])  # one point cannot be divided
+    assert len({r["shard"] for r in sharding.shard(same).collect()}) == 1
+    ties = spark.createDataFrame([(7, f"t{i:04d}", "en", "s", 5) for i in range(640)], SCHEMA)
+    assert max(Counter(r["shard"] for r in sharding.shard(ties).collect()).values()) <= 42
+    assert sharding.shard(same.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ 10 personal data
+
+def plain_base(t):
+    out = [("email", *m.span()) for m in re.finditer(
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
+            if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = [int(c) for c in m.group() if c.isdigit()]
+        if 13 <= len(d) <= 19 and sum(sum(divmod(x * (1 + k % 2), 10)) for k, x in
+                                      enumerate(reversed(d))) % 10 == 0:
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t)
+                  if 9 <= sum(c.isdigit() for c in m.group()) <= 15]
+
+
+def test_base_spans_equal_the_plain_patterns():
+    rng = random.Random(13)
+    bits = ["a@b.co", "@", "x.y+z@m-n.org", "1.2.3.4", "300.1.1.1", ".", "4111111111111111", " ", "-",
+            "+1 (543) 555-1234", "+", "é", "4111 1111 1111 1111", "..", "9", "@@", "b", "1.2.3", "\n", "+49"]
+    for _ in range(3000):
+        t = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        assert pii.base_spans(t) == plain_base(t), t
+    assert pii.base_spans(None) == pii.base_spans("") == []
+    for long in ("1" * 300_000, "a" * 300_000, "a@" * 100_000, "1." * 100_000, "+1" * 100_000):
+        assert isinstance(pii.base_spans(long), list)
+
+
+def test_bootstrapping_finds_identifiers_without_a_base_form(spark):
+    rng = random.Random(14)
+    rows = [(i, f"{prose(rng, 10)} Phone: +1 ({200 + i}) 555-{1000 + i} and more") for i in range(30)]
+    rows += [(100 + i, f"{prose(rng, 10)} phone: 0{170 + i}-{4455660 + i}. more") for i in range(5)]
+    rows += [(200 + i, f"of the {rng.choice(WORDS)} x") for i in range(40)]
+    rows += [(300, "of the +1 (222) 555-9999"), (301, None), (302, ""), (303, "phone: none today")]
+    docs = frame(spark, rows)
+    assert pii.learn_patterns(docs) == {"phone:": "phone"}
+    got = {r["doc_id"]: r for r in pii.personal_data(docs).collect()}
+    for i, t in rows:
+        base = plain_base(t or "")
+        joined = ",".join("%s:%d:%d" % s for s in base)
+        assert got[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert got[i]["n_phone"] == sum(k == "phone" for k, _, _ in base)
+        if 100 <= i < 105:
+            s = t.lower().index("phone: ") + 7
+            assert got[i]["spans"] == f"phone:{s}:{t.index('. more')}"
+        else:
+            assert got[i]["spans"] == joined
+    assert pii.personal_data(docs.limit(0)).count() == 0
+
+
+def test_belief_spreads_over_the_graph(spark):
+    """A second pattern gains through unknown instances it shares with a trusted one."""
+    edges = [("a:", f"s{k}", "phone", 1) for k in range(9)] + [("a:", f"u{k}", None, 1) for k in range(9)]
+    edges += [("b:", f"u{k}", None, 1) for k in range(9)] + [("b:", "s0", "phone", 1)]
+    edges += [("c:", "s1", "phone", 1), ("c:", None, None, 99)]
+    df = spark.createDataFrame(edges, "pattern string, instance string, kind string, n long")
+    got = {r["pattern"]: r["confidence"] for r in pii.score_patterns(df).collect()}
+    conf = {"a:": 9 / 18, "b:": 1 / 10, "c:": 1 / 100}
+    for _ in range(pii.ROUNDS):
+        belief = 1 - (1 - conf["a:"]) * (1 - conf["b:"])
+        conf = {"a:": (9 + 9 * belief) / 18, "b:": (1 + 9 * belief) / 10, "c:": 1 / 100}
+    assert got == pytest.approx(conf)
