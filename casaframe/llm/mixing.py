@@ -25,7 +25,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casaframe.llm.common import join_small
+from casaframe.llm.common import join_small, written
 
 TEMPERATURE = 0.5    # target share of a source: its bytes to this power
 SEED = 7
@@ -49,12 +49,11 @@ def rates(docs: DataFrame, source: str = "source", text: str = "text",
         table = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
         weight = F.coalesce(F.get(F.map_values(F.map_filter(table, lambda k, _: k == F.col("s"))), 0)
                             .cast("double"), F.lit(0.0))
-    each = each.withColumn("w", weight)
-    total = each.agg(F.sum("b").alias("tb"), F.sum("w").alias("tw"), F.lit(0).alias("one"))
-    return (each.withColumn("one", F.lit(0)).join(F.broadcast(total), "one")  # one row
-            .select("s", F.when(F.col("b") > 0, F.round(
-                F.col("w") / F.col("tw") * (F.col("tb") / F.col("b")), 9)).otherwise(1.0)
-                .alias("rate")))
+    each = written(each.withColumn("w", weight), "mixing_sources")
+    all_bytes, all_weights = each.agg(F.sum("b"), F.sum("w")).first()
+    return each.select("s", F.when((F.col("b") > 0) & F.lit(bool(all_weights)), F.round(
+        F.col("w") / F.lit(all_weights) * (F.lit(all_bytes) / F.col("b")), 9)).otherwise(1.0)
+        .alias("rate"))
 
 
 def uniform(*key: Column) -> Column:
@@ -94,10 +93,11 @@ def mix_sources(docs: DataFrame, *, source: str = "source", text: str = "text",
     base = "__cf_ident"
     drawn = join_small(docs.withColumn(s, own), per_source, s, "left").withColumn(
         base, F.concat_ws(":", *ident))
-    count = F.aggregate(
-        F.sequence(F.lit(1).cast("long"), F.col(parts)), F.lit(0),
-        lambda acc, j: acc + F.size(F.filter(
-            F.col(table), lambda c: c <= uniform(F.lit(str(seed)), j.cast("string"), F.col(base)))))
+    # the draws are an array of their own, so each is made once and not once per term
+    draws = F.transform(F.sequence(F.lit(1).cast("long"), F.col(parts)),
+                        lambda j: uniform(F.lit(str(seed)), j.cast("string"), F.col(base)))
+    count = F.aggregate(draws, F.lit(0), lambda acc, u: acc + F.size(F.filter(
+        F.col(table), lambda c: c <= u)))
     drawn = drawn.withColumn(copies, count).where(F.col(copies) > 0)
     out = (drawn.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(copies) - 1)))
            .withColumn(key, F.md5(F.concat_ws(":", F.lit(f"order{seed}"),
