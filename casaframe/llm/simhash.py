@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casaframe.llm import words as W
-from casaframe.llm.common import append_columns, written
+from casaframe.llm.common import MAX_BROADCAST_ROWS, append_columns, written
 from casaframe.session import reliable_checkpoint
 
 SHINGLE_WORDS = 4
@@ -257,25 +257,30 @@ def components(edges: DataFrame, own: DataFrame) -> DataFrame:
             return state.select("node", F.col("best.label").alias("label"))
 
 
-def groups(docs: DataFrame, *, fp: str = "fp", component: str = "component_id",
-           shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE,
-           block: int = BLOCK) -> DataFrame:
-    """(doc_id, fp, component): fingerprint and least reachable doc_id of every row."""
-    prints = written(with_fingerprints(docs, fp, keep=["doc_id"], shingle_words=shingle_words),
-                     "simhash")
+def groups(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS,
+           max_distance: int = MAX_DISTANCE, block: int = BLOCK) -> DataFrame:
+    """(doc_id, th, fp, least) of every row.
+
+    ``th`` is a hash of the text, ``least`` (lost, doc_id, th) the first row
+    of the row's group: the least id, rows without an id last.
+    """
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    prints = written(with_fingerprints(docs, "fp", keep=["doc_id", "th"],
+                                       shingle_words=shingle_words), "simhash")
     # a fingerprint shared by many documents is summed up before anything is joined
-    distinct = written(prints.groupBy(fp).agg(F.min("doc_id").alias("label")), "simhash_distinct")
-    edges = links(distinct, fp, max_distance=max_distance, block=block)
-    linked = components(edges, distinct.select(F.col(fp).alias("node"), "label"))
-    final = (distinct.join(linked.select(F.col("node").alias(fp), F.col("label").alias("least")),
-                           fp, "left")
-             .select(fp, F.coalesce("least", "label").alias(component)))
+    label = F.min(F.struct(F.isnull("doc_id").alias("lost"), "doc_id", "th")).alias("label")
+    distinct = written(prints.groupBy("fp").agg(label), "simhash_distinct")
+    edges = links(distinct, "fp", max_distance=max_distance, block=block)
+    linked = components(edges, distinct.select(F.col("fp").alias("node"), "label"))
+    final = (distinct.join(linked.select(F.col("node").alias("fp"), F.col("label").alias("found")),
+                           "fp", "left")
+             .select("fp", F.coalesce("found", "label").alias("least")))
     # one fingerprint may belong to a third of the documents: its row is dealt to SALTS parts
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
-    spread = final.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-                              ).withColumn("salt", F.col("salt").cast("long"))
-    return (prints.withColumn("salt", salt).join(spread, [fp, "salt"])
-            .select("doc_id", fp, component))
+    salt = F.pmod(F.xxhash64("doc_id", "th"), F.lit(SALTS))
+    spread = final.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                           F.lit(SALTS - 1).cast("long"))))
+    return (prints.withColumn("salt", salt).join(spread, ["fp", "salt"])
+            .select("doc_id", "th", "fp", "least"))
 
 
 def hex16(fp: Column) -> Column:
@@ -284,31 +289,27 @@ def hex16(fp: Column) -> Column:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (hex), component_id of every row, at the contract's settings."""
-    return groups(docs.select("doc_id", "text")).select(
-        "doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    return groups(docs).select("doc_id", hex16(F.col("fp")).alias("fingerprint"),
+                               F.col("least.doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that stay: of every group the row whose id is its component_id.
+    """The documents that stay: the first row of every group, all columns unchanged.
 
-    Rows repeated under that id are one row; a group without any id keeps one
-    row.  All columns of ``docs`` are returned unchanged.
+    Rows repeated with id and text are one row.  Few removals are broadcast;
+    with many, the removal is a shuffled join.
     """
-    kept = written(groups(docs.select("doc_id", "text"))
-                   .groupBy("component_id").agg(F.count("*").alias("n"),
-                                                F.count_if(F.col("doc_id").eqNullSafe(
-                                                    F.col("component_id"))).alias("same")),
-                   "simhash_kept")
-    name = "__cf_keep"
-    ids = kept.where("component_id IS NOT NULL").select(F.col("component_id").alias(name))
-    stay = docs.join(ids, F.col("doc_id") == F.col(name), "left_semi")
-    if not kept.where("component_id IS NOT NULL AND same > 1").isEmpty():
-        stay = stay.dropDuplicates(["doc_id"])
-    if not kept.where("component_id IS NULL").isEmpty():
-        lost = docs.where("doc_id IS NULL")
-        prints = with_fingerprints(lost, "__cf_fp", keep=lost.columns)
-        alone = groups(docs.select("doc_id", "text")).where("component_id IS NULL").select(
-            F.col("fp").alias("__cf_fp")).distinct()
-        stay = stay.unionByName(prints.join(alone, "__cf_fp", "left_semi")
-                                .dropDuplicates(["__cf_fp"]).drop("__cf_fp"))
-    return stay
+    found = written(groups(docs).select(
+        F.col("doc_id").alias("__cf_doc"), F.col("th").alias("__cf_th"),
+        (F.struct(F.isnull("doc_id").alias("lost"), "doc_id", "th") == F.col("least")).alias("first")),
+        "simhash_rows")
+    gone = found.where(~F.col("first")).select("__cf_doc", "__cf_th").distinct()
+    if gone.count() <= MAX_BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    stay = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__cf_doc"))
+                     & (F.xxhash64("text") == F.col("__cf_th")), "left_anti")
+    repeated = found.where("first").groupBy("__cf_doc", "__cf_th").count().where("count > 1")
+    if repeated.isEmpty():
+        return stay
+    return (stay.withColumn("__cf_th", F.xxhash64("text")).dropDuplicates(["doc_id", "__cf_th"])
+            .drop("__cf_th"))
