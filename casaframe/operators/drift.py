@@ -10,8 +10,8 @@ Plan shape (all features at once, never a loop of jobs per feature):
   closed on the right and a constant column lands in the last bin.
 * KS     -- (feature, value) counts per side, then the distributed running
   sums of ``order_stats`` give both empirical CDFs; D is their largest gap.
-  The p-value is exact (lattice paths) up to 10000 values per side, and the
-  Kolmogorov limit above.
+  The p-value is exact (lattice paths) up to 10000 values per side; above it
+  is that of the one-sample law at the effective size.
 """
 
 from __future__ import annotations
@@ -41,23 +41,29 @@ def numeric_columns(reference: DataFrame, current: DataFrame) -> list[str]:
 
 
 def pooled(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """Both samples in one frame with a ``side`` column (0 = reference, 1 = current)."""
+    """Both samples as rows (side, column_name, value); side 0 = reference, 1 = current."""
     def proj(df: DataFrame, side: int) -> DataFrame:
         dtypes = {f.name: f.dataType for f in df.schema.fields}
-        return df.select(F.lit(side).alias("side"),
-                         *[to_double(c, dtypes[c]).alias(c) for c in columns])
+        return order_stats.in_rows(df, {c: to_double(c, dtypes[c]) for c in columns},
+                                   "column_name", "value", (F.lit(side).alias("side"),))
     return proj(reference, SIDE_REF).unionByName(proj(current, SIDE_CUR))
 
 
+def require_finite(stats: dict[str, dict]) -> None:
+    """A column with an infinite value has no bin edges: an error that names it."""
+    bad = sorted(c for c, s in stats.items() if any(
+        s[k] is not None and math.isinf(s[k]) for k in ("lo0", "lo1", "hi0", "hi1")))
+    if bad:
+        raise ValueError(f"infinite values in {', '.join(bad)}: drift bins need a finite range")
+
+
 def side_stats(both: DataFrame, columns: list[str]) -> dict[str, dict]:
     """n / min / max per side and feature.
 
-    The pooled frame is unpivoted to (side, column_name, value) and grouped;
-    the partial aggregate leaves at most 2 x features rows per task, so the
+    ``both`` holds the rows of ``pooled``; the partial aggregate leaves at most 2 x features rows per task, so the
     shuffle is tiny and the generated code stays small for wide frames.
     """
-    long = both.unpivot(["side"], columns, "column_name", "value")
-    rows = (long.groupBy("column_name", "side")
+    rows = (both.groupBy("column_name", "side")
             .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
             .collect())
     out = {c: {"n0": 0, "n1": 0, "lo0": None, "lo1": None, "hi0": None, "hi1": None}
@@ -65,6 +71,7 @@ def side_stats(both: DataFrame, columns: list[str]) -> dict[str, dict]:
     for r in rows:
         s = int(r["side"])
         out[r["column_name"]].update({f"n{s}": int(r["n"]), f"lo{s}": r["lo"], f"hi{s}": r["hi"]})
+    require_finite(out)
     return out
 
 
@@ -92,6 +99,15 @@ def bin_index(x: Column, edges: list[float]) -> Column:
     return out.otherwise(F.when(x.isNotNull(), F.lit(0)))
 
 
+def _bin_by_name(edges: dict[str, list[float]]) -> Column:
+    """Bin of ``value`` by the edges of the row's ``column_name``."""
+    idx = None
+    for c, e in edges.items():
+        cond, expr = F.col("column_name") == F.lit(c), bin_index(F.col("value"), e)
+        idx = F.when(cond, expr) if idx is None else idx.when(cond, expr)
+    return idx
+
+
 BINS_SCHEMA = "column_name string, bin int, reference_count bigint, current_count bigint"
 
 
@@ -110,9 +126,7 @@ def psi_bins(reference: DataFrame, current: DataFrame, columns: list[str] | None
         return spark.createDataFrame([], BINS_SCHEMA)
     edges = {c: bin_edges(min(stats[c]["lo0"], stats[c]["lo1"]),
                           max(stats[c]["hi0"], stats[c]["hi1"]), bins) for c in usable}
-    binned = both.select("side", *[
-        bin_index(F.col(c), edges[c]).alias(c) for c in usable])
-    counts = (binned.unpivot(["side"], usable, "column_name", "bin")
+    counts = (both.select("side", "column_name", _bin_by_name(edges).alias("bin"))
               .where(F.col("bin").isNotNull())
               .groupBy("column_name", "bin")
               .agg(F.count_if(F.col("side") == SIDE_REF).alias("reference_count"),
@@ -149,8 +163,7 @@ def ks_statistic(reference: DataFrame, current: DataFrame,
 def distinct_counts(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, value, n_ref, n_cur) for every distinct value, range-partitioned
     and checkpointed: the one pass over both inputs that the drift report needs."""
-    both = pooled(reference, current, columns)
-    long = both.unpivot(["side"], columns, "column_name", "value").where(F.col("value").isNotNull())
+    long = pooled(reference, current, columns).where(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(
         F.count_if(F.col("side") == SIDE_REF).alias("n_ref"),
         F.count_if(F.col("side") == SIDE_CUR).alias("n_cur"))
@@ -170,6 +183,7 @@ def stats_from_counts(counts: DataFrame, columns: list[str]) -> dict[str, dict]:
     for r in rows:
         out[r["column_name"]] = {"n0": int(r["n0"]), "n1": int(r["n1"]), "lo0": r["lo0"],
                                  "lo1": r["lo1"], "hi0": r["hi0"], "hi1": r["hi1"]}
+    require_finite(out)
     return out
 
 
@@ -181,12 +195,7 @@ def bins_from_counts(counts: DataFrame, stats: dict, usable: list[str],
         return spark.createDataFrame([], BINS_SCHEMA)
     edges = {c: bin_edges(min(stats[c]["lo0"], stats[c]["lo1"]),
                           max(stats[c]["hi0"], stats[c]["hi1"]), bins) for c in usable}
-    idx = None
-    for c in usable:
-        cond = F.col("column_name") == F.lit(c)
-        expr = bin_index(F.col("value"), edges[c])
-        idx = F.when(cond, expr) if idx is None else idx.when(cond, expr)
-    hist = (counts.select("column_name", idx.alias("bin"), "n_ref", "n_cur")
+    hist = (counts.select("column_name", _bin_by_name(edges).alias("bin"), "n_ref", "n_cur")
             .where(F.col("bin").isNotNull())
             .groupBy("column_name", "bin")
             .agg(F.sum("n_ref").alias("reference_count"), F.sum("n_cur").alias("current_count")))
@@ -225,9 +234,65 @@ def kolmogorov_sf(z: Column, terms: int = 100) -> Column:
     return F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0))
 
 
+FINITE_MAX_N = 2000  # effective size up to which the one-sample law is summed exactly
+
+
+def one_sample_sf(n: int, d: float) -> float:
+    """P(D_n >= d) of the one-sample statistic: the power of a banded matrix.
+
+    The CDF is n! / n^n times an entry of H^n, with H of size 2 k - 1 and
+    k = ceil(n d); the power is taken by squaring, rescaled on the way.
+    """
+    if n < 1 or not 0.0 < d < 1.0:
+        return 1.0 if d <= 0.0 or n < 1 else 0.0
+    if n * d * d > 18.0:  # far below any double the report shows
+        return float(min(1.0, 2.0 * math.exp(-2.0 * n * d * d)))
+    k = int(n * d) + 1
+    m, h = 2 * k - 1, k - n * d
+    row, col = np.indices((m, m))
+    band = np.where(row - col + 1 >= 0, 1.0, 0.0)
+    edge = h ** np.arange(1, m + 1)
+    band[:, 0] -= edge
+    band[m - 1, :] -= edge[::-1]
+    if 2 * h - 1 > 0:
+        band[m - 1, 0] += (2 * h - 1) ** m
+    fact = np.array([math.lgamma(max(i, 0) + 1) for i in range(m + 1)])
+    band *= np.exp(-fact[np.maximum(row - col + 1, 0)])
+    out, scale, power, shift, e = np.eye(m), 0.0, band, 0.0, n
+    while e:
+        if e & 1:
+            out, scale = out @ power, scale + shift
+            top = out.max()
+            out, scale = out / top, scale + math.log(top)
+        power, shift = power @ power, 2 * shift
+        top = power.max()
+        power, shift = power / top, shift + math.log(top)
+        e >>= 1
+    mid = out[k - 1, k - 1]
+    cdf = math.exp(scale + math.lgamma(n + 1) - n * math.log(n) + math.log(mid)) if mid > 0 else 0.0
+    return float(min(max(1.0 - cdf, 0.0), 1.0))
+
+
+@F.pandas_udf(T.DoubleType())
+def _one_sample_udf(n: pd.Series, d: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(x) or pd.isna(k) else one_sample_sf(int(k), float(x))
+                      for k, x in zip(n, d)], dtype="float64")
+
+
 def ks_asymptotic_pvalue(d: Column, n1: Column, n2: Column) -> Column:
-    en = n1.cast("double") * n2.cast("double") / (n1 + n2).cast("double")
-    return kolmogorov_sf(d * F.sqrt(en))
+    """The one-sample law at the rounded effective size n1 n2 / (n1 + n2).
+
+    Summed exactly up to FINITE_MAX_N; above, the limit law at an argument
+    corrected for the size, whose error is below 1e-5 there.
+    """
+    en = F.bround(n1.cast("double") * n2.cast("double") / (n1 + n2).cast("double"), 0)
+    z = d * F.sqrt(en)
+    corrected = F.when(z > 0, z + 1.0 / (6.0 * F.sqrt(en)) + (z - 1.0) / (4.0 * en)).otherwise(0.0)
+    # Spark calls a Python function for every row, whatever the condition around it:
+    # rows of the other branch go in as NULL
+    small = en <= FINITE_MAX_N
+    exact = _one_sample_udf(F.when(small, en), F.when(small, d))
+    return F.when(small, exact).when(d.isNotNull(), kolmogorov_sf(corrected))
 
 
 def ks_exact_pvalue(n1: int, n2: int, d: float) -> float:
@@ -263,7 +328,7 @@ def ks_exact_pvalue(n1: int, n2: int, d: float) -> float:
 def _exact_pvalue_udf(n1: pd.Series, n2: pd.Series, d: pd.Series) -> pd.Series:
     out = []
     for a, b, x in zip(n1, n2, d):
-        if pd.isna(x) or max(a, b) > schema.KS_EXACT_MAX_N or min(a, b) < 1:
+        if pd.isna(x) or min(a, b) < 1:
             out.append(None)
         else:
             out.append(ks_exact_pvalue(int(a), int(b), float(x)))
@@ -271,14 +336,19 @@ def _exact_pvalue_udf(n1: pd.Series, n2: pd.Series, d: pd.Series) -> pd.Series:
 
 
 def ks_pvalue(n1: Column, n2: Column, d: Column, method: str = "auto") -> Column:
-    """p-value: exact up to 10000 values per side (``auto``), else asymptotic."""
+    """p-value: exact up to 10000 values per side (``auto``), else by the one-sample law.
+
+    ``method="exact"`` walks the lattice at any size (n1 + n2 steps of n1 points).
+    """
     asym = ks_asymptotic_pvalue(d, n1, n2)
     if method == "asymp":
         return asym
     exact = _exact_pvalue_udf(n1, n2, d)
     if method == "exact":
         return exact
-    return F.when(F.greatest(n1, n2) > schema.KS_EXACT_MAX_N, asym).otherwise(exact)
+    small = F.greatest(n1, n2) <= schema.KS_EXACT_MAX_N
+    exact = _exact_pvalue_udf(F.when(small, n1), F.when(small, n2), F.when(small, d))
+    return F.when(small, exact).otherwise(asym)
 
 
 def ks_test(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
@@ -354,6 +424,7 @@ def drift_report(features: DataFrame, threshold: float = schema.DRIFT_SHARE_THRE
     )
 
 
+# --- fixed values: the fields are the keys of the report's JSON
 @dataclass
 class DriftReport:
     dataset_drift: bool
@@ -379,28 +450,12 @@ def detect_drift(reference: DataFrame, current: DataFrame,
     )
 
 
-def save_drift_report(report: DriftReport, output_dir: str, spark=None) -> str:
-    """Write ``drift_report_<UTC yyyymmdd_HHMMSS>.json``; returns its path.
-
-    A local path gets a plain file (as the original tool wrote); with a
-    session the record is appended to a JSON dataset with a ``report_ts``.
-    """
+def save_drift_report(report: DriftReport, output_dir: str, spark) -> str:
+    """Append the report, with its time and name, to the JSON dataset in ``output_dir``."""
     from datetime import datetime, timezone
 
-    ts = datetime.now(timezone.utc)
-    name = f"drift_report_{ts.strftime('%Y%m%d_%H%M%S')}.json"
-    if spark is None:
-        import os
-
-        os.makedirs(output_dir, exist_ok=True)
-        path = os.path.join(output_dir, name)
-        with open(path, "w", encoding="utf-8") as fh:
-            json.dump(asdict(report), fh, indent=2)
-        return path
-    rec = asdict(report)
-    rec["report_ts"] = ts.isoformat()
-    rec["report_name"] = name
-    df = spark.createDataFrame([json.dumps(rec)], "string").select(
-        F.col("value").alias("json"))
-    df.coalesce(1).write.mode("append").text(output_dir)
+    now = datetime.now(timezone.utc)
+    name = now.strftime("drift_report_%Y%m%d_%H%M%S.json")
+    body = json.dumps({**asdict(report), "report_ts": now.isoformat(), "report_name": name})
+    spark.createDataFrame([(body,)], "json string").coalesce(1).write.mode("append").text(output_dir)
     return f"{output_dir.rstrip('/')}/{name}"

@@ -5,10 +5,13 @@ grouping already treats NULL = NULL, NaN = NaN and -0.0 = 0.0).  A group of
 identical rows is combined map-side by the partial aggregate, so one hot
 group never lands in one task.
 
-Long rows (documents) are not shuffled whole: rows are first grouped by a
-64-bit hash, which moves only the hashes; only rows whose hash occurs more
-than once are then grouped on their full columns.  A hash collision merely
-adds a candidate, so the result stays exact.
+Rows whose hash is unique are never shuffled whole: rows are first grouped
+by a 64-bit hash, which moves only the hashes; only rows whose hash occurs
+more than once are then grouped on their full columns.  A hash collision
+merely adds a candidate, so the result stays exact.  Where the repeated
+hashes are too many to broadcast, the join that finds their rows moves the
+rows once; it is salted, so that a record that makes up a third of the data
+is dealt to many tasks.
 """
 
 from __future__ import annotations
@@ -45,6 +48,17 @@ def _hash_groups(df: DataFrame, cols: list[str]):
     return hashed, hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
 
 
+SALTS = 32
+
+
+def _repeated(hashed: DataFrame, shared: DataFrame) -> DataFrame:
+    """Rows of ``hashed`` whose ``_h`` is in ``shared``; equal hashes are spread over SALTS tasks."""
+    salted = hashed.withColumn("_salt", F.monotonically_increasing_id() % SALTS)
+    spread = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                             F.lit(SALTS - 1).cast("bigint"))))
+    return salted.join(spread, ["_h", "_salt"], "left_semi").drop("_salt")
+
+
 def duplicate_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row: total_rows, duplicate_rows (rows equal to an earlier row), duplicate_pct."""
     cols = columns or df.columns
@@ -56,7 +70,7 @@ def duplicate_report(df: DataFrame, columns: list[str] | None = None) -> DataFra
         hashed, per_hash = hg
         shared = per_hash.where(F.col("_n") > 1).select("_h")
         # only rows whose hash repeats are grouped (and shuffled) on their full columns
-        cand = hashed.join(shared, "_h", "left_semi")
+        cand = _repeated(hashed, shared)
         exact = cand.groupBy(*[qcol(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
         parts = (per_hash.agg(F.sum("_n").alias("t")).withColumn("d", F.lit(0).cast("bigint"))
                  .unionByName(exact.agg(F.sum(F.col("_n") - 1).alias("d"))
@@ -73,19 +87,22 @@ def duplicate_report(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 def mark_duplicates(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
     """``df`` plus ``is_duplicate``: true for every row but the one with the smallest ``key``
-    in its group of equal rows.  ``key`` must be unique.
+    in its group of equal rows.  ``key`` must be present and unique; anything else is an error.
 
     Instead of a window over each group (a hot group would be one task), the
     first key of every group is found by aggregation, and only the keys of
     later copies are joined back on the unique key, which cannot be skewed.
     """
     cols = columns or [c for c in df.columns if c != key]
+    bad = df.groupBy(qcol(key).alias("k")).count().where("k IS NULL OR count > 1")
+    if not bad.isEmpty():
+        raise ValueError(f"{key} is missing or repeated in some rows; duplicates need a unique key")
     hg = _hash_groups(df, cols)
     if hg is None:
         cand = df
     else:
         hashed, per_hash = hg
-        cand = hashed.join(per_hash.where(F.col("_n") > 1).select("_h"), "_h", "left_semi")
+        cand = _repeated(hashed, per_hash.where(F.col("_n") > 1).select("_h"))
     firsts = cand.groupBy(*[qcol(c) for c in cols]).agg(F.min(key).alias(key)).select(key)
     later = (cand.select(key).join(firsts, key, "left_anti")
              .select(key, F.lit(True).alias("_dup")))

@@ -8,8 +8,8 @@ value of a feature into one task.  Instead:
 2. the distinct rows are range-partitioned on (feature, value) and written to
    the reliable checkpoint folder with their partition id, so every later
    branch sees the same assignment even after a lost executor;
-3. per-(partition, feature) totals -- at most ``partitions x features`` rows,
-   a bound known at plan time -- give exclusive offsets, broadcast back;
+3. per-(partition, feature) totals -- ranges are contiguous, so at most
+   ``partitions + features`` rows -- give exclusive offsets, broadcast back;
 4. the running sums are taken in place: the offsets are joined by broadcast
    (which keeps the range partitioning), each partition is sorted locally and
    a ``mapInPandas`` pass adds up the weights in order.  A window over
@@ -40,11 +40,18 @@ def long_values(df: DataFrame, columns: list[str], value_exprs: dict | None = No
     from casaframe.functions.exprs import to_double
 
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-    projected = df.select([
-        (value_exprs or {}).get(c, to_double(c, dtypes[c])).alias(c) for c in columns
-    ])
-    out = projected.unpivot([], columns, feature_col, value_col)
-    return out.where(F.col(value_col).isNotNull())
+    return in_rows(df, {c: (value_exprs or {}).get(c, to_double(c, dtypes[c])) for c in columns},
+                   feature_col, value_col).where(F.col(value_col).isNotNull())
+
+
+def in_rows(df: DataFrame, exprs: dict, feature_col: str, value_col: str,
+            keep: tuple = ()) -> DataFrame:
+    """One row per input row and expression: ``keep``, the expression's name, its value.
+
+    Names are values here, so any column name will do (``unpivot`` parses them).
+    """
+    return df.select(*keep, F.inline(F.array(*[
+        F.struct(F.lit(c).alias(feature_col), e.alias(value_col)) for c, e in exprs.items()])))
 
 
 def range_partitioned(counts: DataFrame, feature_col: str = "feature", value_col: str = "value",
@@ -88,8 +95,8 @@ def running_sums(ranged: DataFrame, weights: list[str], feature_col: str = "feat
         *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_off_{w}") for w in weights],
         *[F.sum(w).over(whole).alias(f"total_{w}") for w in weights],
     )
-    # offsets has at most parts x features rows, so broadcasting it is bounded;
-    # the broadcast join keeps the range partitioning of ``ranked``.
+    # ranges are contiguous, so offsets has at most parts + features rows: broadcasting
+    # it is bounded, and the broadcast join keeps the range partitioning of ``ranged``.
     joined = ranged.join(F.broadcast(offsets), [PART, feature_col])
     if not in_place:
         running = Window.partitionBy(PART, feature_col).orderBy(value_col).rowsBetween(
@@ -124,11 +131,11 @@ def _running_sums(feature_col: str, value_col: str, weights: list[str]):
             for w in weights:
                 vals = pdf[w].astype("int64")
                 within = vals.groupby(pdf[feature_col], sort=False).cumsum()
-                start = pd.Series([carry.get((f, w), o) for f, o in
-                                   zip(pdf[feature_col], pdf[f"_off_{w}"])], index=pdf.index)
-                # start is the running total before this batch: the partition offset
-                # for a feature's first batch, the carried total afterwards
-                cum = within + start.groupby(pdf[feature_col], sort=False).transform("first")
+                # the running total before this batch: the partition offset for a
+                # feature's first batch, the carried total afterwards
+                first = pdf.groupby(feature_col, sort=False)[f"_off_{w}"].first().to_dict()
+                first |= {f: carry[(f, w)] for f in first if (f, w) in carry}
+                cum = within + pdf[feature_col].map(first).astype("int64")
                 out[w] = vals
                 out[f"cum_{w}"] = cum.astype("int64")
                 for f, v in cum.groupby(pdf[feature_col], sort=False).last().items():

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casaframe import schema
-from casaframe.functions.exprs import to_double
+from casaframe.functions.exprs import qcol, to_double
 from casaframe.operators import order_stats
 
 REPORT_SCHEMA = T.StructType([
@@ -35,8 +35,8 @@ def column_moments(num: DataFrame, cols: list[str]) -> dict[str, tuple[int, floa
     """(non-missing count, mean, population std) per column in one pass."""
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count(F.col(c)).alias(f"n{i}"), F.avg(c).alias(f"m{i}"),
-                 F.stddev_pop(c).alias(f"s{i}")]
+        aggs += [F.count(qcol(c)).alias(f"n{i}"), F.avg(qcol(c)).alias(f"m{i}"),
+                 F.stddev_pop(qcol(c)).alias(f"s{i}")]
     row = num.agg(*aggs).first()
     return {c: (int(row[f"n{i}"]), row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
 
@@ -45,15 +45,14 @@ def _small_medians(num: DataFrame, cols: list[str]) -> dict[str, tuple[float, fl
     """Median and MAD for columns with fewer than 10 values (bounded exact aggregate)."""
     if not cols:
         return {}
-    med_row = num.agg(*[F.median(c).alias(c) for c in cols]).first()
-    meds = {c: med_row[c] for c in cols}
-    mad_row = num.agg(*[F.median(F.abs(F.col(c) - F.lit(meds[c]))).alias(c) for c in cols]).first()
-    return {c: (meds[c], mad_row[c]) for c in cols}
+    meds = num.agg(*[F.median(qcol(c)) for c in cols]).first()
+    mads = num.agg(*[F.median(F.abs(qcol(c) - F.lit(m))) for c, m in zip(cols, meds)]).first()
+    return {c: (med, mad) for c, med, mad in zip(cols, meds, mads)}
 
 
 def _distinct_table(num: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, value, n) over all columns, range-partitioned and checkpointed (one pass)."""
-    long = order_stats.long_values(num, cols, {c: F.col(c) for c in cols})
+    long = order_stats.long_values(num, cols)
     return order_stats.range_partitioned(order_stats.value_counts(long))
 
 
@@ -95,9 +94,11 @@ def _small_from_counts(counts: DataFrame, small: list[str]) -> dict[str, tuple[f
 
 
 def outlier_stats(df: DataFrame, columns: list[str], approx: bool = False,
-                  counts: DataFrame | None = None) -> dict:
+                  counts: DataFrame | None = None, quartiles: bool = True) -> dict:
     """All per-column statistics the rules need, keyed by column.
 
+    Without ``quartiles`` (the z-score rules need none) one aggregate is all.
+
     Exact mode reads the input once: every statistic comes from the
     checkpointed distinct-value table (pass it as ``counts`` to reuse it).
     ``approx=True`` uses a quantile sketch and plain aggregates instead.
@@ -105,14 +106,14 @@ def outlier_stats(df: DataFrame, columns: list[str], approx: bool = False,
     num, cols = _numeric_view(df, columns)
     if not cols:
         return {}
-    if approx:
+    if approx or not quartiles:
         moments = column_moments(num, cols)
         small = [c for c in cols if 0 < moments[c][0] < schema.MODIFIED_Z_MAX_N]
         medians = _small_medians(num, small)
         filled = [c for c in cols if moments[c][0] > 0]
         quart = (order_stats.approx_quantiles(
-            order_stats.long_values(num, filled, {c: F.col(c) for c in filled}), [0.25, 0.75])
-            if filled else {})
+            order_stats.long_values(num, filled), [0.25, 0.75])
+            if filled and quartiles else {})
     else:
         counts = counts if counts is not None else _distinct_table(num, cols)
         moments = _moments_from_counts(counts, cols)
@@ -174,7 +175,7 @@ def outlier_report(df: DataFrame, columns: list[str], approx: bool = False) -> D
     if approx:
         aggs = []
         for i, c in enumerate(cols):
-            z, q = zscore_rule(F.col(c), stats[c]), iqr_rule(F.col(c), stats[c])
+            z, q = zscore_rule(qcol(c), stats[c]), iqr_rule(qcol(c), stats[c])
             aggs.append((F.count_if(z) if z is not None else F.lit(0)).cast("bigint").alias(f"z{i}"))
             aggs.append((F.count_if(q) if q is not None else F.lit(0)).cast("bigint").alias(f"q{i}"))
         row = num.agg(*aggs).first()

@@ -16,12 +16,13 @@ from casaframe.operators import drift as drift_ops
 from casaframe.operators.clean import clean_view
 from casaframe.operators.duplicates import duplicate_report
 from casaframe.operators.features import feature_columns, prepare
-from casaframe.operators.model import enforce_r2_gate, persist_model, train_and_select
+from casaframe.operators.model import (_read_json, _write_json, enforce_r2_gate, persist_model,
+                                       train_and_select)
 from casaframe.operators.outliers import outlier_report
 from casaframe.operators.profile import profile_dict, profile_metrics, raw_profile
 from casaframe.operators.validate import require_valid, validate_summary
 from casaframe.plans.runlog import RunLog
-from casaframe.sources.readers import read_tabular
+from casaframe.sources.readers import path_exists, read_tabular
 from casaframe.sources.sinks import replace_table, write_prepared
 
 STEPS = ["ingest", "validate", "clean", "train", "drift", "full"]
@@ -74,14 +75,29 @@ def clean(spark: SparkSession, paths: Paths) -> tuple[DataFrame, dict]:
     require_valid(validate_summary(frame))
     prepared, encoder = prepare(frame)
     write_prepared(prepared, paths.prepared)
+    _write_json(spark, _categories(paths), encoder.to_dict())
     return spark.read.parquet(paths.prepared), encoder.to_dict()
 
 
+def _categories(paths: Paths) -> str:
+    """Where the category list of the prepared dataset lies."""
+    return f"{paths.prepared.rstrip('/')}_categories"
+
+
+def load_training_data(spark: SparkSession, paths: Paths) -> tuple[DataFrame, dict]:
+    """The prepared dataset and its category list; both made from the clean view if absent."""
+    if paths.prepared and path_exists(spark, paths.prepared) and path_exists(spark, _categories(paths)):
+        return spark.read.parquet(paths.prepared), _read_json(spark, _categories(paths))
+    prepared, encoder = prepare(load_clean(spark, paths))
+    return prepared, encoder.to_dict()
+
+
 def train(spark: SparkSession, paths: Paths, encoder: dict | None = None,
           params: dict | None = None, run_log: RunLog | None = None,
           threshold: float = schema.R2_MIN_THRESHOLD):
     """Train, select, gate (before anything is logged or saved), log, register, persist."""
-    data = spark.read.parquet(paths.prepared)
+    data, fitted = load_training_data(spark, paths)
+    encoder = encoder or fitted
     features = feature_columns(data)
     result = train_and_select(data, features, params=params)
     enforce_r2_gate(result.metrics["r2"], threshold)

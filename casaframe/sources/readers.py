@@ -13,6 +13,7 @@ from casaframe.functions.exprs import NUMBER_PATTERN, is_float_type, nan_to_null
 from casaframe.functions.names import normalize_columns
 
 INT_PATTERN = r"^[+-]?\d+$"
+BOOL_PATTERN = "^(true|false|True|False|TRUE|FALSE)$"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -41,8 +42,10 @@ def missing_to_null(df: DataFrame, tokens: list[str] | None = None) -> DataFrame
 def infer_types(df: DataFrame) -> DataFrame:
     """Type every text column from its values in one distributed pass.
 
-    All non-missing values integral -> bigint; all plain numbers -> double;
-    otherwise text.  Only three counts per column reach the driver.
+    All non-missing values integral -> bigint, or decimal(38, 0) where 64 bits
+    do not hold them all (double beyond 38 digits); all plain numbers ->
+    double; all true/false -> boolean; no value at all -> double; otherwise
+    text.  Only six counts per column reach the driver.
     """
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not text_cols:
@@ -52,15 +55,22 @@ def infer_types(df: DataFrame) -> DataFrame:
         v = F.trim(F.col(f"`{c}`"))
         aggs += [F.count(F.col(f"`{c}`")).alias(f"n{i}"),
                  F.count_if(v.rlike(INT_PATTERN)).alias(f"i{i}"),
+                 F.count_if(v.rlike(INT_PATTERN) & v.try_cast("bigint").isNotNull()).alias(f"l{i}"),
+                 F.count_if(v.rlike(INT_PATTERN) & v.try_cast("decimal(38,0)").isNotNull())
+                 .alias(f"w{i}"),
+                 F.count_if(v.rlike(BOOL_PATTERN)).alias(f"b{i}"),
                  F.count_if(v.rlike(NUMBER_PATTERN)).alias(f"d{i}")]
     row = df.agg(*aggs).first()
     casts = {}
     for i, c in enumerate(text_cols):
         n, ints, nums = row[f"n{i}"], row[f"i{i}"], row[f"d{i}"]
         if n == 0:
-            continue
-        if ints == n:
-            casts[c] = "bigint"
+            casts[c] = "double"
+        elif ints == n:
+            casts[c] = ("bigint" if row[f"l{i}"] == n else
+                        "decimal(38,0)" if row[f"w{i}"] == n else "double")
+        elif row[f"b{i}"] == n:
+            casts[c] = "boolean"
         elif nums == n:
             casts[c] = "double"
     return df.select(*[
@@ -77,9 +87,11 @@ def apply_schema(df: DataFrame, target: T.StructType) -> DataFrame:
             continue
         c = F.trim(F.col(f"`{f.name}`"))
         if isinstance(f.dataType, T.NumericType):
-            num = F.when(c.rlike(NUMBER_PATTERN), F.expr(f"try_cast(trim(`{f.name}`) AS double)"))
+            num = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
             if isinstance(f.dataType, T.IntegralType):
-                num = F.round(num, 0)
+                # whole numbers keep every digit; only text with a fraction is rounded
+                num = F.when(c.rlike(INT_PATTERN), c.try_cast(f.dataType)).otherwise(
+                    F.round(num, 0).try_cast(f.dataType))
             cols.append(num.cast(f.dataType).alias(f.name))
         elif isinstance(f.dataType, T.StringType):
             cols.append(F.col(f"`{f.name}`"))
@@ -91,14 +103,19 @@ def apply_schema(df: DataFrame, target: T.StructType) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = True, normalize: bool = True,
-             tokens: list[str] | None = None) -> DataFrame:
-    """CSV with a header row.
+             tokens: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with a header row; quotes inside quoted cells are doubled.
+
+    Quoted cells may hold line breaks.  Such a file cannot be split, so it is
+    read by one task per file: write many files, or pass
+    ``multi_line=False`` where no cell holds a line break.
 
     Cells are read as text, missing tokens become NULL, then either the
     declared ``schema`` (matched after name normalisation) or value-based
     inference types the columns, and names are normalised.
     """
     raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
            .option("mode", "PERMISSIVE").csv(path))
     if normalize:
         raw = normalize_columns(raw)

@@ -27,8 +27,9 @@ def write_prepared(df: DataFrame, path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with header, no index; missing values as empty cells."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header, no index; missing values as empty cells, quotes doubled, spaces kept."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

@@ -16,11 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from casaframe import schema
 from casaframe.functions.exprs import to_double
 from casaframe.operators.drift import bin_edges, bin_index, pooled, side_stats
+from casaframe.operators.order_stats import in_rows
 
 
 def reference_edges(reference: DataFrame, columns: list[str],
@@ -52,9 +53,8 @@ def windowed_bins(stream: DataFrame, ts_col: str, edges: dict[str, list[float]],
     dtypes = {f.name: f.dataType for f in stream.schema.fields}
     cols = list(edges)
     ts = F.col(ts_col).cast("timestamp")
-    binned = stream.select(ts.alias("event_ts"), *[
-        bin_index(to_double(c, dtypes[c]), edges[c]).alias(c) for c in cols])
-    long = binned.unpivot(["event_ts"], cols, "column_name", "bin").where(F.col("bin").isNotNull())
+    long = in_rows(stream, {c: bin_index(to_double(c, dtypes[c]), edges[c]) for c in cols},
+                   "column_name", "bin", (ts.alias("event_ts"),)).where(F.col("bin").isNotNull())
     return (long.withWatermark("event_ts", watermark)
             .groupBy(F.window("event_ts", window).alias("window"), "column_name", "bin")
             .agg(F.count(F.lit(1)).alias("current_count")))
@@ -102,12 +102,30 @@ def window_psi(spark: SparkSession, sink_dir: str, ref_bins: DataFrame,
             .agg(F.sum("term").alias("psi"), F.sum("current_count").alias("n_current")))
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped as late, summed over the query's recent progress."""
-    total = 0
-    for prog in query.recentProgress or []:
-        for op in prog.get("stateOperators", []) if isinstance(prog, dict) else prog.stateOperators:
-            val = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(
-                op, "numRowsDroppedByWatermark", 0)
-            total += int(val or 0)
-    return total
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that watermarks drop, over the whole life of each query.
+
+    ``query.recentProgress`` keeps only the last updates; a listener sees
+    every one.  Register before the query starts:
+    ``spark.streams.addListener(late := LateRows())``.
+    """
+
+    def __init__(self) -> None:
+        self.total: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.total.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.total[str(p.id)] = self.total.get(str(p.id), 0) + sum(
+            int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.total.get(str(query.id), 0)

@@ -30,11 +30,12 @@ def spark():
 
 @pytest.fixture
 def valid_frame(spark):
-    """Three valid housing rows (the contract's shape)."""
+    """Four valid rows (the contract's shape), no two of them equal."""
     return spark.createDataFrame(
-        [(5, 1000.0, 0.0, 1, 2, 1.0, 200.0, 50.0, "NAmes", 100000.0),
-         (6, 1100.0, 100.0, 2, 3, 2.0, 300.0, 60.0, "CollgCr", 150000.0),
-         (7, 1200.0, 200.0, 2, 3, 2.0, 350.0, 65.0, "OldTown", 200000.0)],
+        [(3, 842.5, 611.0, 1, 1, 0.0, 0.0, 41.5, "Harbour", 73250.0),
+         (9, 2310.0, 1204.0, 3, 5, 3.0, 720.0, 98.0, "Hillside", 412900.0),
+         (4, 977.0, 0.0, 1, 2, 1.0, 231.0, 52.0, "Mill Row", 91400.0),
+         (8, 1768.0, 930.5, 2, 4, 2.0, 515.0, 77.0, "Harbour", 268000.0)],
         "overall_qual bigint, gr_liv_area double, total_bsmt_sf double, full_bath bigint, "
         "bedroom_abvgr bigint, garage_cars double, garage_area double, lot_frontage double, "
         "neighborhood string, saleprice double")

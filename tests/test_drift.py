@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import json
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from casaframe.operators import drift
 
 
@@ -11,42 +16,73 @@ def _frames(spark, ref: dict, cur: dict):
     return spark.createDataFrame(pd.DataFrame(ref)), spark.createDataFrame(pd.DataFrame(cur))
 
 
-def test_no_shift_golden(spark):
-    rng = np.random.RandomState(42)
-    ref = {"x": rng.normal(100, 10, 500), "y": rng.normal(50, 5, 500)}
-    cur = {"x": rng.normal(100, 10, 500), "y": rng.normal(50, 5, 500)}
+def _by_hand(ref, cur):
+    """Histogram over the joint range, PSI and D, from sorted values and plain sums."""
+    lo, hi = min(ref.min(), cur.min()), max(ref.max(), cur.max())
+    inner = [lo + k * ((hi - lo) / 10) for k in range(1, 10)]
+    h = [np.bincount(np.searchsorted(inner, x, side="right"), minlength=10) for x in (ref, cur)]
+    p, q = ((x + 1e-4) / (x + 1e-4).sum() for x in h)
+    grid = np.concatenate((ref, cur))
+    d = max(abs((ref <= v).mean() - (cur <= v).mean()) for v in grid)
+    return h, float(((q - p) * np.log(q / p)).sum()), d
+
+
+@pytest.mark.parametrize("seed,n,m,shift", [(3, 240, 310, 0.0), (4, 150, 90, 0.6), (5, 333, 401, 4.0)])
+def test_statistics_by_hand(spark, seed, n, m, shift):
+    rng = np.random.default_rng(seed)
+    ref = {"a.b": rng.gamma(3.0, 2.0, n), "side": rng.integers(0, 12, n).astype(float)}
+    cur = {"a.b": rng.gamma(3.0, 2.0, m) + shift, "side": rng.integers(0, 12, m).astype(float)}
     r, c = _frames(spark, ref, cur)
     bins = {(b.column_name, b.bin): (b.reference_count, b.current_count)
             for b in drift.psi_bins(r, c).collect()}
-    assert [bins[("x", k)][0] for k in range(10)] == [2, 11, 49, 114, 135, 119, 48, 18, 3, 1]
-    assert [bins[("x", k)][1] for k in range(10)] == [4, 8, 47, 90, 137, 121, 66, 22, 5, 0]
     feats = {f.column_name: f for f in drift.drift_features(r, c).collect()}
-    assert feats["x"].psi == pytest.approx(0.049856, abs=1e-6)
-    assert feats["y"].psi == pytest.approx(0.050623, abs=1e-6)
-    assert feats["x"].ks_statistic == pytest.approx(0.068, abs=1e-9)
-    assert feats["x"].ks_pvalue == pytest.approx(0.198042, abs=1e-6)   # exact, n <= 10000
-    assert feats["y"].ks_pvalue == pytest.approx(0.935112, abs=1e-6)
-    rep = drift.detect_drift(r, c)
-    assert rep.dataset_drift is False and rep.psi_scores["x"] < 0.25
-
-
-def test_shift_is_flagged(spark):
-    rng = np.random.RandomState(42)
-    r, c = _frames(spark, {"x": rng.normal(100, 10, 500)}, {"x": rng.normal(200, 10, 500)})
-    f = drift.drift_features(r, c).first()
-    assert f.psi == pytest.approx(28.795458, abs=1e-5)
-    assert f.ks_statistic == 1.0 and f.drifted is True
-    assert drift.drift_report(drift.drift_features(r, c)).first().dataset_drift is True
-
-
-def test_small_samples_exact_and_asymptotic(spark):
-    r, c = _frames(spark, {"v": [1.0, 2, 3, 4, 5]}, {"v": [3.0, 4, 5, 6, 7, 8, 9]})
-    f = drift.drift_features(r, c).first()
-    assert f.psi == pytest.approx(8.945691, abs=1e-6)
-    assert f.ks_statistic == pytest.approx(0.571429, abs=1e-6)
-    assert f.ks_pvalue == pytest.approx(0.237374, abs=1e-6)
-    t = drift.ks_test(r, c, method="asymp").first()
-    assert t.ks_pvalue == pytest.approx(0.2967342149, abs=1e-7)
+    for name in ref:
+        h, psi, d = _by_hand(ref[name], cur[name])
+        assert [bins[(name, k)] for k in range(10)] == list(zip(*h))
+        assert feats[name].psi == pytest.approx(psi, abs=2e-6)
+        assert feats[name].ks_statistic == pytest.approx(d, abs=1e-6)
+        assert feats[name].ks_pvalue == pytest.approx(drift.ks_exact_pvalue(n, m, d), abs=1e-6)
+        assert feats[name].drifted == (psi > 0.25 or drift.ks_exact_pvalue(n, m, d) < 0.05)
+    assert drift.drift_report(drift.drift_features(r, c)).first().dataset_drift == any(
+        f.drifted for f in feats.values())
+
+
+def test_finite_law():
+    # one value: D_1 = max(u, 1 - u), so P(D_1 >= d) = 2 (1 - d) from one half on
+    for d in (0.55, 0.7, 0.95):
+        assert drift.one_sample_sf(1, d) == pytest.approx(2 * (1 - d), abs=1e-12)
+    # the smallest gap is 1 / (2 n); just above it P(D_n < d) = n! (2 d - 1 / n)^n
+    for n, d in ((3, 0.2), (6, 0.1)):
+        want = 1 - math.factorial(n) * (2 * d - 1 / n) ** n
+        assert drift.one_sample_sf(n, d) == pytest.approx(want, abs=1e-12)
+    assert drift.one_sample_sf(5, 0.58) == pytest.approx(0.039816, abs=1e-6)
+
+
+def test_large_sides_use_the_finite_law(spark):
+    """20001 against 5 values: the limit law would say 0.069 and miss the shift."""
+    df = spark.createDataFrame([(20001, 5, 0.58), (9_000_000, 9_000_000, 0.0007), (30_000, 30_000, None)],
+                               "a bigint, b bigint, d double")
+    got = [r.p for r in df.select(drift.ks_pvalue(F.col("a"), F.col("b"), F.col("d")).alias("p")).collect()]
+    assert got[0] == pytest.approx(0.039816, abs=1e-6) and 0.0 < got[1] < 0.05 and got[2] is None
+    # both branches meet where they change over
+    n = drift.FINITE_MAX_N
+    for d in (0.015, 0.02, 0.03):
+        exact = drift.one_sample_sf(n + 1, d)
+        near = spark.range(1).select(drift.ks_asymptotic_pvalue(
+            F.lit(d), F.lit(2 * n + 2), F.lit(2 * n + 2))).first()[0]
+        assert near == pytest.approx(exact, abs=2e-5)
+
+
+def test_exact_method_never_gives_null(spark):
+    df = spark.createDataFrame([(10_500, 40, 0.2)], "a bigint, b bigint, d double")
+    p = df.select(drift.ks_pvalue(F.col("a"), F.col("b"), F.col("d"), "exact")).first()[0]
+    assert p == pytest.approx(drift.ks_exact_pvalue(10_500, 40, 0.2)) and p > 0
+
+
+def test_infinite_values_are_named(spark):
+    r, c = _frames(spark, {"v": [1.0, 2.0, 3.0]}, {"v": [1.0, float("inf"), 2.0]})
+    with pytest.raises(ValueError, match="v"):
+        drift.drift_features(r, c).collect()
 
 
 def test_constant_column_last_bin(spark):
@@ -74,7 +110,11 @@ def test_exact_pvalue_equal_sizes_closed_form():
     assert drift.ks_exact_pvalue(n, n, k / n) == pytest.approx(closed, abs=1e-12)
 
 
-def test_save_report(tmp_path):
-    rep = drift.DriftReport(False, 0.0, {"a": 0.01}, {"a": 0.9}, {"a": False})
-    path = drift.save_drift_report(rep, str(tmp_path))
-    assert path.endswith(".json") and "drift_report_" in path
+def test_save_report(spark, tmp_path):
+    found = drift.DriftReport(True, 0.5, {"q": 0.4, "r": 0.0}, {"q": 0.001, "r": 0.7},
+                              {"q": True, "r": False})
+    out = str(tmp_path / "reports")
+    name = drift.save_drift_report(found, out, spark).rsplit("/", 1)[-1]
+    rows = [json.loads(x.value) for x in spark.read.text(out).collect()]
+    assert len(rows) == 1 and rows[0]["report_name"] == name
+    assert {k: rows[0][k] for k in vars(found)} == vars(found)

@@ -48,3 +48,26 @@ def test_cli_parser_and_unknown_step(spark, tmp_path):
         main(["nonsense", "--work", str(tmp_path)])
     with pytest.raises(ValueError):
         run_step(spark, "convert", Paths())
+
+
+def test_steps_one_by_one_equal_the_full_run(spark, tmp_path):
+    from casaframe.operators.model import load_model
+    from casaframe.operators.score import score
+
+    raw = fx.properties_raw(spark, SF001).drop("l_shipdate")
+    src = str(tmp_path / "raw.parquet")
+    raw.withColumnRenamed("order_id", "order").write.parquet(src)
+    prices = {}
+    for name, steps in (("full", ["full"]), ("steps", ["ingest", "clean", "train"]),
+                        ("bare", ["ingest", "train"])):
+        w = str(tmp_path / name)
+        paths = Paths(src, f"{w}/raw", f"{w}/prepared", f"{w}/model", f"{w}/log", f"{w}/reports")
+        for step in steps:
+            run_step(spark, step, paths, params=SMALL)
+        pm, meta = load_model(spark, paths.model_dir)
+        assert meta["encoder"]["categories"]
+        scored, _ = score(fx.requests(spark, SF001).drop("l_shipdate"), pm, meta, ["order_id"])
+        assert "neighborhood" not in meta["features"]
+        assert not any(f.startswith("nbh_") for f in scored.first().missing_features.split(","))
+        prices[name] = {r.order_id: r.precio_predicho for r in scored.collect()}
+    assert prices["full"] == prices["steps"] == prices["bare"] and prices["full"]

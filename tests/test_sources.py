@@ -99,3 +99,25 @@ def test_worker_functions_ship_by_value():
     assert cloudpickle.cloudpickle._is_registered_pickle_by_value(casaframe)
     blob = cloudpickle.dumps(order_stats._running_sums("f", "v", ["n"]))
     assert pickle.loads(blob) is not None
+
+
+def test_csv_keeps_quotes_line_breaks_and_wide_numbers(spark, tmp_path):
+    from casaframe import schema  # noqa: F401
+    from casaframe.sources.readers import apply_schema, read_csv
+    from casaframe.sources.sinks import write_csv
+    from pyspark.sql import types as T
+
+    path = tmp_path / "odd.csv"
+    path.write_text('t,n,wide,flag,gone\n"say ""hi"", ok",1,12345678901234567890,True,\n'
+                    '"two\nlines",9007199254740993,2,false,\n')
+    df = read_csv(spark, str(path))
+    assert dict(df.dtypes) == {"t": "string", "n": "bigint", "wide": "decimal(38,0)",
+                               "flag": "boolean", "gone": "double"}
+    rows = {r.n: r for r in df.collect()}
+    assert rows[1].t == 'say "hi", ok' and int(rows[1].wide) == 12345678901234567890
+    assert rows[9007199254740993].t == "two\nlines"
+    text = spark.createDataFrame([("9007199254740993",), ("2.6",), ("x",)], "n string")
+    got = apply_schema(text, T.StructType([T.StructField("n", T.LongType())])).collect()
+    assert [r.n for r in got] == [9007199254740993, 3, None]
+    back = read_csv(spark, write_csv(df.select("t", "n"), str(tmp_path / "out")))
+    assert {(r.t, r.n) for r in back.collect()} == {(r.t, r.n) for r in df.collect()}

@@ -16,15 +16,15 @@ def _one(spark, values, name="x"):
                                  f"{name} double")
 
 
-@pytest.mark.parametrize("values", [[1000, 1100, 1050, 5000], [100000, 120000, 125000, 500000],
-                                    [1000, 1100, 1200, 10000]])
+@pytest.mark.parametrize("values", [[7.0, 7.4, 7.1, 7.3, 31.0], [-4, -5, -3, -60],
+                                    [0.21, 0.2, 0.22, 0.19, 0.23, 4.5]])
 def test_small_samples_use_modified_z(spark, values):
     r = outlier_report(_one(spark, values), ["x"]).first()
     assert r.zscore_outliers == 1 and r.iqr_outliers == 1
 
 
 def test_zero_iqr_and_zero_mad_give_zero(spark):
-    r = outlier_report(_one(spark, [1000.0] * 3), ["x"]).first()
+    r = outlier_report(_one(spark, [6.25] * 5), ["x"]).first()
     assert (r.zscore_outliers, r.iqr_outliers) == (0, 0)
 
 
@@ -52,16 +52,16 @@ def test_text_and_nan_are_missing(spark):
 
 
 def test_outlier_rows_flags(spark):
-    vals = [1000, 1100, 1050, 5000]
+    vals = [7.0, 7.4, 7.1, 7.3, 31.0]
     flags = {r.x: (r.x_zscore_outlier, r.x_iqr_outlier)
              for r in outlier_rows(_one(spark, vals), ["x"]).collect()}
-    assert flags[5000.0] == (True, True) and flags[1000.0] == (False, False)
+    assert flags[31.0] == (True, True) and flags[7.0] == (False, False)
 
 
 def test_duplicates_report(valid_frame):
     dup = valid_frame.unionByName(valid_frame.limit(1))
     r = duplicate_report(dup).first()
-    assert (r.total_rows, r.duplicate_rows, r.duplicate_pct) == (4, 1, 25.0)
+    assert (r.total_rows, r.duplicate_rows, r.duplicate_pct) == (5, 1, 20.0)
     r0 = duplicate_report(valid_frame).first()
     assert (r0.duplicate_rows, r0.duplicate_pct) == (0, 0.0)
 
@@ -201,3 +201,35 @@ def test_nested_columns_use_exact_grouping(spark):
     df = spark.createDataFrame([(1, [1, 2]), (2, [1, 2]), (3, [2])], "k int, a array<int>")
     assert duplicate_report(df, ["a"]).first().duplicate_rows == 1
     assert mark_duplicates(df, "k").where("is_duplicate").first().k == 2
+
+
+def test_hot_record_without_broadcast(spark):
+    """A third of the rows are one record; with broadcasts off the salted join deals it out."""
+    rows = [(k, "hot", 1.5) if k % 3 == 0 else (k, f"r{k % 500}", float(k % 500)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "k bigint, s string, d double").repartition(6)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        want = len(rows) - len({r[1:] for r in rows})
+        assert duplicate_report(df.drop("k")).first().duplicate_rows == want
+        marks = {r.k: r.is_duplicate for r in mark_duplicates(df, "k").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    seen, expect = set(), {}
+    for k, *rest in rows:
+        expect[k] = tuple(rest) in seen
+        seen.add(tuple(rest))
+    assert marks == expect
+
+
+def test_marks_need_a_unique_key(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "k int, s string")
+    with pytest.raises(ValueError, match="unique"):
+        mark_duplicates(df, "k")
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4, 50)], "`a.b` double")
+    assert outlier_report(df, ["a.b"]).first().outliers == 1
+    assert outlier_report(df, ["a.b"], approx=True).first().column_name == "a.b"
+    assert outlier_rows(df, ["a.b"]).where("`a.b_iqr_outlier`").count() == 1

@@ -51,14 +51,24 @@ def test_stream_drift_single_batch(spark, tmp_path):
 
 
 def test_late_rows_counted(spark, tmp_path):
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("v", T.DoubleType())])
-    src = str(tmp_path / "late")
+    """The second run starts with the watermark of the first: its old rows are dropped and counted."""
     import datetime as dt
-    spark.createDataFrame([(dt.datetime(2020, 1, 10), 1.0)], schema).write.parquet(src + "/a")
-    q = ds.start_stream_drift(spark, src + "/*", schema, "ts", {"v": [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]},
-                              str(tmp_path / "sink"), str(tmp_path / "ckpt"), window="1 day",
-                              watermark="1 day")
-    q.awaitTermination()
-    assert ds.late_rows(q) == 0
+    import time
+
+    fields = "ts timestamp, v double"
+    src, late = str(tmp_path / "late"), ds.LateRows()
+    spark.streams.addListener(late)
+    try:
+        for part, days in (("a", [10, 40]), ("b", [2, 3, 41])):
+            rows = [(dt.datetime(2021, 1, 1) + dt.timedelta(days=d), 4.5) for d in days]
+            spark.createDataFrame(rows, fields).coalesce(1).write.parquet(f"{src}/{part}")
+            q = ds.start_stream_drift(spark, src + "/*", spark.createDataFrame([], fields).schema, "ts",
+                                      {"v": [float(x) for x in range(11)]}, str(tmp_path / "sink"),
+                                      str(tmp_path / "ckpt"), window="1 day", watermark="1 day")
+            q.awaitTermination()
+        end = time.time() + 20
+        while late.of(q) < 2 and time.time() < end:
+            time.sleep(0.2)
+        assert late.of(q) == 2
+    finally:
+        spark.streams.removeListener(late)
