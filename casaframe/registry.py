@@ -88,6 +88,38 @@ def q_csv_roundtrip(spark, sf):
     return read_csv(spark, path)
 
 
+@query("csv_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_documents(spark, sf):
+    """Whole texts through CSV: quotes, line breaks and spaces survive."""
+    path = shared_dir(spark, "scratch", "documents_csv", unique=True)
+    write_csv(fx.table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars"),
+              path)
+    return read_csv(spark, path)
+
+
+@query("text_numbers", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN CAST(p_size AS DOUBLE) "
+       "WHEN 1 THEN p_retailprice WHEN 2 THEN p_size * 1000.0 ELSE NULL END AS number FROM part")
+def q_text_numbers(spark, sf):
+    """Text columns as numbers: plain decimals and exponents count, anything else is missing."""
+    from casaframe.functions.exprs import to_double
+
+    part = fx.table(spark, sf, "part")
+    size, price, k = F.col("p_size").cast("string"), F.col("p_retailprice"), F.col("p_partkey") % 4
+    text = (F.when(k == 0, F.concat(F.lit(" "), size, F.lit(" "))).when(k == 1, price.cast("string"))
+            .when(k == 2, F.concat(size, F.lit("e3"))).otherwise(F.concat(size, F.lit("d"))))
+    shown = part.select("p_partkey", text.alias("size text"))
+    return shown.select("p_partkey", to_double("size text", shown.schema["size text"].dataType)
+                        .alias("number"))
+
+
+@query("table_read", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_table_read(spark, sf):
+    from casaframe.sources.readers import read_table
+
+    fx.table(spark, sf, "nation").createOrReplaceTempView("cf_nation")
+    return read_table(spark, "cf_nation").select("n_nationkey", "n_name", "n_regionkey")
+
+
 @query("clean_view", _with(FIX) + "SELECT * FROM properties_clean")
 def q_clean_view(spark, sf):
     return fx.properties_clean(spark, sf)
@@ -533,6 +565,21 @@ def q_linear_fit(spark, sf):
                      F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+@query("linear_predictions", _with(FIX, "f AS (SELECT regr_slope(saleprice, overall_qual) AS b, "
+       "regr_intercept(saleprice, overall_qual) AS a FROM properties_clean WHERE NOT "
+       "(substr(md5(concat(CAST(order_id AS VARCHAR), '|42')), 1, 8) < '33333333'))") +
+       "SELECT order_id, round(a + b * overall_qual, 2) AS prediction FROM properties_clean, f "
+       "WHERE substr(md5(concat(CAST(order_id AS VARCHAR), '|42')), 1, 8) < '33333333'")
+def q_linear_predictions(spark, sf):
+    """The trained linear pipeline on one feature, applied to the test part."""
+    from casaframe.operators.split import train_test_split
+
+    clean = fx.properties_clean(spark, sf).select("order_id", "overall_qual", "saleprice")
+    res = model.train_and_select(clean, ["overall_qual"], names=["Linear Regression"])
+    _, test = train_test_split(clean)
+    return res.model.transform(test).select("order_id", F.round("prediction", 2).alias("prediction"))
+
+
 # Three one-variable least-squares lines on the clean data (in tie-break order).
 BASELINES = [("line on overall_qual", "overall_qual"), ("line on gr_liv_area", "gr_liv_area"),
              ("line on bedroom_abvgr", "bedroom_abvgr")]
