@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -26,17 +26,17 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the cluster's shared folder and read it back (cuts lineage)."""
+    """Write ``df`` to the cluster's shared folder and read it back (cuts lineage).
+
+    The tables stay there, under ``casaframe/llm``: results are read from
+    them lazily, so only their reader knows when they may go.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name, unique=True)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
-
-
 def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str) -> DataFrame:
     """Join; broadcast ``right`` only after its rows have been counted and are few."""
     small = right.count() <= MAX_BROADCAST_ROWS
