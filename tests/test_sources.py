@@ -102,7 +102,6 @@ def test_worker_functions_ship_by_value():
 
 
 def test_csv_keeps_quotes_line_breaks_and_wide_numbers(spark, tmp_path):
-    from casaframe import schema  # noqa: F401
     from casaframe.sources.readers import apply_schema, read_csv
     from casaframe.sources.sinks import write_csv
     from pyspark.sql import types as T
