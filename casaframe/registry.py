@@ -139,6 +139,17 @@ def q_create_features(spark, sf):
                             (schema.FEATURE_RATIO_BATH, schema.FEATURE_AREA_ROOM)})
 
 
+@query("prepared_roundtrip", ORACLE["create_features"])
+def q_prepared_roundtrip(spark, sf):
+    """The prepared dataset written and read back; it exists, so nothing is built again."""
+    from casaframe.sources.readers import load_prepared
+    from casaframe.sources.sinks import write_prepared
+
+    path = shared_dir(spark, "scratch", "prepared", unique=True)
+    write_prepared(q_create_features(spark, sf), path)
+    return load_prepared(spark, path, lambda: q_create_features(spark, sf).limit(0))
+
+
 # Category values of the clean view at the oracle's scale (sf 0.01): N00..N11.
 ORACLE_CATEGORIES = [f"N{i:02d}" for i in range(12)]
 
