@@ -6,12 +6,14 @@ Plan shape (all features at once, never a loop of jobs per feature):
   and feature: count, min, max.  Edges of the 10 equal-width bins over the
   joint range are computed from those few numbers.
 * bins   -- one more aggregate counts (side, feature, bin) with conditional
-  counts; the bin index is a sum of 9 comparisons, so the last bin is
+  counts; the bin index is a chain of 9 comparisons, so the last bin is
   closed on the right and a constant column lands in the last bin.
-* KS     -- (feature, value) counts per side, then the distributed running
-  sums of ``order_stats`` give both empirical CDFs; D is their largest gap.
-  The p-value is exact (lattice paths) up to 10000 values per side; above it
-  is that of the one-sample law at the effective size.
+* KS     -- a fine histogram per side bounds the gap of both empirical CDFs in
+  every bin.  Only the values of bins that can beat the largest gap seen at a
+  bin's end are ordered (running sums of ``order_stats``), so D is exact
+  though most values are only counted.  The p-value is exact (lattice paths)
+  up to 10000 values per side; above it is that of the one-sample law at the
+  effective size.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from casaframe.functions.exprs import is_numeric_type, to_double
 from casaframe.operators import order_stats
 
 SIDE_REF, SIDE_CUR = 0, 1
+KS_BINS = 1024   # fine bins per feature for the bounds on the KS gap
+BULK = 0.001     # share of the values left out on either end of the fine bins' range
 
 
 def numeric_columns(reference: DataFrame, current: DataFrame) -> list[str]:
@@ -57,21 +61,29 @@ def require_finite(stats: dict[str, dict]) -> None:
         raise ValueError(f"infinite values in {', '.join(bad)}: drift bins need a finite range")
 
 
-def side_stats(both: DataFrame, columns: list[str]) -> dict[str, dict]:
-    """n / min / max per side and feature.
+def side_stats(both: DataFrame, columns: list[str], bulk: bool = False,
+               finite: bool = True) -> dict[str, dict]:
+    """n / min / max per side and feature; with ``bulk`` also where its values mostly lie.
 
-    ``both`` holds the rows of ``pooled``; the partial aggregate leaves at most 2 x features rows per task, so the
-    shuffle is tiny and the generated code stays small for wide frames.
+    ``both`` holds the rows of ``pooled``; the partial aggregate leaves at most
+    2 x features rows per task, so the shuffle is tiny and the generated code
+    stays small for wide frames.
     """
+    extra = [F.percentile_approx("value", [BULK, 1 - BULK], 5000).alias("q")] if bulk else []
     rows = (both.groupBy("column_name", "side")
-            .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+            .agg(F.count("value").alias("n"), F.min("value").alias("lo"),
+                 F.max("value").alias("hi"), *extra)
             .collect())
     out = {c: {"n0": 0, "n1": 0, "lo0": None, "lo1": None, "hi0": None, "hi1": None}
            for c in columns}
     for r in rows:
-        s = int(r["side"])
-        out[r["column_name"]].update({f"n{s}": int(r["n"]), f"lo{s}": r["lo"], f"hi{s}": r["hi"]})
-    require_finite(out)
+        s, st = int(r["side"]), out[r["column_name"]]
+        st.update({f"n{s}": int(r["n"]), f"lo{s}": r["lo"], f"hi{s}": r["hi"]})
+        if bulk and r["q"] is not None:
+            st["from"] = min(st.get("from", r["q"][0]), r["q"][0])
+            st["to"] = max(st.get("to", r["q"][1]), r["q"][1])
+    if finite:
+        require_finite(out)
     return out
 
 
@@ -82,8 +94,8 @@ def bin_edges(lo: float, hi: float, bins: int = schema.PSI_BINS) -> list[float]:
     return edges + [hi]
 
 
-def bin_index(x: Column, edges: list[float]) -> Column:
-    """Bin of ``x`` for edges e0..eB: the number of inner edges at or below x.
+def bin_index(x: Column, edges: list) -> Column:
+    """Bin of ``x`` for edges e0..eB (numbers or columns): the number of inner edges at or below x.
 
     Edges never decrease, so that count is the highest inner edge x reaches;
     a CASE chain from the top keeps the generated code small (a sum of
@@ -94,18 +106,35 @@ def bin_index(x: Column, edges: list[float]) -> Column:
         return F.when(x.isNotNull(), F.lit(0))
     out = None
     for k in range(len(inner), 0, -1):
-        cond = x >= F.lit(inner[k - 1])
+        cond = x >= F.lit(inner[k - 1])  # lit leaves a column as it is
         out = F.when(cond, F.lit(k)) if out is None else out.when(cond, F.lit(k))
     return out.otherwise(F.when(x.isNotNull(), F.lit(0)))
 
 
-def _bin_by_name(edges: dict[str, list[float]]) -> Column:
-    """Bin of ``value`` by the edges of the row's ``column_name``."""
-    idx = None
-    for c, e in edges.items():
-        cond, expr = F.col("column_name") == F.lit(c), bin_index(F.col("value"), e)
-        idx = F.when(cond, expr) if idx is None else idx.when(cond, expr)
-    return idx
+def with_bins(both: DataFrame, edges: dict[str, list[float]] | None = None,
+              stats: dict[str, dict] | None = None) -> DataFrame:
+    """The non-missing rows of ``pooled`` with their PSI bin (``bin``) and fine bin (``fine``).
+
+    The edges come from a broadcast table of one row per feature and not from a
+    CASE over all features, whose generated code grows too large to be compiled.
+    Features in neither argument are left out; a bin not asked for is -1.
+    """
+    names = list(edges if edges is not None else stats)
+    inner = max((len(e) - 2 for e in edges.values()), default=0) if edges else 0
+    rows = []
+    for c in names:
+        start, stop, width = fine_range(stats[c]) if stats else (0.0, 0.0, 1.0)
+        rows.append((c, start, stop, width, *(edges[c][1:-1] if edges else [])))
+    table = both.sparkSession.createDataFrame(rows, "column_name string, " + ", ".join(
+        f"{c} double" for c in ["start", "stop", "width", *[f"e{k}" for k in range(inner)]]))
+    v = F.col("value")
+    psi_bin, fine = F.lit(-1), F.lit(-1)
+    if edges:
+        psi_bin = bin_index(v, [None, *[F.col(f"e{k}") for k in range(inner)], None])
+    if stats:
+        fine = fine_bin(v, F.col("start"), F.col("stop"), F.col("width"))
+    return (both.where(v.isNotNull()).join(F.broadcast(table), "column_name")
+            .select("column_name", "side", "value", fine.alias("fine"), psi_bin.alias("bin")))
 
 
 BINS_SCHEMA = "column_name string, bin int, reference_count bigint, current_count bigint"
@@ -126,8 +155,7 @@ def psi_bins(reference: DataFrame, current: DataFrame, columns: list[str] | None
         return spark.createDataFrame([], BINS_SCHEMA)
     edges = {c: bin_edges(min(stats[c]["lo0"], stats[c]["lo1"]),
                           max(stats[c]["hi0"], stats[c]["hi1"]), bins) for c in usable}
-    counts = (both.select("side", "column_name", _bin_by_name(edges).alias("bin"))
-              .where(F.col("bin").isNotNull())
+    counts = (with_bins(both, edges)
               .groupBy("column_name", "bin")
               .agg(F.count_if(F.col("side") == SIDE_REF).alias("reference_count"),
                    F.count_if(F.col("side") == SIDE_CUR).alias("current_count")))
@@ -155,66 +183,120 @@ def psi(reference: DataFrame, current: DataFrame, columns: list[str] | None = No
 
 def ks_statistic(reference: DataFrame, current: DataFrame,
                  columns: list[str] | None = None) -> DataFrame:
-    """column_name, n_reference, n_current, ks_statistic (D = max |F_ref - F_cur|)."""
+    """column_name, n_reference, n_current, ks_statistic (D = max |F_ref - F_cur|).
+
+    A feature without values on a side has a NULL statistic, one without any no row.
+    """
     columns = numeric_columns(reference, current) if columns is None else columns
-    return ks_from_counts(distinct_counts(reference, current, columns))
+    both = pooled(reference, current, columns)
+    stats = side_stats(both, columns, bulk=True, finite=False)
+    found = ks_from_histogram(both, stats, histogram(both, stats))
+    return reference.sparkSession.createDataFrame(
+        [(c, stats[c]["n0"], stats[c]["n1"], found.get(c)) for c in columns
+         if stats[c]["n0"] + stats[c]["n1"]],
+        "column_name string, n_reference bigint, n_current bigint, ks_statistic double")
 
 
-def distinct_counts(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value, n_ref, n_cur) for every distinct value, range-partitioned
-    and checkpointed: the one pass over both inputs that the drift report needs."""
-    long = pooled(reference, current, columns).where(F.col("value").isNotNull())
-    counts = long.groupBy("column_name", "value").agg(
-        F.count_if(F.col("side") == SIDE_REF).alias("n_ref"),
-        F.count_if(F.col("side") == SIDE_CUR).alias("n_cur"))
-    return order_stats.range_partitioned(counts, "column_name", "value")
+def fine_range(stats: dict) -> tuple[float, float, float]:
+    """Start, stop and width of a feature's fine bins; stop = start leaves two bins only."""
+    start, stop = stats["from"], stats["to"]
+    width = (stop - start) / KS_BINS
+    if not (math.isfinite(width) and width > 0 and math.isfinite(KS_BINS / width)):
+        return start, start, 1.0
+    return start, stop, width
 
 
-def stats_from_counts(counts: DataFrame, columns: list[str]) -> dict[str, dict]:
-    """Per side n / min / max from the distinct-value table (one row per feature)."""
-    rows = counts.groupBy("column_name").agg(
-        F.sum("n_ref").alias("n0"), F.sum("n_cur").alias("n1"),
-        F.min(F.when(F.col("n_ref") > 0, F.col("value"))).alias("lo0"),
-        F.max(F.when(F.col("n_ref") > 0, F.col("value"))).alias("hi0"),
-        F.min(F.when(F.col("n_cur") > 0, F.col("value"))).alias("lo1"),
-        F.max(F.when(F.col("n_cur") > 0, F.col("value"))).alias("hi1")).collect()
-    out = {c: {"n0": 0, "n1": 0, "lo0": None, "lo1": None, "hi0": None, "hi1": None}
-           for c in columns}
-    for r in rows:
-        out[r["column_name"]] = {"n0": int(r["n0"]), "n1": int(r["n1"]), "lo0": r["lo0"],
-                                 "lo1": r["lo1"], "hi0": r["hi0"], "hi1": r["hi1"]}
-    require_finite(out)
-    return out
+def fine_bin(x: Column, start: Column, stop: Column, width: Column) -> Column:
+    """Bin of ``x``: 0 below ``start``, KS_BINS + 1 from ``stop`` on, equal widths between.
 
+    It never falls as x rises, which is all that the bounds need.
+    """
+    inner = 1 + F.floor((x - start) / width).cast("int")
+    return (F.when(x < start, F.lit(0)).when(x >= stop, F.lit(KS_BINS + 1))
+            .otherwise(F.least(inner, F.lit(KS_BINS + 1))))
 
-def bins_from_counts(counts: DataFrame, stats: dict, usable: list[str],
-                     bins: int = schema.PSI_BINS) -> DataFrame:
-    """Dense PSI histogram from the distinct-value table (same bins as ``psi_bins``)."""
-    spark = counts.sparkSession
-    if not usable:
-        return spark.createDataFrame([], BINS_SCHEMA)
-    edges = {c: bin_edges(min(stats[c]["lo0"], stats[c]["lo1"]),
-                          max(stats[c]["hi0"], stats[c]["hi1"]), bins) for c in usable}
-    hist = (counts.select("column_name", _bin_by_name(edges).alias("bin"), "n_ref", "n_cur")
-            .where(F.col("bin").isNotNull())
-            .groupBy("column_name", "bin")
-            .agg(F.sum("n_ref").alias("reference_count"), F.sum("n_cur").alias("current_count")))
-    grid = spark.createDataFrame([(c, k) for c in usable for k in range(bins)],
-                                 "column_name string, bin int")
-    return (grid.join(F.broadcast(hist), ["column_name", "bin"], "left")
-            .select("column_name", "bin",
-                    F.coalesce("reference_count", F.lit(0)).cast("bigint").alias("reference_count"),
-                    F.coalesce("current_count", F.lit(0)).cast("bigint").alias("current_count")))
 
+def _filled(stats: dict[str, dict]) -> dict[str, dict]:
+    return {c: s for c, s in stats.items() if "from" in s}
+
+
+def histogram(both: DataFrame, stats: dict[str, dict],
+              edges: dict[str, list[float]] | None = None) -> list:
+    """Rows (column_name, fine, bin, n_ref, n_cur, lo, hi), ascending; ``bin`` is the PSI bin.
+
+    One aggregate; at most features x (KS_BINS + PSI bins + 2) rows reach the driver.
+    """
+    rows = (with_bins(both, edges, _filled(stats))
+            .groupBy("column_name", "fine", "bin")
+            .agg(F.count_if(F.col("side") == SIDE_REF).alias("n_ref"),
+                 F.count_if(F.col("side") == SIDE_CUR).alias("n_cur"),
+                 F.min("value").alias("lo"), F.max("value").alias("hi"))
+            .collect())
+    return sorted(rows, key=lambda r: (r["column_name"], r["fine"], r["bin"]))
 
-def ks_from_counts(counts: DataFrame) -> DataFrame:
-    """column_name, n_reference, n_current, ks_statistic from the distinct-value table."""
-    ranked = order_stats.running_sums(counts, ["n_ref", "n_cur"], "column_name", "value")
-    gap = F.abs(F.col("cum_n_ref") / F.col("total_n_ref") - F.col("cum_n_cur") / F.col("total_n_cur"))
-    return ranked.groupBy("column_name").agg(
-        F.max("total_n_ref").cast("bigint").alias("n_reference"),
-        F.max("total_n_cur").cast("bigint").alias("n_current"),
-        F.max(gap).alias("ks_statistic"))
+
+def psi_bins_of(spark, hist: list, usable: list[str], bins: int = schema.PSI_BINS) -> DataFrame:
+    """Dense PSI histogram (as of ``psi_bins``) from the rows of ``histogram``."""
+    found = {(c, k): [0, 0] for c in usable for k in range(bins)}
+    for r in hist:
+        cell = found.get((r["column_name"], r["bin"]))
+        if cell is not None:
+            cell[0] += r["n_ref"]
+            cell[1] += r["n_cur"]
+    return spark.createDataFrame([(c, k, a, b) for (c, k), (a, b) in found.items()], BINS_SCHEMA)
+
+
+def open_bins(stats: dict[str, dict], hist: list) -> tuple[dict[str, float], list[tuple]]:
+    """The largest gap at the end of any bin per feature, and the bins that may hold a larger one.
+
+    Between two values both CDFs stand between their counts before and after
+    the bin, which bounds the gap inside; a bin of one value has no inside.
+    """
+    best: dict[str, float] = {}
+    inside: list[tuple] = []
+    done = {c: [0, 0] for c in stats}
+    for r in hist:
+        c = r["column_name"]
+        n0, n1 = stats[c]["n0"], stats[c]["n1"]
+        if not n0 or not n1:
+            continue
+        a, b = done[c]
+        after_a, after_b = a + r["n_ref"], b + r["n_cur"]
+        best[c] = max(best.get(c, 0.0), abs(after_a / n0 - after_b / n1))
+        if r["lo"] < r["hi"]:
+            inside.append((max(after_a / n0 - b / n1, after_b / n1 - a / n0),
+                           (c, r["fine"], r["bin"], a, b)))
+        done[c] = [after_a, after_b]
+    return best, [cell for bound, cell in inside if bound > best[cell[0]]]
+
+
+def ks_from_histogram(both: DataFrame, stats: dict[str, dict], hist: list,
+                      edges: dict[str, list[float]] | None = None) -> dict[str, float]:
+    """D per feature: the histogram's gaps and, for bins that may hold a larger one, all of
+    their values in order.  ``edges`` must be those of ``histogram``."""
+    best, cells = open_bins(stats, hist)
+    if not cells:
+        return best
+    spark = both.sparkSession
+    table = spark.createDataFrame(
+        [(i, c, fine, k, a, b, stats[c]["n0"], stats[c]["n1"])
+         for i, (c, fine, k, a, b) in enumerate(cells)],
+        "cell int, column_name string, fine int, bin int, a bigint, b bigint, n0 bigint, n1 bigint")
+    rows = (with_bins(both, edges, _filled(stats))
+            # at most one row per bin of the histogram: bounded
+            .join(F.broadcast(table.select("cell", "column_name", "fine", "bin")),
+                  ["column_name", "fine", "bin"]))
+    counts = rows.groupBy("cell", "value").agg(
+        F.count_if(F.col("side") == SIDE_REF).alias("n_ref"),
+        F.count_if(F.col("side") == SIDE_CUR).alias("n_cur"))
+    ordered = order_stats.cumulative_counts(counts, ["n_ref", "n_cur"], "cell")
+    gap = F.abs((F.col("a") + F.col("cum_n_ref")) / F.col("n0")
+                - (F.col("b") + F.col("cum_n_cur")) / F.col("n1"))
+    seen = (ordered.join(F.broadcast(table), "cell")
+            .groupBy("column_name").agg(F.max(gap).alias("d")).collect())
+    for r in seen:
+        best[r["column_name"]] = max(best[r["column_name"]], r["d"])
+    return best
 
 
 # ------------------------------------------------------------------ p-values
@@ -375,17 +457,21 @@ def drift_features(reference: DataFrame, current: DataFrame, columns: list[str]
     spark = reference.sparkSession
     if not columns:
         return spark.createDataFrame([], FEATURES_SCHEMA)
-    # one pass over both inputs: every statistic below comes from the distinct-value table
-    counts = distinct_counts(reference, current, columns)
-    stats = stats_from_counts(counts, columns)
+    both = pooled(reference, current, columns)
+    stats = side_stats(both, columns, bulk=True)
     names = spark.createDataFrame(
         [(c, int(stats[c]["n0"]), int(stats[c]["n1"])) for c in columns],
         "column_name string, n_reference bigint, n_current bigint")
     usable = [c for c in columns if stats[c]["n0"] >= 2 and stats[c]["n1"] >= 2]
     if usable:
-        psi_df = psi_from_bins(bins_from_counts(counts, stats, usable))
-        ks_df = (ks_from_counts(counts).where(F.col("column_name").isin(usable))
-                 .select("column_name", "ks_statistic"))
+        edges = {c: bin_edges(min(stats[c]["lo0"], stats[c]["lo1"]),
+                              max(stats[c]["hi0"], stats[c]["hi1"])) for c in usable}
+        both = both.where(F.col("column_name").isin(usable))
+        hist = histogram(both, {c: stats[c] for c in usable}, edges)
+        psi_df = psi_from_bins(psi_bins_of(spark, hist, usable))
+        found = ks_from_histogram(both, {c: stats[c] for c in usable}, hist, edges)
+        ks_df = spark.createDataFrame([(c, found[c]) for c in usable],
+                                      "column_name string, ks_statistic double")
         scores = psi_df.join(ks_df, "column_name")
     else:
         scores = spark.createDataFrame([], "column_name string, psi double, ks_statistic double")

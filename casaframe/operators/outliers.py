@@ -1,10 +1,10 @@
 """Outlier report: z-score (modified z below 10 values) and IQR, all columns at once.
 
 Pass 1 is one aggregate over the wide frame (count, mean, population std
-per column).  Quartiles come from the distributed exact order statistics
-(or a sketch when ``approx=True``).  Pass 2 is one more aggregate counting
-every rule for every column.  Only a handful of numbers per column ever
-reach the driver.
+per column).  Quartiles are exact, bracketed by counting passes (or a sketch
+when ``approx=True``).  The last pass is one more aggregate counting every
+rule for every column.  No values are shuffled, only counts; a handful of
+numbers per column reach the driver.
 """
 
 from __future__ import annotations
@@ -50,78 +50,25 @@ def _small_medians(num: DataFrame, cols: list[str]) -> dict[str, tuple[float, fl
     return {c: (med, mad) for c, med, mad in zip(cols, meds, mads)}
 
 
-def _distinct_table(num: DataFrame, cols: list[str]) -> DataFrame:
-    """(feature, value, n) over all columns, range-partitioned and checkpointed (one pass)."""
-    long = order_stats.long_values(num, cols)
-    return order_stats.range_partitioned(order_stats.value_counts(long))
-
-
-def _moments_from_counts(counts: DataFrame, cols: list[str]) -> dict[str, tuple[int, float, float]]:
-    """n, mean and population std per feature from weighted distinct values."""
-    first = {r["feature"]: (int(r["n"]), r["s"] / r["n"]) for r in
-             counts.groupBy("feature").agg(F.sum("n").alias("n"),
-                                           F.sum(F.col("n") * F.col("value")).alias("s")).collect()}
-    out = {c: (0, None, None) for c in cols}
-    if not first:
-        return out
-    mean = None
-    for feat, (_, m) in first.items():
-        cond = F.col("feature") == F.lit(feat)
-        mean = F.when(cond, F.lit(m)) if mean is None else mean.when(cond, F.lit(m))
-    dev = F.col("value") - mean
-    second = {r["feature"]: r["ss"] for r in counts.groupBy("feature").agg(
-        F.sum(F.col("n") * dev * dev).alias("ss")).collect()}
-    for feat, (n, m) in first.items():
-        out[feat] = (n, m, (second[feat] / n) ** 0.5)
-    return out
-
-
-def _small_from_counts(counts: DataFrame, small: list[str]) -> dict[str, tuple[float, float]]:
-    """Median and MAD of columns with fewer than 10 values (at most 9 rows each)."""
-    if not small:
-        return {}
-    import numpy as np
-
-    vals: dict[str, list[float]] = {c: [] for c in small}
-    for r in counts.where(F.col("feature").isin(small)).collect():
-        vals[r["feature"]] += [float(r["value"])] * int(r["n"])
-    out = {}
-    for c, v in vals.items():
-        arr = np.array(v)
-        med = float(np.median(arr))
-        out[c] = (med, float(np.median(np.abs(arr - med))))
-    return out
-
-
 def outlier_stats(df: DataFrame, columns: list[str], approx: bool = False,
-                  counts: DataFrame | None = None, quartiles: bool = True) -> dict:
+                  quartiles: bool = True) -> dict:
     """All per-column statistics the rules need, keyed by column.
 
     Without ``quartiles`` (the z-score rules need none) one aggregate is all.
-
-    Exact mode reads the input once: every statistic comes from the
-    checkpointed distinct-value table (pass it as ``counts`` to reuse it).
-    ``approx=True`` uses a quantile sketch and plain aggregates instead.
+    ``approx=True`` takes the quartiles from a sketch instead of exactly.
     """
     num, cols = _numeric_view(df, columns)
     if not cols:
         return {}
-    if approx or not quartiles:
-        moments = column_moments(num, cols)
-        small = [c for c in cols if 0 < moments[c][0] < schema.MODIFIED_Z_MAX_N]
-        medians = _small_medians(num, small)
-        filled = [c for c in cols if moments[c][0] > 0]
-        quart = (order_stats.approx_quantiles(
-            order_stats.long_values(num, filled), [0.25, 0.75])
-            if filled and quartiles else {})
-    else:
-        counts = counts if counts is not None else _distinct_table(num, cols)
-        moments = _moments_from_counts(counts, cols)
-        small = [c for c in cols if 0 < moments[c][0] < schema.MODIFIED_Z_MAX_N]
-        medians = _small_from_counts(counts, small)
-        filled = [c for c in cols if moments[c][0] > 0]
-        quart = order_stats.quantiles_from_ranged(
-            counts, [0.25, 0.75], totals={c: moments[c][0] for c in filled}) if filled else {}
+    moments = column_moments(num, cols)
+    small = [c for c in cols if 0 < moments[c][0] < schema.MODIFIED_Z_MAX_N]
+    medians = _small_medians(num, small)
+    filled = [c for c in cols if moments[c][0] > 0]
+    quart = {}
+    if filled and quartiles:
+        long = order_stats.long_values(num, filled)
+        quart = (order_stats.approx_quantiles(long, [0.25, 0.75]) if approx else
+                 order_stats.exact_quantiles(long, [0.25, 0.75], {c: moments[c][0] for c in filled}))
     stats = {}
     for c in cols:
         n, mean, std = moments[c]
@@ -160,39 +107,20 @@ def iqr_rule(x, st: dict):
 
 
 def outlier_report(df: DataFrame, columns: list[str], approx: bool = False) -> DataFrame:
-    """One row per existing column: z-score count, IQR count, max of the two.
-
-    In exact mode the counts are sums of ``n`` over the distinct values that
-    break a rule, so the input is read once in total.
-    """
+    """One row per existing column: z-score count, IQR count, max of the two."""
     spark = df.sparkSession
     num, cols = _numeric_view(df, columns)
     if not cols:
         return spark.createDataFrame([], REPORT_SCHEMA)
-    counts = None if approx else _distinct_table(num, cols)
-    stats = outlier_stats(df, cols, approx=approx, counts=counts)
+    stats = outlier_stats(df, cols, approx=approx)
     data = []
-    if approx:
-        aggs = []
-        for i, c in enumerate(cols):
-            z, q = zscore_rule(qcol(c), stats[c]), iqr_rule(qcol(c), stats[c])
-            aggs.append((F.count_if(z) if z is not None else F.lit(0)).cast("bigint").alias(f"z{i}"))
-            aggs.append((F.count_if(q) if q is not None else F.lit(0)).cast("bigint").alias(f"q{i}"))
-        row = num.agg(*aggs).first()
-        found = {c: (int(row[f"z{i}"]), int(row[f"q{i}"])) for i, c in enumerate(cols)}
-    else:
-        v, n, feat = F.col("value"), F.col("n"), F.col("feature")
-        z_w, q_w = F.lit(0), F.lit(0)
-        for c in cols:
-            z, q = zscore_rule(v, stats[c]), iqr_rule(v, stats[c])
-            if z is not None:
-                z_w = F.when((feat == c) & z, n).otherwise(z_w)
-            if q is not None:
-                q_w = F.when((feat == c) & q, n).otherwise(q_w)
-        rows = counts.groupBy("feature").agg(F.sum(z_w).alias("z"), F.sum(q_w).alias("q")).collect()
-        found = {c: (0, 0) for c in cols}
-        for r in rows:
-            found[r["feature"]] = (int(r["z"] or 0), int(r["q"] or 0))
+    aggs = []
+    for i, c in enumerate(cols):
+        z, q = zscore_rule(qcol(c), stats[c]), iqr_rule(qcol(c), stats[c])
+        aggs.append((F.count_if(z) if z is not None else F.lit(0)).cast("bigint").alias(f"z{i}"))
+        aggs.append((F.count_if(q) if q is not None else F.lit(0)).cast("bigint").alias(f"q{i}"))
+    row = num.agg(*aggs).first()
+    found = {c: (int(row[f"z{i}"]), int(row[f"q{i}"])) for i, c in enumerate(cols)}
     for c in cols:
         z, q = found[c]
         data.append((c, z, q, max(z, q)))

@@ -47,6 +47,54 @@ def test_statistics_by_hand(spark, seed, n, m, shift):
         f.drifted for f in feats.values())
 
 
+def _largest_gap(ref, cur):
+    ref, cur = np.sort(ref), np.sort(cur)
+    grid = np.concatenate((ref, cur))
+    return np.abs(np.searchsorted(ref, grid, "right") / len(ref)
+                  - np.searchsorted(cur, grid, "right") / len(cur)).max()
+
+
+def test_ks_is_exact_whatever_the_bins_hold(spark):
+    rng = np.random.default_rng(12)
+    n, m = 4000, 3000
+    ref = {"smooth": rng.normal(size=n), "far": np.append(rng.normal(size=n - 1), 1e300),
+           "hot": np.where(rng.random(n) < 0.4, 2.0, rng.normal(size=n)),
+           "narrow": 1.0 + rng.integers(0, 9, n) * 2.0 ** -52, "same": np.full(n, 7.0),
+           "wide": rng.choice([-1.0, 1.0], n) * 10.0 ** rng.uniform(-300, 307, n)}
+    cur = {"smooth": rng.normal(0.02, 1, m), "far": np.append(rng.normal(size=m - 1), -1e300),
+           "hot": np.where(rng.random(m) < 0.3, 2.0, rng.normal(size=m)),
+           "narrow": 1.0 + rng.integers(0, 8, m) * 2.0 ** -52, "same": np.full(m, 7.0),
+           "wide": rng.choice([-1.0, 1.0], m) * 10.0 ** rng.uniform(-290, 307, m)}
+    r, c = _frames(spark, ref, cur)
+    got = {row.column_name: row.ks_statistic for row in
+           drift.ks_statistic(r.repartition(3), c.repartition(4)).collect()}
+    want = {k: _largest_gap(ref[k], cur[k]) for k in ref}
+    assert got == pytest.approx(want, abs=1e-12)
+    feats = {f.column_name: f.ks_statistic for f in drift.drift_features(r, c, method="asymp").collect()}
+    assert feats == pytest.approx(want, abs=6e-7)
+
+
+def test_ks_orders_only_open_bins(spark):
+    # a shifted column: the middle decides, bins at both ends are counted only
+    rng = np.random.default_rng(13)
+    r, c = _frames(spark, {"x": rng.normal(size=30000)}, {"x": rng.normal(0.5, 1, 30000)})
+    both = drift.pooled(r, c, ["x"])
+    stats = drift.side_stats(both, ["x"], bulk=True)
+    hist = drift.histogram(both, stats)
+    _, cells = drift.open_bins(stats, hist)
+    held = {(h["column_name"], h["fine"]): h["n_ref"] + h["n_cur"] for h in hist}
+    assert 0 < sum(held[(c[0], c[1])] for c in cells) < 6000
+
+
+def test_ks_without_values_on_a_side(spark):
+    sch = "x double, y double"
+    r = spark.createDataFrame([(1.0, None), (2.0, None)], sch)
+    c = spark.createDataFrame([(None, None), (None, None)], sch)
+    rows = drift.ks_statistic(r, c).collect()
+    assert [(x.column_name, x.n_reference, x.n_current, x.ks_statistic) for x in rows] == [
+        ("x", 2, 0, None)]
+
+
 def test_finite_law():
     # one value: D_1 = max(u, 1 - u), so P(D_1 >= d) = 2 (1 - d) from one half on
     for d in (0.55, 0.7, 0.95):

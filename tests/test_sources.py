@@ -94,11 +94,11 @@ def test_worker_functions_ship_by_value():
     import casaframe
     from pyspark import cloudpickle
 
-    from casaframe.operators import order_stats
+    from casaframe.operators import drift
 
     assert cloudpickle.cloudpickle._is_registered_pickle_by_value(casaframe)
-    blob = cloudpickle.dumps(order_stats._running_sums("f", "v", ["n"]))
-    assert pickle.loads(blob) is not None
+    blob = cloudpickle.dumps(drift.one_sample_sf)
+    assert pickle.loads(blob)(1, 0.75) == pytest.approx(0.5)
 
 
 def test_csv_keeps_quotes_line_breaks_and_wide_numbers(spark, tmp_path):

@@ -88,7 +88,7 @@ def test_exact_quantiles_match_numpy(spark, parts):
                      pd.DataFrame({"feature": "b", "value": b})])
     long = spark.createDataFrame(pdf).repartition(parts)
     probs = [0.0, 0.25, 0.5, 0.75, 1.0, 0.333]
-    got = order_stats.exact_quantiles(long, probs, num_partitions=parts)
+    got = order_stats.exact_quantiles(long, probs, collect_rows=20 * parts)
     for name, arr in (("a", a), ("b", b)):
         assert np.allclose(got[name], np.quantile(arr, probs), rtol=0, atol=1e-9)
 
@@ -114,27 +114,18 @@ def test_partition_invariance(spark):
     assert d1 == d8
 
 
-def test_running_sums_carry_across_batches(spark):
-    # tiny Arrow batches force every partition to be processed in several pieces
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        rng = np.random.RandomState(5)
-        pdf = pd.DataFrame({"feature": rng.choice(["a", "b", "c"], 500),
-                            "value": rng.randint(0, 120, 500).astype(float)})
-        counts = order_stats.value_counts(spark.createDataFrame(pdf))
-        got = {(r.feature, r.value): (r.cum_n, r.total_n)
-               for r in order_stats.cumulative_counts(counts, ["n"], num_partitions=3).collect()}
-        window = {(r.feature, r.value): (r.cum_n, r.total_n)
-                  for r in order_stats.cumulative_counts(counts, ["n"], num_partitions=3,
-                                                         in_place=False).collect()}
-        assert got == window
-        for f, grp in pdf.groupby("feature"):
-            vc = grp["value"].value_counts().sort_index().cumsum()
-            for v, c in vc.items():
-                assert got[(f, v)] == (c, len(grp))
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+def test_quantiles_of_very_uneven_values(spark):
+    # values of all sizes, a few repeated, one gap so small that only counting settles it
+    vals = np.concatenate([2.0 ** np.arange(-1000, 1000, 1.7), -(3.0 ** np.arange(0, 500, 1.3)),
+                           np.zeros(400), [np.nextafter(1.0, 2.0)] * 3])
+    rows = [("a.b", float(v)) for v in vals] + [("one", 4.5), ("none", None)]
+    long = spark.createDataFrame(rows, "feature string, value double").repartition(5)
+    order = np.sort(vals)
+    ranks = {0, 1, 399, 400, 500, 801, 802, len(vals) - 1}
+    got = order_stats.ranked_values(long, {"a.b": ranks}, {"a.b": len(vals)}, collect_rows=3)
+    assert {k: got[("a.b", k)] for k in ranks} == {k: order[k] for k in ranks}
+    q = order_stats.exact_quantiles(long, [0.5])
+    assert q["one"] == [4.5] and q["none"] == [None]
 
 
 def test_hot_value_third_of_rows(spark):
@@ -143,7 +134,7 @@ def test_hot_value_third_of_rows(spark):
     vals = np.concatenate([np.full(3000, 42.0), rng.normal(0, 50, 6000).round(1)])
     long = spark.createDataFrame(pd.DataFrame({"feature": "x", "value": vals})).repartition(8)
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    got = order_stats.exact_quantiles(long, probs, num_partitions=8)["x"]
+    got = order_stats.exact_quantiles(long, probs, collect_rows=10)["x"]
     assert np.allclose(got, np.quantile(vals, probs), atol=1e-9)
 
 
