@@ -724,21 +724,70 @@ def q_stream_score(spark, sf):
                         F.lit("rejected").alias("status")))
 
 
-@query("stream_drift")
+_REF_BIN = " + ".join(f"CAST(value >= lo + {i} * ((hi - lo) / 10) AS INTEGER)" for i in range(1, 10))
+STREAM_SQL = _with(
+    FIX, POOLED_SQL, LONG_SQL,
+    "sref AS (SELECT column_name, min(value) AS lo, max(value) AS hi FROM long WHERE side = 0 "
+    "GROUP BY column_name HAVING count(*) >= 2)",
+    "cur AS (SELECT TIMESTAMP '1970-01-01' + to_days(30 * CAST(floor(epoch(CAST(l_shipdate AS TIMESTAMP)) "
+    "/ 2592000) AS INTEGER)) AS ws, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in DRIFT_COLS)
+    + f" FROM properties_raw WHERE NOT (l_shipdate < {CUT}))",
+    "wlong AS (SELECT ws, column_name, value FROM (UNPIVOT cur ON " + ", ".join(DRIFT_COLS)
+    + " INTO NAME column_name VALUE value) WHERE value IS NOT NULL)",
+    f"rb AS (SELECT column_name, {_REF_BIN} AS bin, count(*) AS n FROM long JOIN sref USING (column_name) "
+    "WHERE side = 0 GROUP BY ALL)",
+    f"cb AS (SELECT ws, column_name, {_REF_BIN} AS bin, count(*) AS n FROM wlong "
+    "JOIN sref USING (column_name) GROUP BY ALL)",
+    "dense AS (SELECT w.ws, w.column_name, coalesce(rb.n, 0) AS r, coalesce(cb.n, 0) AS c "
+    "FROM (SELECT DISTINCT ws, column_name FROM cb) w CROSS JOIN (SELECT range AS bin FROM range(0, 10)) b "
+    "LEFT JOIN rb ON rb.column_name = w.column_name AND rb.bin = b.bin "
+    "LEFT JOIN cb ON cb.column_name = w.column_name AND cb.bin = b.bin AND cb.ws = w.ws)",
+    "shares AS (SELECT ws, column_name, c, (r + 0.0001) / sum(r + 0.0001) OVER p AS p, "
+    "(c + 0.0001) / sum(c + 0.0001) OVER p AS q FROM dense WINDOW p AS (PARTITION BY ws, column_name))",
+) + ("SELECT strftime(ws, '%Y-%m-%d') AS window_start, strftime(ws + INTERVAL 30 DAY, '%Y-%m-%d') AS window_end, "
+     "column_name, round(sum((q - p) * ln(q / p)), 6) AS psi, CAST(sum(c) AS BIGINT) AS n_current "
+     "FROM shares GROUP BY ws, column_name")
+
+
+def _drift_source(spark, sf, base: str) -> DataFrame:
+    """The current side of the drift pair, written as the source of a stream."""
+    cut = F.expr(f"timestamp_ntz'{fx.DRIFT_CUTOFF}'")
+    current = fx.properties_raw(spark, sf).where(~(F.col("l_shipdate").cast("timestamp_ntz") < cut))
+    current.write.mode("overwrite").parquet(f"{base}/source")
+    return current
+
+
+@query("stream_drift", STREAM_SQL)
 def q_stream_drift(spark, sf):
     from casaframe.streaming import drift_stream as ds
 
     ref, _ = fx.drift_pair(spark, sf)
     edges = ds.reference_edges(ref, DRIFT_COLS)
     base = shared_dir(spark, "streams", "drift", unique=True)
-    raw = fx.properties_raw(spark, sf)
-    cut = F.expr(f"timestamp_ntz'{fx.DRIFT_CUTOFF}'")
-    current = raw.where(~(F.col("l_shipdate").cast("timestamp_ntz") < cut))
-    current.write.mode("overwrite").parquet(f"{base}/source")
+    current = _drift_source(spark, sf, base)
     q = ds.start_stream_drift(spark, f"{base}/source", current.schema, "l_shipdate", edges,
                               f"{base}/sink", f"{base}/checkpoint")
     q.awaitTermination()
-    return ds.window_psi(spark, f"{base}/sink", ds.reference_bins(ref, edges))
+    psi_rows = ds.window_psi(spark, f"{base}/sink", ds.reference_bins(ref, edges))
+    return psi_rows.select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("window_start"),
+        F.date_format("window_end", "yyyy-MM-dd").alias("window_end"),
+        "column_name", F.round("psi", 6).alias("psi"), "n_current")
+
+
+@query("stream_ks", DRIFT_BASE + "SELECT column_name, n_reference, n_current, "
+       "round(d, 6) AS ks_statistic FROM ks")
+def q_stream_ks(spark, sf):
+    from casaframe.streaming import drift_stream as ds
+
+    ref, _ = fx.drift_pair(spark, sf)
+    base = shared_dir(spark, "streams", "ks", unique=True)
+    current = _drift_source(spark, sf, base)
+    q = ds.start_stream_ks(spark, f"{base}/source", current.schema, ref, DRIFT_COLS,
+                           f"{base}/sink", f"{base}/checkpoint")
+    q.awaitTermination()
+    return ds.read_ks(spark, f"{base}/sink").select(
+        "column_name", "n_reference", "n_current", F.round("ks_statistic", 6).alias("ks_statistic"))
 
 
 @query("metrics_log")

@@ -9,6 +9,10 @@ watermark.  ``update`` mode emits changed windows every trigger (append
 would hold the last window back until the watermark passes it); each
 trigger's rows are written under their batch id and readers keep, per
 window/feature/bin, the row from the latest batch.
+
+``start_stream_ks`` adds the exact two-sample KS test of every micro-batch
+against the reference; it needs no state, and a replayed batch replaces its
+own result.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from casaframe import schema
 from casaframe.functions.exprs import to_double
-from casaframe.operators.drift import bin_edges, bin_index, pooled, side_stats
+from casaframe.operators.drift import bin_edges, bin_index, ks_test, pooled, side_stats
 from casaframe.operators.order_stats import in_rows
 
 
@@ -102,6 +106,37 @@ def window_psi(spark: SparkSession, sink_dir: str, ref_bins: DataFrame,
             .agg(F.sum("term").alias("psi"), F.sum("current_count").alias("n_current")))
 
 
+def start_stream_ks(spark: SparkSession, source_dir: str, source_schema: T.StructType,
+                    reference: DataFrame, columns: list[str], sink_dir: str, checkpoint_dir: str,
+                    available_now: bool = True, fmt: str = "parquet",
+                    max_files: int | None = None) -> StreamingQuery:
+    """KS statistic and p-value of each micro-batch against ``reference``, by feature.
+
+    A feature without values in a batch has no p-value there; an empty batch
+    writes nothing.  ``max_files`` bounds the files of a batch.
+    """
+    reader = spark.readStream.schema(source_schema).format(fmt)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    sink = sink_dir.rstrip("/")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            (ks_test(reference, batch, columns)
+             .write.mode("overwrite").parquet(f"{sink}/ks/batch_id={batch_id}"))
+
+    writer = (reader.load(source_dir).writeStream.foreachBatch(write_batch)
+              .option("checkpointLocation", checkpoint_dir))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime="30 seconds")
+    return writer.start()
+
+
+def read_ks(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """batch_id, column_name, n_reference, n_current, ks_statistic, ks_pvalue."""
+    return spark.read.parquet(f"{sink_dir.rstrip('/')}/ks")
+
+
 class LateRows(StreamingQueryListener):
     """Adds up the rows that watermarks drop, over the whole life of each query.
 

@@ -72,3 +72,26 @@ def test_late_rows_counted(spark, tmp_path):
         assert late.of(q) == 2
     finally:
         spark.streams.removeListener(late)
+
+
+def test_ks_of_every_batch(spark, tmp_path):
+    import numpy as np
+    import pandas as pd
+
+    from casaframe.operators.drift import ks_test
+    from casaframe.streaming import drift_stream as ds
+
+    rng = np.random.default_rng(31)
+    ref = spark.createDataFrame(pd.DataFrame({"x": rng.normal(size=900)}))
+    parts = [spark.createDataFrame(pd.DataFrame({"x": rng.normal(shift, 1, 200)}))
+             for shift in (0.0, 0.8)]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    q = ds.start_stream_ks(spark, str(tmp_path / "in"), ref.schema, ref, ["x"],
+                           str(tmp_path / "out"), str(tmp_path / "ck"), max_files=1)
+    q.awaitTermination()
+    got = sorted((r.ks_statistic, r.ks_pvalue, r.n_current)
+                 for r in ds.read_ks(spark, str(tmp_path / "out")).collect())
+    want = sorted((r.ks_statistic, r.ks_pvalue, r.n_current)
+                  for part in parts for r in ks_test(ref, part, ["x"]).collect())
+    assert got == want and want[0][1] > 0.05 > want[1][1]
