@@ -1,13 +1,15 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A block is a sentence of a text; a template is the token set of a license
-sentence; a block meets it when it holds at least the threshold share of
-its tokens.  Tokens are put in one global order, rarest first by the number
+A block is a sentence of a line, or any run of words as long as the template
+and a quarter more, whatever line breaks or full stops lie within (a wrapped
+header, "v. 2.0"); a template is the token set of a license sentence; a block
+meets it when it holds at least the threshold share of its tokens.  Tokens are put in one global order, rarest first by the number
 of documents that hold them, counted over the whole corpus.  Then
 
 * prefix filter: a block that meets template T holds one of the first
   |T| - need + 1 tokens of T, need being the tokens the threshold asks for;
-  documents and then blocks without any such token are passed over;
+  documents and then blocks without any such token are passed over, and only
+  runs around such a token are looked at;
 * length filter: the block must hold at least ``need`` template tokens;
 * positional filter: behind the first common token both sides must have
   enough tokens left to reach ``need``;
@@ -15,8 +17,8 @@ of documents that hold them, counted over the whole corpus.  Then
 
 Templates are a fixed list, so their side of the join is a constant in the
 plan: one pass counts frequencies, one pass scans, no text is shuffled.
-Of the templates a block meets, the best contained give its labels; of equally
-contained ones the largest.
+Of the templates a sentence meets, the best contained give its labels; of
+equally contained ones the largest.
 
 Next to the join stand the base labels: phrases whose words follow each
 other.  All of it is DataFrame expressions.
@@ -81,6 +83,7 @@ class Template:
         self.label, self.tokens = label, sorted(set(text.split()), key=rank.__getitem__)
         self.need = max(1, math.ceil(threshold * len(self.tokens) - 1e-9))
         self.prefix = self.tokens[:len(self.tokens) - self.need + 1]
+        self.run = len(text.split()) * 5 // 4
 
     def containment(self, held: Column) -> Column:
         """Share of the template in ``held`` (the block's template tokens, rarest first), or 0."""
@@ -94,9 +97,23 @@ class Template:
         return F.when(passes, overlap / F.lit(float(size))).otherwise(0.0)
 
 
+def _fit(t: Template, containment: Column, held: Column) -> Column:
+    """One template against one block: what it matched there and how well."""
+    return F.struct(F.lit(t.label).alias("label"),
+                    F.struct(containment.alias("containment"),
+                             F.lit(len(t.tokens)).alias("size")).alias("fit"),
+                    F.array_intersect(F.lit(t.tokens), held).alias("tokens"))
+
+
+def _within(x: Column, better: Column) -> Column:
+    """Whether ``better`` fits better and matched all tokens of ``x`` and more."""
+    return ((better["fit"] > x["fit"]) & (F.size(better["tokens"]) > F.size(x["tokens"]))
+            & (F.size(F.array_except(x["tokens"], better["tokens"])) == 0))
+
+
 def block_labels(text: Column, order: list[str], templates=TEMPLATES,
                  threshold: float = THRESHOLD) -> Column:
-    """array<struct<block, label, containment>> of the blocks of one text that meet a template."""
+    """array<struct<block, label, containment, best>> of the sentences of one text that meet a template."""
     known = [Template(label, t, order, threshold) for label, t in templates]
     prefixes = sorted({w for t in known for w in t.prefix})
     blocks = F.split(F.translate(text, UPPER, LOWER), BLOCK_ENDS)
@@ -106,21 +123,62 @@ def block_labels(text: Column, order: list[str], templates=TEMPLATES,
             i.alias("block"),
             F.array_intersect(F.lit(order), F.split(b, GAPS)).alias("held"))),
         lambda b: F.arrays_overlap(b["held"], F.lit(prefixes)))
+    met = F.transform(held, lambda b: F.struct(b["block"].alias("block"), F.filter(
+        F.array(*[_fit(t, t.containment(b["held"]), b["held"]) for t in known]),
+        lambda x: x["fit"]["containment"] > 0).alias("met")))
 
-    def scored(b: Column) -> Column:
-        each = F.array(*[F.struct(F.lit(t.label).alias("label"),
-                                  F.struct(t.containment(b["held"]).alias("containment"),
-                                           F.lit(len(t.tokens)).alias("size")).alias("fit"))
-                         for t in known])
-        met = F.transform(F.filter(each, lambda x: x["fit"]["containment"] > 0), lambda x: F.struct(
-            x["label"].alias("label"), x["fit"].alias("fit"),
-            x["fit"]["containment"].alias("containment")))
-        best = F.array_max(F.transform(met, lambda x: x["fit"]))
-        return F.transform(F.filter(met, lambda x: x["fit"] == best), lambda x: F.struct(
+    def labelled(b: Column) -> Column:
+        own = F.filter(b["met"], lambda x: ~F.exists(b["met"], lambda y: _within(x, y)))
+        return F.transform(own, lambda x: F.struct(
             b["block"].alias("block"), x["label"].alias("label"),
-            x["containment"].alias("containment")))
+            x["fit"]["containment"].alias("containment"),
+            (~F.exists(b["met"], lambda y: y["fit"] > x["fit"])).alias("best")))
+
+    return F.flatten(F.transform(met, labelled))
 
-    return F.flatten(F.transform(held, scored))
+
+def run_labels(w: Column, order: list[str], templates=TEMPLATES,
+               threshold: float = THRESHOLD) -> Column:
+    """array<struct<label, containment>> of the runs of words that meet a template.
+
+    A run that meets one holds a prefix token of it, so every start is covered
+    by the runs around each such token.
+    """
+    known = [Template(label, t, order, threshold) for label, t in templates]
+    prefixes = sorted({x for t in known for x in t.prefix})
+    marked = F.transform(w, lambda x, i: F.when(x.isin(prefixes), i).otherwise(-1))
+    # the templates as one constant array: the plan does not grow with their pairs
+    table = F.array(*[F.struct(
+        F.lit(t.label).alias("label"), F.lit(len(t.tokens)).alias("size"),
+        F.lit(t.need).alias("need"), F.lit(t.run).alias("run"), F.lit(t.tokens).alias("tokens"),
+        F.lit(t.prefix).alias("prefix")) for t in known])
+
+    def fit(t: Column, tokens: Column) -> Column:
+        return F.struct(t["label"].alias("label"), F.struct(
+            (F.size(tokens) / t["size"].cast("double")).alias("containment"),
+            t["size"].alias("size")).alias("fit"), tokens.alias("tokens"))
+
+    def around(i: Column) -> Column:
+        zones = F.transform(
+            F.filter(table, lambda t: F.array_contains(t["prefix"], F.get(w, i))),
+            lambda t: F.struct(t.alias("t"), F.slice(
+                w, F.greatest(i - t["run"] + 2, F.lit(1)),
+                F.least(i, t["run"] - 1) + t["run"]).alias("words")))
+        zones = F.filter(zones, lambda z: F.size(
+            F.array_intersect(z["t"]["tokens"], z["words"])) >= z["t"]["need"])
+        return F.flatten(F.transform(zones, judged))
+
+    def judged(z: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), z["t"]["run"]), lambda k: F.array_intersect(
+            z["t"]["tokens"], F.slice(z["words"], k, z["t"]["run"])))
+        most = F.array_max(F.transform(runs, lambda r: F.struct(F.size(r).alias("n"), r.alias("r"))))
+        rivals = F.transform(table, lambda u: fit(u, F.array_intersect(u["tokens"], z["words"])))
+        hit = F.filter(F.array(fit(z["t"], most["r"])), lambda x: (F.size(x["tokens"]) >= z["t"]["need"])
+                       & ~F.exists(rivals, lambda y: _within(x, y)))
+        return F.transform(hit, lambda x: F.struct(
+            x["label"].alias("label"), x["fit"]["containment"].alias("containment")))
+
+    return F.flatten(F.transform(F.filter(marked, lambda i: i >= 0), around))
 
 
 def phrase_places(w: Column, phrase: str) -> Column:
@@ -136,31 +194,43 @@ def phrase_places(w: Column, phrase: str) -> Column:
 
 def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES,
          threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, n_words, places (phrase, word), matches (block, label, containment)."""
+    """Per row: doc_id, n_words, places (phrase, word), matches (block, label, containment), met.
+
+    ``matches`` are the best templates of each sentence, ``met`` these and
+    the (label, containment) that a run of words meets.
+    """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     order = token_order(docs, templates)
     prefixes = sorted({w for label, t in templates for w in
                        Template(label, t, order, threshold).prefix})
-    rows = docs.withColumn("w", words(F.col("text")))
-    matches = F.when(F.arrays_overlap("w", F.lit(prefixes)),
-                     block_labels(F.col("text"), order, templates, threshold))
+    candidate = F.arrays_overlap("w", F.lit(prefixes))
+    rows = docs.withColumn("w", words(F.col("text"))).select(
+        "*", F.when(candidate, block_labels(F.col("text"), order, templates, threshold)).alias("hits"),
+        F.when(candidate, run_labels(F.col("w"), order, templates, threshold)).alias("runs"))
 
     def named(phrase: str, label: str) -> Column:
         return F.transform(phrase_places(F.col("w"), phrase), lambda i: F.struct(
             i.cast("long").alias("word"), F.lit(label).alias("label")))
 
     places = F.flatten(F.array(*[named(*p) for p in phrases]))
+    matches = F.transform(F.filter("hits", lambda h: h["best"]), lambda h: F.struct(
+        h["block"].alias("block"), h["label"].alias("label"), h["containment"].alias("containment")))
+    met = F.concat(F.transform(F.filter("hits", lambda h: h["best"]), lambda h: F.struct(
+        h["label"].alias("label"), h["containment"].alias("containment"))), F.col("runs"))
     return rows.select("doc_id", F.size("w").cast("long").alias("n_words"),
                        places.alias("places"),
                        F.coalesce(matches, F.expr(
                            "CAST(array() AS array<struct<block:int,label:string,containment:double>>)"
-                       )).alias("matches"))
+                       )).alias("matches"),
+                       F.coalesce(met, F.expr(
+                           "CAST(array() AS array<struct<label:string,containment:double>>)"
+                       )).alias("met"))
 
 
 def license_report(docs: DataFrame) -> DataFrame:
     found = scan(docs)
     base = F.transform("places", lambda p: p["label"])
-    method = F.transform("matches", lambda m: m["label"])
+    method = F.transform("met", lambda m: m["label"])
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
     starts = F.transform("places", lambda p: p["word"])
     return found.select(
@@ -168,4 +238,4 @@ def license_report(docs: DataFrame) -> DataFrame:
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         joined(base).alias("base_labels"), joined(F.concat(base, method)).alias("labels"),
         F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max(
-            F.transform("matches", lambda m: m["containment"])), F.lit(0.0))).alias("score"))
+            F.transform("met", lambda m: m["containment"])), F.lit(0.0))).alias("score"))

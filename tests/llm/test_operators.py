@@ -339,6 +339,31 @@ def test_license_join_finds_every_block(spark, threshold):
     assert got == want
 
 
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files (the \"Software\"), to deal",
+    "bsd": "# Redistribution and use in source and binary forms, with or without\n"
+           "# modification, are permitted provided that the following conditions are met:",
+    "gpl-3": " * it under the terms of the GNU General Public License as published by\n"
+             " * the Free Software Foundation, either version 3 of the License, or",
+    "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public\n"
+             "License, v. 2.0. If a copy of the MPL was not distributed with this",
+}
+WRAPPED_BSD = ("1. Redistributions of source code must retain the above copyright notice, this\n"
+               "   list of conditions and the following disclaimer.")
+
+
+def test_license_labels_do_not_depend_on_wrapping(spark):
+    texts = [(label, t) for label, t in WRAPPED.items()] + [("bsd", WRAPPED_BSD)]
+    texts += [("mpl-2", WRAPPED["mpl-2"].replace("\n", " ")),
+              ("gpl-3", "This work is licensed under the GNU General\nPublic License, the version 3.")]
+    texts += [(label, "word " * k + re.sub(r"\s+", "\n", t)) for label, t in WRAPPED.items()
+              for k in (1, 500)]
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_report(
+        frame(spark, [(i, t) for i, (_, t) in enumerate(texts)])).collect()}
+    assert got == {i: label for i, (label, _) in enumerate(texts)}
+
+
 # ------------------------------------------------------------------ 6 lines
 
 @pytest.mark.parametrize("sites", [2, 3, 5])
