@@ -17,8 +17,9 @@ of documents that hold them, counted over the whole corpus.  Then
 
 Templates are a fixed list, so their side of the join is a constant in the
 plan: one pass counts frequencies, one pass scans, no text is shuffled.
-Of the templates a sentence meets, the best contained give its labels; of
-equally contained ones the largest.
+Every template that a block meets gives its label, unless the tokens it
+matched are a proper subset of those that a better one (by containment, then
+size) matched there: the GPL 2 sentence within that of GPL 3 gives no label.
 
 Next to the join stand the base labels: phrases whose words follow each
 other.  All of it is DataFrame expressions.
@@ -196,8 +197,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES,
          threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, n_words, places (phrase, word), matches (block, label, containment), met.
 
-    ``matches`` are the best templates of each sentence, ``met`` these and
-    the (label, containment) that a run of words meets.
+    ``matches`` are the best templates of each sentence, ``met`` all (label,
+    containment) that a sentence or a run of words meets.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     order = token_order(docs, templates)
@@ -215,7 +216,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES,
     places = F.flatten(F.array(*[named(*p) for p in phrases]))
     matches = F.transform(F.filter("hits", lambda h: h["best"]), lambda h: F.struct(
         h["block"].alias("block"), h["label"].alias("label"), h["containment"].alias("containment")))
-    met = F.concat(F.transform(F.filter("hits", lambda h: h["best"]), lambda h: F.struct(
+    met = F.concat(F.transform("hits", lambda h: F.struct(
         h["label"].alias("label"), h["containment"].alias("containment"))), F.col("runs"))
     return rows.select("doc_id", F.size("w").cast("long").alias("n_words"),
                        places.alias("places"),

@@ -364,6 +364,19 @@ def test_license_labels_do_not_depend_on_wrapping(spark):
     assert got == {i: label for i, (label, _) in enumerate(texts)}
 
 
+def test_every_license_of_a_block_is_found(spark):
+    texts = {
+        "cc-by-sa,gpl-3": "This work is licensed under the GNU General Public License version 3 and "
+                          "licensed under CC BY SA 4.0",
+        "all-rights-reserved,mit": "Released under the MIT License, all rights reserved.",
+        "gpl-3": "This work is licensed under the GNU General Public License, version 3.",
+        "cc-by-nc": "Licensed under CC BY-NC 4.0.",
+        "gpl-2,gpl-3": "This work is licensed under the GNU General Public License version 2 or version 3."}
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_report(
+        frame(spark, list(enumerate(texts.values())))).collect()}
+    assert got == dict(enumerate(texts))
+
+
 # ------------------------------------------------------------------ 6 lines
 
 @pytest.mark.parametrize("sites", [2, 3, 5])
