@@ -2,13 +2,17 @@
 
 Two multinomials over hashed words and word pairs are counted over whole
 tables: one over the trusted documents (quality label 1), one over every
-document.  A document's score is the mean over its n-grams of
+document.  Each distinct text counts once on both sides, however many rows
+repeat it (and is trusted if any of them is), so leaving a text's own n-grams
+out leaves out those of all its copies.  A document's score is the mean over its n-grams of
 log(p_trusted / p_raw), so it does not depend on the length; both are
 smoothed alike at the size of the trusted corpus.  A document is kept when the score reaches a fixed threshold and the base rules pass.
 
-Counting is one pass whose tasks each send at most 2**BITS counters;
-scoring is a second pass with the 2 x 2**BITS counts shipped to every task
-(1 MB).  No text is shuffled.
+A first pass finds the repeated texts by their 64-bit hashes, of which only
+those are shuffled.  Counting is one pass whose tasks each send at most 2**BITS
+counters; scoring is a third pass with the 2 x 2**BITS counts shipped to every
+task (1 MB).  No text is shuffled, but in the join of more than a million
+repeated texts.
 
 Defined results: a null text has no words (and so fails the base rules); a
 repeated id is trusted if any of its quality labels is 1; without trusted
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casaframe.llm import words as W
-from casaframe.llm.common import append_columns, join_small
+from casaframe.llm.common import append_columns, join_small, written
 
 BITS = 16
 SMOOTHING = 4.0       # pseudo-count of each bucket, at the size of the trusted corpus
@@ -67,25 +71,43 @@ def _dup_lines(text: str | None) -> int:
     return len(lines) - len(set(lines))
 
 
+def distinct_weights(docs: DataFrame, trusted: str, copies: str) -> DataFrame:
+    """(text, trusted, copies) of every row: the rows with its text, and if any of them is trusted."""
+    h, any_trusted = "__cf_hash", "__cf_any"
+    keyed = docs.select("text", trusted, F.xxhash64("text").alias(h))
+    repeated = written(
+        keyed.where("text IS NOT NULL").groupBy(h).agg(
+            F.count("*").alias(copies), F.max(trusted).alias(any_trusted)).where(F.col(copies) > 1),
+        "quality_copies")
+    return join_small(keyed, repeated, h, "left").select(
+        "text", F.coalesce(any_trusted, trusted).alias(trusted),
+        F.coalesce(copies, F.lit(1)).alias(copies))
+
+
 def gram_counts(docs: DataFrame, trusted: str, bits: int = BITS) -> DataFrame:
-    """(bucket, trusted_count, raw_count) over every n-gram of ``docs``."""
+    """(bucket, trusted_count, raw_count) over every n-gram of the distinct texts of ``docs``."""
+    copies = "__cf_copies"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = W.WordHasher(W.NOT_SPACE)
-        raw, good = np.zeros(1 << bits, dtype=np.int64), np.zeros(1 << bits, dtype=np.int64)
+        raw, good = np.zeros(1 << bits), np.zeros(1 << bits)
         for pdf in batches:
             flag = pdf[trusted].to_numpy(dtype=bool)
+            share = 1.0 / pdf[copies].to_numpy(dtype=np.float64)
             for first, buf, starts in W.groups(pdf["text"].tolist(), fold=True):
                 at, h = hasher.hashes(buf)
                 doc, bucket = _grams(h, np.searchsorted(starts, at, side="right") - 1, bits)
-                raw += np.bincount(bucket, minlength=1 << bits)
-                good += np.bincount(bucket[flag[first + doc]], minlength=1 << bits)
+                part, mine = share[first + doc], flag[first + doc]
+                raw += np.bincount(bucket, weights=part, minlength=1 << bits)
+                good += np.bincount(bucket[mine], weights=part[mine], minlength=1 << bits)
         live = np.flatnonzero(raw)
         yield pd.DataFrame({"bucket": live, "t": good[live], "r": raw[live]})
 
-    return (docs.select("text", trusted)
-            .mapInPandas(run, "bucket long, t long, r long")
-            .groupBy("bucket").agg(F.sum("t").alias("trusted_count"),
-                                   F.sum("r").alias("raw_count")))
+    # the shares of a text's copies add up to 1, so the sums are whole but for rounding
+    return (distinct_weights(docs, trusted, copies)
+            .mapInPandas(run, "bucket long, t double, r double")
+            .groupBy("bucket").agg(F.round(F.sum("t")).cast("long").alias("trusted_count"),
+                                   F.round(F.sum("r")).cast("long").alias("raw_count")))
 
 
 def collected(counts: DataFrame, bits: int = BITS) -> np.ndarray:
@@ -100,7 +122,8 @@ def mean_log_ratio(doc: np.ndarray, bucket: np.ndarray, n: int, counts: np.ndarr
                    smoothing: float = SMOOTHING) -> np.ndarray:
     """Per text the mean of log(p_trusted / p_raw) over its n-grams.
 
-    The raw counts are taken without the text's own n-grams and scaled to the
+    The raw counts, in which each distinct text stands once, are taken without
+    the text's own n-grams and scaled to the
     trusted total, so both sides have one sum and one smoothing: an n-gram
     seen nowhere else is neutral, in a corpus of any size.
     """

@@ -293,6 +293,30 @@ def test_quality_ratio_by_brute_force_and_verdict(spark):
     assert not any(got[i]["kept"] for i, _ in junk) and not got[501]["kept"]
 
 
+@pytest.mark.parametrize("copies", [30, 3000])
+def test_quality_copies_do_not_reject_their_text(spark, copies):
+    rng = random.Random(10)
+    good = [(i, " ".join(rng.choice(WORDS) for _ in range(80)) + f" n{i}") for i in range(80)]
+    junk = [(200 + i, " ".join(f"zz{rng.randint(0, 9)}$$" for _ in range(80))) for i in range(40)]
+    hot = " ".join(rng.choice(WORDS) + (f" own{i}" if i % 2 else "") for i in range(90))
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(0, 80, 2)], "doc_id long, quality int, toxic int")
+
+    def verdicts(n, marks=marks):
+        rows = [*good, *junk, *[(1000 + k, hot) for k in range(n)]]
+        return [(r["doc_id"], r["kept"], r["score"])
+                for r in quality.quality_rules(frame(spark, rows), marks).collect()]
+
+    one, many = verdicts(1), verdicts(copies)
+    want = {i: (kept, pytest.approx(score)) for i, kept, score in one}
+    assert want[1000][0] and len(many) == 120 + copies
+    assert all((kept, score) == want[min(i, 1000)] for i, kept, score in many)
+    # one label on a copy trusts the text once, like a label on its only row
+    label = spark.createDataFrame([(1000, 1, 0)], marks.schema)
+    want = {i: (kept, pytest.approx(score)) for i, kept, score in verdicts(1, marks.union(label))}
+    assert all((kept, score) == want[min(i, 1000)]
+               for i, kept, score in verdicts(copies, marks.union(label)))
+
+
 # ------------------------------------------------------------------ 5 licenses
 
 LICENSED = [
