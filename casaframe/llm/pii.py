@@ -17,9 +17,10 @@ Spark iterates the two over the graph (one row per pattern and instance);
 patterns of high confidence then extract unseen identifiers, each of its
 pattern's kind, wherever no base entity stands.
 
-The patterns in play are bounded: a pattern needs the share ``SHARE`` of all
-seed places at least, and each place gives one pattern, so there are at most
-1 / SHARE of them; those go to every task.
+A pattern needs ``MIN_SUPPORT`` different seeds in a table of any size.  The
+patterns that have them are counted; tasks get at most ``MAX_PATTERNS`` of
+them, and more are matched in further passes over the corpus.  The trusted
+ones go to every task of the last pass, however many they are.
 
 Defined results: a null text is empty; empty texts have no spans; repeated
 rows are scanned each on their own; an empty table gives no rows.
@@ -35,12 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casaframe.llm.common import append_columns, written
+from casaframe.llm.common import MAX_BROADCAST_ROWS, append_columns, written
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
 MIN_SUPPORT = 5      # different seeds that must share a pattern
-SHARE = 1e-5         # least share of all seed places: at most 100,000 patterns
+MAX_PATTERNS = 100_000  # patterns that one pass over the corpus matches
 ROUNDS = 3
 CONFIDENCE = 0.8
 
@@ -186,7 +187,7 @@ def seed_patterns(docs: DataFrame) -> DataFrame:
                                                    F.count("*").alias("support")), "pii_patterns")
 
 
-def graph(docs: DataFrame, patterns: list[str]) -> DataFrame:
+def graph_edges(docs: DataFrame, patterns: list[str]) -> DataFrame:
     """(pattern, instance, kind, n): what the patterns extract over the whole corpus.
 
     ``kind`` is set for seeds; the row without an instance counts the places
@@ -223,6 +224,19 @@ def graph(docs: DataFrame, patterns: list[str]) -> DataFrame:
                    "pii_graph")
 
 
+def graph(docs: DataFrame, chosen: DataFrame) -> DataFrame | None:
+    """The edges of all ``chosen`` patterns, by one pass per ``MAX_PATTERNS`` of them; None without any."""
+    parts = -(-chosen.count() // MAX_PATTERNS)
+    edges = None
+    for k in range(parts):
+        mine = chosen.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == k)
+        patterns = sorted(r["pattern"] for r in mine.select("pattern").collect())
+        if patterns:
+            part = graph_edges(docs, patterns)
+            edges = part if edges is None else edges.union(part)
+    return edges
+
+
 def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(pattern, kind, support, confidence) after ``rounds`` of belief over the graph."""
     hits = edges.where("instance IS NOT NULL")
@@ -240,9 +254,9 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     # a seed of another kind counts against the pattern
     links = hits.select("pattern", "instance", F.col("kind").alias("seed"))
     confidence = patterns.withColumn("confidence", F.col("support") / F.col("all"))
+    small = patterns.count() <= MAX_BROADCAST_ROWS
     for _ in range(rounds):
-        # at most 1 / SHARE patterns
-        weighed = links.join(F.broadcast(confidence), "pattern")
+        weighed = links.join(F.broadcast(confidence) if small else confidence, "pattern")
         doubt = F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))
         belief = (weighed.where("seed IS NULL").groupBy("instance", "kind")
                   .agg((1 - F.exp(F.sum(doubt))).alias("belief")))
@@ -256,17 +270,13 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return confidence.select("pattern", "kind", "support", "confidence")
 
 
-def learn_patterns(docs: DataFrame, min_support: int = MIN_SUPPORT, share: float = SHARE,
+def learn_patterns(docs: DataFrame, min_support: int = MIN_SUPPORT,
                    confidence: float = CONFIDENCE) -> dict[str, str]:
     """Trusted patterns and their kinds, learnt from all of ``docs``."""
-    found = seed_patterns(docs)
-    total = found.agg(F.sum("places")).first()[0] or 0
-    least = max(min_support, share * total)
-    # each seed place gives one pattern, so at most 1 / share of them pass
-    chosen = [r["pattern"] for r in found.where(F.col("support") >= least).collect()]
-    if not chosen:
+    edges = graph(docs, seed_patterns(docs).where(F.col("support") >= min_support))
+    if edges is None:
         return {}
-    scored = score_patterns(graph(docs, sorted(chosen)))
+    scored = score_patterns(edges)
     good = scored.where((F.col("confidence") >= confidence) & (F.col("support") >= min_support))
     return {r["pattern"]: r["kind"] for r in good.collect()}
 

@@ -648,3 +648,24 @@ def test_belief_spreads_over_the_graph(spark):
         belief = 1 - (1 - conf["a:"]) * (1 - conf["b:"])
         conf = {"a:": (9 + 9 * belief) / 18, "b:": (1 + 9 * belief) / 10, "c:": 1 / 100}
     assert got == pytest.approx(conf)
+
+
+def test_rare_patterns_stay_in_a_large_table(spark):
+    """Five different seeds make a pattern, whatever else the table holds and repeats."""
+    hot = " ".join(f"mail: u{k}@b.co" for k in range(100))
+    rows = [(i, hot) for i in range(5500)]
+    rows += [(6000 + k, f"badge: AKIA{k}234567890ABCDEF.") for k in range(5)]
+    docs = frame(spark, [*rows, (7000, "badge: zq-77-4410 and more")])
+    got = pii.learn_patterns(docs)
+    assert got == {"mail:": "email", "badge:": "secret"}
+    last = pii.personal_data(docs, got).where("doc_id = 7000").first()
+    assert last["spans"] == "secret:7:17"
+
+
+def test_patterns_are_matched_in_several_passes(spark, monkeypatch):
+    docs = frame(spark, [(i, f"mail: u{i}@b.co host: 10.0.0.{i} call me +1 (222) 555-{1000 + i}")
+                         for i in range(20)])
+    whole = pii.learn_patterns(docs)
+    assert set(whole) == {"mail:", "host:", " call me "}
+    monkeypatch.setattr(pii, "MAX_PATTERNS", 1)
+    assert pii.learn_patterns(docs) == whole
