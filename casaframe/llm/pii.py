@@ -56,7 +56,7 @@ CUE = r"([^\W\d_]\w{0,31})[ \t]{0,2}([:=#][ \t]{0,2}[\"'(\[]?|[ \t][\"'(\[])"
 CUE_BEFORE = re.compile(CUE + r"\Z")
 CUE_ANYWHERE = re.compile(r"(?<!\w)" + CUE + r"(?=[^\s\"'(\[])")
 WORDS_BEFORE = re.compile(r"(?<!\S)([^\W\d_]{1,32}) ([^\W\d_]{1,32}) \Z")
-VALUE = re.compile(r"[^\s\"'()\[\]<>,;]{4,256}")
+VALUE = re.compile(r"[^\s\"'()\[\]<>,;]{4,}+")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:

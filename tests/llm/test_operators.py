@@ -669,3 +669,12 @@ def test_patterns_are_matched_in_several_passes(spark, monkeypatch):
     assert set(whole) == {"mail:", "host:", " call me "}
     monkeypatch.setattr(pii, "MAX_PATTERNS", 1)
     assert pii.learn_patterns(docs) == whole
+
+
+@pytest.mark.parametrize("length", [40, 256, 257, 1000])
+def test_long_tokens_are_covered_to_their_end(length):
+    token = "eyJhbGciOi1." + "Zx9_" * 250
+    text = f'set token="{token[:length]}" here'
+    base, spans = pii.all_spans(text, pii.Matcher(['token="']), {'token="': "secret"})
+    assert (base, spans) == ([], [("secret", 11, 11 + length)])
+    assert pii._value("k" * 300_000, 0) == (0, 300_000)
