@@ -15,7 +15,7 @@ instances they extract:
 
 Spark iterates the two over the graph (one row per pattern and instance);
 patterns of high confidence then extract unseen identifiers, each of its
-pattern's kind, wherever no base entity stands.
+pattern's kind, wherever no seed stands.  The spans are the seeds and these.
 
 A pattern needs ``MIN_SUPPORT`` different seeds in a table of any size.  The
 patterns that have them are counted; tasks get at most ``MAX_PATTERNS`` of
@@ -282,16 +282,15 @@ def learn_patterns(docs: DataFrame, min_support: int = MIN_SUPPORT,
 
 
 def all_spans(text: str | None, matcher: Matcher, kinds: dict[str, str]) -> tuple[list, list]:
-    """(base spans, all spans) of a text; what patterns find never overlaps a base span."""
+    """(base spans, all spans) of a text: base entities, secrets by their form, and what patterns
+    find where none of them stands."""
     base = base_spans(text)
     if not text:
         return base, base
-    taken = sorted((s, e) for _, s, e in base)
-    known = None
-    extra: list[tuple[str, int, int]] = []
+    extra = seeds(text, base)[len(base):]
+    known = {s: (k, e) for k, s, e in base + extra}
+    taken = sorted((s, e) for _, s, e in base + extra)
     for p, at in matcher.places(text):
-        if known is None:
-            known = {s: (k, e) for k, s, e in seeds(text, base)}
         if at in known and known[at][0] == kinds[p]:
             span = (at, known[at][1])
         else:
