@@ -4,10 +4,11 @@ Paragraphs are the lines of a text; a section ends behind a blank paragraph
 and behind one whose own hash says so (about one in eight), so that an edit
 moves no section border outside its surroundings.  A paragraph's node is
 its SHA-256, a section's node the SHA-256 of its paragraphs' nodes, the root
-that of the sections' nodes: equal roots, equal texts.  Below the paragraphs
-lie their leaves, sentence pieces of at most 64 characters counted from the
-sentence's start; two trees are as alike as their sets of leaves (Jaccard),
-and the outermost differing paragraphs locate an edit.
+that of the sections' nodes: equal roots, equal texts.  Likeness
+is not read from the tree: it is the Jaccard share of two separate sets of
+leaves, sentence pieces of at most 64 characters counted from the sentence's
+start, from which no node is built, so order and repeats of sentences do not
+show in it.  The outermost differing paragraphs of the flat list locate an edit.
 
 Everything is DataFrame expressions over one row; only ``with_next`` (the
 next document's text beside each text) moves rows: one shuffle into blocks
