@@ -160,3 +160,93 @@ def op6_line_dedup(spark, sf):
 def op10_pii(spark, sf):
     from casaframe.llm.pii import personal_data
     return personal_data(common.documents(spark, sf))
+
+
+TRIE = r"""
+WITH crc AS (SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+      CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+own AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+          ORDER BY turn NULLS FIRST, role, text) AS seq
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+named AS (SELECT conv_id, seq, conv_id - ((conv_id % 5) + 5) % 5 AS head,
+    xor(list_reduce(list_concat([4294967295::BIGINT],
+          list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM own, crc),
+rebuilt AS (SELECT n.conv_id, CASE WHEN n.head = n.conv_id THEN n.seq
+    ELSE list_concat(coalesce(b.seq[1:CAST(n.h AS INTEGER)], []), n.seq[CAST(n.h AS INTEGER) + 1:]) END AS p
+  FROM named n LEFT JOIN own b ON n.head = b.conv_id),
+pre AS (SELECT conv_id, d, p[1:d] AS node, len(p) AS total
+        FROM (SELECT conv_id, p, unnest(range(0, CAST(len(p) AS INTEGER) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CASE WHEN total = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+  FROM pre GROUP BY d, node),
+kids AS (SELECT d - 1 AS d, node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children,
+    CASE WHEN nodes.d = 0 THEN 0 ELSE (n_convs - 1) * strlen(nodes.node[nodes.d].t) END AS saved
+  FROM nodes LEFT JOIN kids ON nodes.d = kids.d AND nodes.node = kids.node),
+spread AS (SELECT e AS d, node[1:e] AS node, saved, n_children
+  FROM (SELECT *, unnest(range(0, CAST(d AS INTEGER) + 1)) AS e FROM full_nodes)),
+sums AS (SELECT d, node, count_if(n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+         FROM spread GROUP BY d, node)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+  sha256(f.ends) AS ends_sha256
+FROM full_nodes f JOIN sums s ON f.d = s.d AND f.node = s.node
+LEFT JOIN nodes up ON up.d = f.d - 1 AND up.node = f.node[1:f.d - 1] AND f.d > 0
+"""
+
+
+@query("op11_prefix_trie", TRIE)
+def op11_prefix_trie(spark, sf):
+    from casaframe.llm.prefix_trie import prefix_trie
+    return prefix_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+RANKED = r"""
+WITH low AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS (SELECT rid, doc_id, len(w) AS n FROM low WHERE len(w) > 0),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+it AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+p AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM low)
+      WHERE term IN (SELECT term FROM it) GROUP BY rid, term),
+rare AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS weight
+         FROM (SELECT term, count(*) AS df FROM p GROUP BY term), g),
+hits AS (SELECT p.rid, p.term, weight * ((1000000000 * tf) // (1000 * tf
+           + 8 * (10 + (90 * n * docs) // terms))) AS s
+         FROM p JOIN d USING (rid) JOIN rare USING (term), g),
+scored AS (SELECT item_id, text, rid, CAST(sum(s) AS BIGINT) AS score
+           FROM it JOIN hits USING (term) GROUP BY item_id, text, rid HAVING sum(s) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, text
+         ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored JOIN d USING (rid) QUALIFY rank <= 10
+"""
+
+
+@query("op12_ranked_search", RANKED)
+def op12_ranked_search(spark, sf):
+    from casaframe.llm.ranked_search import ranked_search
+    return ranked_search(common.documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+NEAREST = """
+WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+d AS (SELECT q.vec_id AS query_id, q.v AS q, c.vec_id, list_distance(q.v, c.v) AS score
+  FROM v q JOIN v c ON len(q.v) = len(c.v) AND (q.vec_id IS DISTINCT FROM c.vec_id OR q.v <> c.v)
+  WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, q ORDER BY score, vec_id NULLS LAST)
+  AS INTEGER) AS rank, vec_id, score FROM d QUALIFY rank <= 10
+"""
+
+
+@query("op13_vector_search", NEAREST)
+def op13_vector_search(spark, sf):
+    from casaframe.llm.vector_search import nearest_neighbours
+    return nearest_neighbours(spark.read.parquet(f"{sf}/embeddings.parquet"))
