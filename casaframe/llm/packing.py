@@ -50,8 +50,9 @@ class Encoder:
     Where the file is plain byte-level BPE whose merges stand in the order of
     their ids, the ids follow from the ranks of its byte strings alone, and a
     rank-based encoder over the same file gives them several times faster;
-    any other file, and texts that spell out one of its special tokens, go
-    through the library itself.
+    any other file, texts that spell out one of its special tokens and texts
+    with runs of white space too long for its pattern engine go through the
+    library itself.
     """
 
     def __init__(self, path: str):
@@ -70,7 +71,10 @@ class Encoder:
         if not text:
             return np.zeros(0, dtype=np.uint32)
         if self.fast and not any(s in text for s in self.special):
-            return self.fast.encode_to_numpy(text)
+            try:
+                return self.fast.encode_to_numpy(text)
+            except ValueError:  # its pattern engine gives up on about a million spaces in a row
+                pass
         if not self.slow:
             from tokenizers import Tokenizer
             self.slow = Tokenizer.from_file(self.path)
