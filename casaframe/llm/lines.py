@@ -22,7 +22,7 @@ ids sort first; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casaframe.llm.common import MAX_BROADCAST_ROWS, join_small, written
@@ -65,6 +65,13 @@ def boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES,
                    "line_boilerplate")
 
 
+def _mask(at: Column) -> Column:
+    """Ascending line numbers as bytes, 1 at each of them and 0 before: a line is looked up at once."""
+    gap = lambda x, i: x - F.coalesce(F.get(at, i - 1), F.lit(-1)) - 1
+    steps = F.transform(at, lambda x, i: F.concat(F.repeat(F.lit("0"), gap(x, i)), F.lit("1")))
+    return F.array_join(steps, "").cast("binary")
+
+
 def dedup_lines(docs: DataFrame, *, site: str = "source", sites: int = SITES,
                 min_chars: int = MIN_CHARS, removed: str = "n_removed") -> DataFrame:
     """``docs`` with the boilerplate lines taken out of ``text``; ``removed`` counts them.
@@ -76,15 +83,17 @@ def dedup_lines(docs: DataFrame, *, site: str = "source", sites: int = SITES,
                        known, ["h1", "h2"], "inner")
             .where(~F.struct("doc_id", "pos").eqNullSafe(F.col("first"))))
     drops = written(hits.groupBy(F.col("doc_id").alias("__cf_doc"), F.col("th").alias("__cf_th"))
-                    .agg(F.collect_set("pos").alias("__cf_pos")), "line_drops")
-    n, places = drops.agg(F.count("*"), F.sum(F.size("__cf_pos"))).first()
+                    .agg(F.sort_array(F.collect_set("pos")).alias("at"))
+                    .select("__cf_doc", "__cf_th", F.size("at").alias("__cf_n"),
+                            _mask(F.col("at")).alias("__cf_mask")), "line_drops")
+    n, places = drops.agg(F.count("*"), F.sum(F.octet_length("__cf_mask") / 8)).first()
     if n <= MAX_BROADCAST_ROWS // 4 and (places or 0) <= MAX_BROADCAST_ROWS:
         drops = F.broadcast(drops)
     joined = docs.join(drops, F.col("doc_id").eqNullSafe(F.col("__cf_doc"))
                        & (F.xxhash64("text") == F.col("__cf_th")), "left")
     kept = F.filter(F.split("text", "\n"),
-                    lambda _, i: ~F.array_contains(F.col("__cf_pos"), i))
-    text = F.when(F.col("__cf_pos").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return (joined.withColumn(removed, F.coalesce(F.size("__cf_pos"), F.lit(0)).cast("long"))
+                    lambda _, i: F.substring(F.col("__cf_mask"), i + 1, F.lit(1)) != F.lit(b"1"))
+    text = F.when(F.col("__cf_mask").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return (joined.withColumn(removed, F.coalesce("__cf_n", F.lit(0)).cast("long"))
             .withColumn("text", text)
             .select(*[F.col(f"`{c}`") for c in docs.columns], removed))
