@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,6 +42,7 @@ from casaframe.llm.common import MAX_BROADCAST_ROWS, append_columns, written
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
 MIN_SUPPORT = 5      # different seeds that must share a pattern
+PIECE = 1024         # characters of a long value that are hashed at once
 MAX_PATTERNS = 100_000  # patterns that one pass over the corpus matches
 ROUNDS = 3
 CONFIDENCE = 0.8
@@ -101,10 +103,32 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+class Spans:
+    """Places of a text as disjoint intervals in order, looked up by bisection."""
+
+    def __init__(self, spans=()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(e, self.ends[-1])
+            else:
+                self.append(s, e)
+
+    def append(self, s: int, e: int) -> None:
+        """``s`` is not before any interval's end."""
+        self.starts.append(s)
+        self.ends.append(e)
+
+    def meets(self, s: int, e: int) -> bool:
+        k = bisect_left(self.starts, e) - 1
+        return k >= 0 and self.ends[k] > s
+
+
 def seeds(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Base entities and secrets that show by their form and overlap none of them."""
-    found = [("secret", *m.span()) for m in SECRET.finditer(text)]
-    return base + [x for x in found if not any(s < x[2] and x[1] < e for _, s, e in base)]
+    taken = Spans((s, e) for _, s, e in base)
+    return base + [("secret", *m.span()) for m in SECRET.finditer(text) if not taken.meets(*m.span())]
 
 
 def _cue(word: str, mark: str) -> str:
@@ -121,12 +145,62 @@ def context(text: str, start: int) -> str | None:
     return f" {m[1].lower()} {m[2].lower()} " if m else None
 
 
-def _digest(value: str) -> str:
+def _md5(value: str) -> str:
     return hashlib.md5(value.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def _identifier(value: str) -> bool:
-    return sum(c.isdigit() for c in value) >= 4 or "@" in value
+def _digest(value: str) -> str:
+    """MD5 of a value; of a long one, chained over pieces counted from its end."""
+    return Values(value).digest(0, len(value)) if len(value) >= PIECE else _md5(value)
+
+
+class Values:
+    """The identifiers that stand behind cues of a text.
+
+    All cues within one run of value characters have values with the same
+    end, so what a run needs is found once, however many cues it holds.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.lo, self.hi = text, 0, -1
+
+    def _run(self, at: int) -> None:
+        m = VALUE.match(self.text, at)
+        self.lo, self.hi = at, m.end() if m else -1
+        if not m:
+            return
+        end = self.hi
+        while end > at and self.text[end - 1] in ".:!?":
+            end -= 1
+        self.end, self.tails = end, []
+        self.at_sign = self.text.rfind("@", at, end)
+        digits, k = [], end - 1
+        while k >= at and len(digits) < 4:
+            if self.text[k].isdigit():
+                digits.append(k)
+            k -= 1
+        self.last, self.fourth = (digits or [-1])[0], digits[3] if len(digits) == 4 else -1
+
+    def span(self, at: int) -> tuple[int, int] | None:
+        """The value that starts at ``at``: at least 4 characters, no punctuation at its end."""
+        if not self.lo <= at < self.hi:
+            self._run(at)
+        return (at, self.end) if self.hi - at >= 4 and self.end - at >= 4 else None
+
+    def numeric(self, at: int) -> bool:
+        """Whether the value at ``at`` holds a digit or an @."""
+        return max(self.last, self.at_sign) >= at
+
+    def identifier(self, at: int) -> bool:
+        return max(self.fourth, self.at_sign) >= at
+
+    def digest(self, at: int, end: int) -> str:
+        first = end - (end - at) // PIECE * PIECE
+        tails = self.tails if self.hi >= 0 and end == self.end else []
+        for k in range(end - (len(tails) + 1) * PIECE, first - 1, -PIECE):
+            tails.append(_md5(self.text[k:k + PIECE] + (tails[-1] if tails else "")))
+        n = (end - first) // PIECE
+        return _md5(self.text[at:first] + (tails[n - 1] if n else ""))
 
 
 class Matcher:
@@ -156,14 +230,6 @@ class Matcher:
                 yield p, end + 1
 
 
-def _value(text: str, at: int) -> tuple[int, int] | None:
-    m = VALUE.match(text, at)
-    if not m:
-        return None
-    end = at + len(m.group().rstrip(".:!?"))
-    return (at, end) if end - at >= 4 else None
-
-
 def seed_patterns(docs: DataFrame) -> DataFrame:
     """(pattern, places, support) of the contexts that enough different seeds share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,15 +269,16 @@ def graph_edges(docs: DataFrame, patterns: list[str]) -> DataFrame:
                 known = None
                 for p, at in matcher.places(text) if text else ():
                     if known is None:
+                        values = Values(text)
                         known = {s: (k, e) for k, s, e in reversed(seeds(text, base_spans(text)))}
                     key = (p, None, None)
                     if at in known:
                         kind, end = known[at]
                         key = (p, _digest(text[at:end]), kind)
                     else:
-                        span = _value(text, at)
-                        if span and _identifier(text[slice(*span)]):
-                            key = (p, _digest(text[slice(*span)]), None)
+                        span = values.span(at)
+                        if span and values.identifier(at):
+                            key = (p, values.digest(*span), None)
                     found[key] = found.get(key, 0) + 1
             yield pa.RecordBatch.from_pydict(
                 {"pattern": [k[0] for k in found], "instance": [k[1] for k in found],
@@ -289,17 +356,19 @@ def all_spans(text: str | None, matcher: Matcher, kinds: dict[str, str]) -> tupl
         return base, base
     extra = seeds(text, base)[len(base):]
     known = {s: (k, e) for k, s, e in base + extra}
-    taken = sorted((s, e) for _, s, e in base + extra)
+    # places come in order, those behind cues first: what each of the two has taken stays ordered
+    taken = [Spans((s, e) for _, s, e in base + extra), Spans(), Spans()]
+    values = Values(text)
     for p, at in matcher.places(text):
         if at in known and known[at][0] == kinds[p]:
             span = (at, known[at][1])
         else:
-            span = _value(text, at)
-            if not span or not any(c.isdigit() or c == "@" for c in text[slice(*span)]):
+            span = values.span(at)
+            if not span or not values.numeric(at):
                 continue
-        if not any(s < span[1] and span[0] < e for s, e in taken):
+        if not any(t.meets(*span) for t in taken):
             extra.append((kinds[p], *span))
-            taken.append(span)
+            taken[1 + p.startswith(" ")].append(*span)
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted(base + extra, key=lambda x: (order[x[0]], x[1]))
 
@@ -309,7 +378,10 @@ def _joined(spans: list) -> str:
 
 
 def personal_data(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
-    """doc_id, counts, base_sha256 and spans of every text; learns the patterns if not given."""
+    """doc_id, counts, base_sha256 and spans of every text; learns the patterns if not given.
+
+    ``n_secret`` and ``n_spans`` count secrets and all spans, those of patterns included.
+    """
     docs = docs.select("doc_id", "text")
     if patterns is None:
         patterns = learn_patterns(docs)
@@ -320,16 +392,18 @@ def personal_data(docs: DataFrame, patterns: dict[str, str] | None = None) -> Da
         matcher = Matcher(list(kinds))
 
         def compute(texts: list) -> list:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(8)]
             for text in texts:
                 base, spans = all_spans(text, matcher, kinds)
                 for column, kind in zip(out, BASE_KINDS):
                     column.append(sum(k == kind for k, _, _ in base))
                 out[4].append(hashlib.sha256(_joined(base).encode()).hexdigest())
                 out[5].append(_joined(spans))
+                out[6].append(sum(k == "secret" for k, _, _ in spans))
+                out[7].append(len(spans))
             return out
 
         return compute
 
     return append_columns(docs, ["doc_id"], "n_email long, n_ip long, n_card long, n_phone long, "
-                          "base_sha256 string, spans string", make)
+                          "base_sha256 string, spans string, n_secret long, n_spans long", make)
