@@ -3,8 +3,9 @@
 A block is a sentence of a line, or any run of words as long as the template
 and a quarter more, whatever line breaks or full stops lie within (a wrapped
 header, "v. 2.0"); a template is the token set of a license sentence; a block
-meets it when it holds at least the threshold share of its tokens.  Tokens are put in one global order, rarest first by the number
-of documents that hold them, counted over the whole corpus.  Then
+meets it when it holds at least the threshold share of its tokens.  Tokens
+are put in one global order, rarest first by the number of documents that
+hold them, counted over the whole corpus.  Then
 
 * prefix filter: a block that meets template T holds one of the first
   |T| - need + 1 tokens of T, need being the tokens the threshold asks for;
@@ -20,6 +21,8 @@ plan: one pass counts frequencies, one pass scans, no text is shuffled.
 Every template that a block meets gives its label, unless the tokens it
 matched are a proper subset of those that a better one (by containment, then
 size) matched there: the GPL 2 sentence within that of GPL 3 gives no label.
+For a run, "there" is the run and the words around it that its extra quarter
+allows; only templates that meet the threshold there count.
 
 Next to the join stand the base labels: phrases whose words follow each
 other.  All of it is DataFrame expressions.
@@ -85,6 +88,7 @@ class Template:
         self.need = max(1, math.ceil(threshold * len(self.tokens) - 1e-9))
         self.prefix = self.tokens[:len(self.tokens) - self.need + 1]
         self.run = len(text.split()) * 5 // 4
+        self.slack = self.run - len(text.split())
 
     def containment(self, held: Column) -> Column:
         """Share of the template in ``held`` (the block's template tokens, rarest first), or 0."""
@@ -112,6 +116,11 @@ def _within(x: Column, better: Column) -> Column:
             & (F.size(F.array_except(x["tokens"], better["tokens"])) == 0))
 
 
+def _meets_better(x: Column, u: Column, y: Column) -> Column:
+    """Whether template ``u``, fitting like ``y``, meets the threshold and leaves ``x`` no label."""
+    return (F.size(y["tokens"]) >= u["need"]) & _within(x, y)
+
+
 def block_labels(text: Column, order: list[str], templates=TEMPLATES,
                  threshold: float = THRESHOLD) -> Column:
     """array<struct<block, label, containment, best>> of the sentences of one text that meet a template."""
@@ -151,7 +160,8 @@ def run_labels(w: Column, order: list[str], templates=TEMPLATES,
     # the templates as one constant array: the plan does not grow with their pairs
     table = F.array(*[F.struct(
         F.lit(t.label).alias("label"), F.lit(len(t.tokens)).alias("size"),
-        F.lit(t.need).alias("need"), F.lit(t.run).alias("run"), F.lit(t.tokens).alias("tokens"),
+        F.lit(t.need).alias("need"), F.lit(t.run).alias("run"), F.lit(t.slack).alias("slack"),
+        F.lit(t.tokens).alias("tokens"),
         F.lit(t.prefix).alias("prefix")) for t in known])
 
     def fit(t: Column, tokens: Column) -> Column:
@@ -160,24 +170,26 @@ def run_labels(w: Column, order: list[str], templates=TEMPLATES,
             t["size"].alias("size")).alias("fit"), tokens.alias("tokens"))
 
     def around(i: Column) -> Column:
-        zones = F.transform(
-            F.filter(table, lambda t: F.array_contains(t["prefix"], F.get(w, i))),
-            lambda t: F.struct(t.alias("t"), F.slice(
-                w, F.greatest(i - t["run"] + 2, F.lit(1)),
-                F.least(i, t["run"] - 1) + t["run"]).alias("words")))
-        zones = F.filter(zones, lambda z: F.size(
-            F.array_intersect(z["t"]["tokens"], z["words"])) >= z["t"]["need"])
-        return F.flatten(F.transform(zones, judged))
-
-    def judged(z: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(1), z["t"]["run"]), lambda k: F.array_intersect(
-            z["t"]["tokens"], F.slice(z["words"], k, z["t"]["run"])))
-        most = F.array_max(F.transform(runs, lambda r: F.struct(F.size(r).alias("n"), r.alias("r"))))
-        rivals = F.transform(table, lambda u: fit(u, F.array_intersect(u["tokens"], z["words"])))
-        hit = F.filter(F.array(fit(z["t"], most["r"])), lambda x: (F.size(x["tokens"]) >= z["t"]["need"])
-                       & ~F.exists(rivals, lambda y: _within(x, y)))
-        return F.transform(hit, lambda x: F.struct(
-            x["label"].alias("label"), x["fit"]["containment"].alias("containment")))
+        near = F.filter(table, lambda t: F.array_contains(t["prefix"], F.get(w, i)) & (F.size(
+            F.array_intersect(t["tokens"], F.slice(w, F.greatest(i - t["run"] + 2, F.lit(1)),
+                                                   F.least(i + 1, t["run"]) + t["run"] - 1))) >= t["need"]))
+        return F.flatten(F.transform(near, lambda t: judged(t, i)))
+
+    def judged(t: Column, i: Column) -> Column:
+        # every run that holds word i, and the same with a few words more on either side
+        runs = F.transform(
+            F.sequence(F.greatest(i - t["run"] + 1, F.lit(0)), i),
+            lambda s: F.struct(
+                fit(t, F.array_intersect(t["tokens"], F.slice(w, s + 1, t["run"]))).alias("x"),
+                F.slice(w, F.greatest(s - t["slack"], F.lit(0)) + 1,
+                        F.least(s, t["slack"]) + t["run"] + t["slack"]).alias("wide")))
+        met = F.filter(runs, lambda r: F.size(r["x"]["tokens"]) >= t["need"])
+        own = F.filter(met, lambda r: ~F.exists(table, lambda u: _meets_better(
+            r["x"], u, fit(u, F.array_intersect(u["tokens"], r["wide"])))))
+        best = F.array_max(F.transform(own, lambda r: r["x"]["fit"]["containment"]))
+        return F.when(F.size(own) > 0, F.array(F.struct(
+            t["label"].alias("label"), best.alias("containment")))).otherwise(F.array().cast(
+                "array<struct<label:string,containment:double>>"))
 
     return F.flatten(F.transform(F.filter(marked, lambda i: i >= 0), around))
 

@@ -95,9 +95,12 @@ def op9_sharding(spark, sf):
 
 def _license_oracle() -> str:
     from casaframe.llm import licenses as L
-    quoted = ", ".join(f"('{label}', list_distinct(string_split('{t}', ' ')))"
-                       for label, t in L.TEMPLATES)
+    known = [L.Template(label, t, sorted(set(t.split())), L.THRESHOLD) for label, t in L.TEMPLATES]
+    quoted = ", ".join(f"({i}, '{t.label}', {t.tokens}, {t.need}, {t.run}, {t.slack})"
+                       for i, t in enumerate(known))
     phrases = ", ".join(f"('{label}', string_split('{p}', ' '))" for p, label in L.PHRASES)
+    better = """(u.k >= u.need AND u.k > x.k AND (u.c > x.c OR u.c = x.c AND u.n > x.n)
+      AND list_has_all(u.hits, x.hits))"""
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
              translate(coalesce(text, ''), '{L.UPPER}', '{L.LOWER}') AS t FROM documents),
@@ -109,16 +112,28 @@ places AS (SELECT rid, label, i FROM (
   WHERE w[i + 1] = p[1] AND w[i + 1:i + len(p)] = p),
 base AS (SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
            list(DISTINCT label) AS labels FROM places GROUP BY rid),
+tpl(id, label, tok, need, run, slack) AS (VALUES {quoted}),
+-- sentences
 b AS (SELECT rid, row_number() OVER () AS bid, list_distinct(string_split_regex(block, '{L.GAPS}')) AS held
       FROM (SELECT rid, unnest(string_split_regex(t, '{L.BLOCK_ENDS}')) AS block FROM d)),
-tpl(label, tok) AS (VALUES {quoted}),
-met AS (SELECT rid, bid, label, len(list_intersect(tok, held)) AS k, len(tok) AS n FROM b, tpl
-        WHERE list_has_any(held, tok)),
-good AS (SELECT rid, bid, label, k / CAST(n AS DOUBLE) AS c,
-           rank() OVER (PARTITION BY bid ORDER BY k / CAST(n AS DOUBLE) DESC, n DESC) AS place
-         FROM met WHERE k >= ceil({L.THRESHOLD} * n - 1e-9)),
-meth AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS score FROM good WHERE place = 1
-         GROUP BY rid)
+met AS (SELECT rid, bid, label, need, hits, len(hits) AS k, n, len(hits) / CAST(n AS DOUBLE) AS c FROM (
+    SELECT rid, bid, label, need, list_intersect(tok, held) AS hits, len(tok) AS n FROM b, tpl
+    WHERE list_has_any(held, tok)) WHERE len(hits) >= need),
+sentences AS (SELECT x.rid, x.label, x.c FROM met x
+  WHERE NOT EXISTS (SELECT 1 FROM met u WHERE u.bid = x.bid AND {better})),
+-- runs of words
+near AS (SELECT rid, tpl.*, w FROM w, tpl WHERE len(list_intersect(tok, w)) >= need),
+runs AS (SELECT rid, id, label, s, hits, len(hits) AS k, n, len(hits) / CAST(n AS DOUBLE) AS c, wide FROM (
+    SELECT rid, id, label, need, s, list_intersect(tok, w[s + 1:s + run]) AS hits, len(tok) AS n,
+      w[greatest(s - slack, 0) + 1:s + run + slack] AS wide
+    FROM (SELECT *, unnest(range(0, len(w))) AS s FROM near)) WHERE len(hits) >= need),
+rivals AS (SELECT rid, r.id, s, u.need, list_intersect(u.tok, wide) AS hits, len(u.tok) AS n
+           FROM runs r, tpl u WHERE u.id <> r.id),
+scored AS (SELECT *, len(hits) AS k, len(hits) / CAST(n AS DOUBLE) AS c FROM rivals),
+stretches AS (SELECT x.rid, x.label, x.c FROM runs x
+  WHERE NOT EXISTS (SELECT 1 FROM scored u WHERE u.rid = x.rid AND u.id = x.id AND u.s = x.s AND {better})),
+meth AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS score
+         FROM (SELECT * FROM sentences UNION ALL SELECT * FROM stretches) GROUP BY rid)
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
   first_word, last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []),
