@@ -9,11 +9,11 @@ Plan shape (all features at once, never a loop of jobs per feature):
   counts; the bin index is a chain of 9 comparisons, so the last bin is
   closed on the right and a constant column lands in the last bin.
 * KS     -- a fine histogram per side bounds the gap of both empirical CDFs in
-  every bin.  Only the values of bins that can beat the largest gap seen at a
-  bin's end are ordered (running sums of ``order_stats``), so D is exact
-  though most values are only counted.  The p-value is exact (lattice paths)
-  up to 10000 values per side; above it is that of the one-sample law at the
-  effective size.
+  every bin.  Bins that can beat the largest gap seen at a bin's end are split
+  and counted again, until few values are left to read, so D is exact though
+  values are only counted.  The p-value is exact (lattice paths) up to 10000
+  values per side; above it is that of the one-sample law at the effective
+  size.
 """
 
 from __future__ import annotations
@@ -34,6 +34,10 @@ from casaframe.operators import order_stats
 
 SIDE_REF, SIDE_CUR = 0, 1
 KS_BINS = 1024   # fine bins per feature for the bounds on the KS gap
+KS_CELLS = 4096  # parts that one pass counts, over all features
+LEAST_PARTS = 8  # into which an open bin is split at least
+LOG_RATIO = 1024.0  # a cell whose ends differ more is split by logarithms
+KS_FINISH = 4096  # open values that are read rather than split again
 BULK = 0.001     # share of the values left out on either end of the fine bins' range
 
 
@@ -246,57 +250,143 @@ def psi_bins_of(spark, hist: list, usable: list[str], bins: int = schema.PSI_BIN
     return spark.createDataFrame([(c, k, a, b) for (c, k), (a, b) in found.items()], BINS_SCHEMA)
 
 
-def open_bins(stats: dict[str, dict], hist: list) -> tuple[dict[str, float], list[tuple]]:
-    """The largest gap at the end of any bin per feature, and the bins that may hold a larger one.
-
-    Between two values both CDFs stand between their counts before and after
-    the bin, which bounds the gap inside; a bin of one value has no inside.
+@dataclass
+class Cell:
+    """A range of one feature's values, [lo, hi], that may hold a larger gap than any seen."""
+
+    column: str
+    lo: float
+    hi: float
+    key: tuple      # how its rows are found: (fine, bin), later (cell, part)
+    a: int          # reference values below it
+    b: int          # current values below it
+    n: int          # values in it
+    bound: float
+
+
+class Gaps:
+    """The largest gap of both distribution functions seen per feature, and what is still open."""
+
+    def __init__(self, stats: dict[str, dict]):
+        self.n = {c: (s["n0"], s["n1"]) for c, s in stats.items() if s["n0"] and s["n1"]}
+        self.best = dict.fromkeys(self.n, 0.0)
+        self.inside: list[Cell] = []
+
+    def see(self, c: str, a: int, b: int) -> None:
+        n0, n1 = self.n[c]
+        self.best[c] = max(self.best[c], abs(a / n0 - b / n1))
+
+    def part(self, c: str, key: tuple, a: int, b: int, n_ref: int, n_cur: int, lo: float,
+             hi: float) -> tuple[int, int]:
+        """Takes in a range with the counts below and in it; returns the counts up to its end.
+
+        Between two values both functions stand between their counts before and
+        after the range, which bounds the gap inside; one value has no inside.
+        """
+        n0, n1 = self.n[c]
+        after_a, after_b = a + n_ref, b + n_cur
+        self.see(c, after_a, after_b)
+        if lo < hi:
+            self.inside.append(Cell(c, lo, hi, key, a, b, n_ref + n_cur,
+                                    max(after_a / n0 - b / n1, after_b / n1 - a / n0)))
+        return after_a, after_b
+
+    def open(self) -> list[Cell]:
+        found = [x for x in self.inside if x.bound > self.best[x.column]]
+        self.inside = []
+        return found
+
+
+def _split(cell: Cell, parts: int) -> tuple[float | None, float, float, float | None]:
+    """(sign, base, width, cut): how a cell is cut into parts.
+
+    Equal widths of the value, or of its logarithm (``sign`` set) where the
+    values span orders of magnitude, so passes stay few for any distribution;
+    a cut in two around zero, and where doubles are too coarse for parts.
     """
-    best: dict[str, float] = {}
-    inside: list[tuple] = []
-    done = {c: [0, 0] for c in stats}
-    for r in hist:
-        c = r["column_name"]
-        n0, n1 = stats[c]["n0"], stats[c]["n1"]
-        if not n0 or not n1:
-            continue
-        a, b = done[c]
-        after_a, after_b = a + r["n_ref"], b + r["n_cur"]
-        best[c] = max(best.get(c, 0.0), abs(after_a / n0 - after_b / n1))
-        if r["lo"] < r["hi"]:
-            inside.append((max(after_a / n0 - b / n1, after_b / n1 - a / n0),
-                           (c, r["fine"], r["bin"], a, b)))
-        done[c] = [after_a, after_b]
-    return best, [cell for bound, cell in inside if bound > best[cell[0]]]
+    lo, hi = cell.lo, cell.hi
+    if lo < 0 <= hi:
+        return None, 0.0, 1.0, 0.0
+    if lo == 0:
+        return None, 0.0, 1.0, math.ulp(0.0)
+    sign = 1.0 if lo > 0 else -1.0
+    if max(abs(lo), abs(hi)) > LOG_RATIO * min(abs(lo), abs(hi)):
+        base = sign * math.log(sign * lo)
+        return sign, base, (sign * math.log(sign * hi) - base) / parts, None
+    width = (hi - lo) / parts
+    if width > 0 and lo + width > lo:
+        return None, lo, width, None
+    mid = lo / 2 + hi / 2
+    return None, 0.0, 1.0, mid if lo < mid <= hi else hi
+
+
+def _part(parts: int) -> Column:
+    """The part of ``value`` in its cell; it never falls as the value rises."""
+    v, sign = F.col("value"), F.col("sign")
+    u = F.when(sign.isNull(), v).otherwise(sign * F.ln(sign * v))
+    by_width = F.greatest(F.lit(0), F.least(F.floor((u - F.col("base")) / F.col("width")),
+                                            F.lit(parts - 1)))
+    return F.when(F.col("cut").isNotNull(), (v >= F.col("cut")).cast("int")).otherwise(
+        by_width.cast("int"))
 
 
 def ks_from_histogram(both: DataFrame, stats: dict[str, dict], hist: list,
-                      edges: dict[str, list[float]] | None = None) -> dict[str, float]:
-    """D per feature: the histogram's gaps and, for bins that may hold a larger one, all of
-    their values in order.  ``edges`` must be those of ``histogram``."""
-    best, cells = open_bins(stats, hist)
-    if not cells:
-        return best
-    spark = both.sparkSession
-    table = spark.createDataFrame(
-        [(i, c, fine, k, a, b, stats[c]["n0"], stats[c]["n1"])
-         for i, (c, fine, k, a, b) in enumerate(cells)],
-        "cell int, column_name string, fine int, bin int, a bigint, b bigint, n0 bigint, n1 bigint")
-    rows = (with_bins(both, edges, _filled(stats))
-            # at most one row per bin of the histogram: bounded
-            .join(F.broadcast(table.select("cell", "column_name", "fine", "bin")),
-                  ["column_name", "fine", "bin"]))
-    counts = rows.groupBy("cell", "value").agg(
-        F.count_if(F.col("side") == SIDE_REF).alias("n_ref"),
-        F.count_if(F.col("side") == SIDE_CUR).alias("n_cur"))
-    ordered = order_stats.cumulative_counts(counts, ["n_ref", "n_cur"], "cell")
-    gap = F.abs((F.col("a") + F.col("cum_n_ref")) / F.col("n0")
-                - (F.col("b") + F.col("cum_n_cur")) / F.col("n1"))
-    seen = (ordered.join(F.broadcast(table), "cell")
-            .groupBy("column_name").agg(F.max(gap).alias("d")).collect())
-    for r in seen:
-        best[r["column_name"]] = max(best[r["column_name"]], r["d"])
-    return best
+                      edges: dict[str, list[float]] | None = None,
+                      trace: list[dict] | None = None) -> dict[str, float]:
+    """D per feature by branch and bound; ``edges`` must be those of ``histogram``.
+
+    Bins that may hold a larger gap than the largest seen are split again, and
+    their parts counted in one more aggregate over the rows found through a
+    chain of broadcast lookups (a row per open bin).  Every pass shrinks what
+    is open, until at most KS_FINISH values are left to read.  No value is
+    ordered or moved but these.  ``trace`` gets a record per pass.
+    """
+    gaps = Gaps(stats)
+    done = dict.fromkeys(gaps.n, (0, 0))
+    for r in hist:
+        c = r["column_name"]
+        if c in done:
+            done[c] = gaps.part(c, (r["fine"], r["bin"]), *done[c], r["n_ref"], r["n_cur"], r["lo"], r["hi"])
+    cells = gaps.open()
+    spark, rows, on = both.sparkSession, None, ["column_name", "fine", "bin"]
+    sides = (F.count_if(F.col("side") == SIDE_REF).alias("n_ref"),
+             F.count_if(F.col("side") == SIDE_CUR).alias("n_cur"))
+    while cells:
+        left, parts = sum(x.n for x in cells), max(LEAST_PARTS, min(KS_BINS, KS_CELLS // len(cells)))
+        table = spark.createDataFrame(
+            [(*((x.column,) if rows is None else ()), *x.key, i, *_split(x, parts))
+             for i, x in enumerate(cells)],
+            ("column_name string, fine int, bin int, " if rows is None else "cell int, part int, ")
+            + "next int, sign double, base double, width double, cut double")
+        source = with_bins(both, edges, _filled(stats)) if rows is None else rows
+        rows = source.join(F.broadcast(table), on).select(  # a row per open bin: bounded
+            F.col("next").alias("cell"), "side", "value", _part(parts).alias("part"))
+        on = ["cell", "part"]
+        if trace is not None:
+            trace.append({"values": left, "cells": len(cells), "finish": left <= KS_FINISH})
+        if left <= KS_FINISH:
+            for c, a, b in _walk(cells, rows.groupBy("cell", "value").agg(*sides).collect()):
+                gaps.see(c, a, b)
+            break
+        found = rows.groupBy("cell", "part").agg(
+            *sides, F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+        at = {}
+        for r in sorted(found, key=lambda r: (r["cell"], r["part"])):
+            x = cells[r["cell"]]
+            at[r["cell"]] = gaps.part(x.column, (r["cell"], r["part"]), *at.get(r["cell"], (x.a, x.b)),
+                                      r["n_ref"], r["n_cur"], r["lo"], r["hi"])
+        cells = gaps.open()
+    return gaps.best
+
+
+def _walk(cells: list[Cell], values: list):
+    """(column, reference values, current values) up to and with each of the read values."""
+    at = {}
+    for r in sorted(values, key=lambda r: (r["cell"], r["value"])):
+        x = cells[r["cell"]]
+        a, b = at.get(r["cell"], (x.a, x.b))
+        at[r["cell"]] = a + r["n_ref"], b + r["n_cur"]
+        yield x.column, *at[r["cell"]]
 
 
 # ------------------------------------------------------------------ p-values

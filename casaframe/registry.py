@@ -775,6 +775,53 @@ def q_stream_drift(spark, sf):
         "column_name", F.round("psi", 6).alias("psi"), "n_current")
 
 
+def _verdict_sql() -> str:
+    from casaframe.streaming.drift_monitor import limit_point
+
+    z = "g * sqrt(en)"
+    drifted = (f"enough AND (psi > {schema.PSI_LIMIT} OR (g > 0 AND {z} + 1.0 / (6.0 * sqrt(en)) "
+               f"+ ({z} - 1.0) / (4.0 * en) > {limit_point(schema.KS_P_LIMIT)!r}))")
+    head = STREAM_SQL[:STREAM_SQL.index(", shares AS")]
+    return head.replace(
+        "SELECT w.ws, w.column_name, coalesce", "SELECT w.ws, w.column_name, b.bin, coalesce").replace(
+        "(SELECT DISTINCT ws, column_name FROM cb) w",
+        "(SELECT ws, column_name FROM (SELECT DISTINCT ws FROM cur), sref) w") + (
+        ", sums AS (SELECT ws, column_name, bin, r, c, sum(r) OVER t AS nr, sum(c) OVER t AS nc, "
+        "sum(r) OVER o AS cr, sum(c) OVER o AS cc FROM dense "
+        "WINDOW t AS (PARTITION BY ws, column_name), o AS (PARTITION BY ws, column_name ORDER BY bin)), "
+        "shares AS (SELECT *, (r + 0.0001) / (nr + 0.001) AS p, (c + 0.0001) / (nc + 0.001) AS q FROM sums), "
+        "scored AS (SELECT ws, column_name, CAST(max(nc) AS BIGINT) AS n, max(nc) >= 2 AS enough, "
+        "sum((q - p) * ln(q / p)) AS psi, max(abs(cr / nr - cc / greatest(nc, 1))) AS g, "
+        "round(max(nr) * max(nc) / (max(nr) + max(nc))) AS en FROM shares GROUP BY ws, column_name), "
+        f"judged AS (SELECT *, {drifted} AS drifted FROM scored) "
+        "SELECT strftime(ws, '%Y-%m-%d') AS window_start, column_name, n AS n_current, "
+        "CASE WHEN enough THEN round(psi, 6) ELSE 0.0 END AS psi, "
+        "CASE WHEN enough THEN round(g, 6) END AS ks_gap, drifted, "
+        "count(*) OVER w AS n_features, count(*) FILTER (WHERE drifted) OVER w AS n_drifted, "
+        "round(count(*) FILTER (WHERE drifted) OVER w / count(*) OVER w, 4) AS drift_share, "
+        f"count(*) FILTER (WHERE drifted) OVER w / count(*) OVER w >= {schema.DRIFT_SHARE_THRESHOLD} "
+        "AS dataset_drift FROM judged WHERE ws + INTERVAL 31 DAY <= "
+        "(SELECT max(CAST(l_shipdate AS TIMESTAMP)) FROM properties_raw) "
+        "WINDOW w AS (PARTITION BY ws)")
+
+
+@query("stream_drift_verdicts", _verdict_sql())
+def q_stream_drift_verdicts(spark, sf):
+    from casaframe.streaming import drift_monitor as dm
+    from casaframe.streaming.drift_stream import reference_edges
+
+    ref, _ = fx.drift_pair(spark, sf)
+    base = shared_dir(spark, "streams", "verdicts", unique=True)
+    current = _drift_source(spark, sf, base)
+    q = dm.start_drift_monitor(spark, f"{base}/source", current.schema, "l_shipdate", ref,
+                               reference_edges(ref, DRIFT_COLS), f"{base}/sink", f"{base}/checkpoint")
+    q.awaitTermination()
+    return dm.read_verdicts(spark, f"{base}/sink").select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "column_name", "n_current",
+        F.round("psi", 6).alias("psi"), F.round("ks_gap", 6).alias("ks_gap"), "drifted", "n_features",
+        "n_drifted", "drift_share", "dataset_drift")
+
+
 @query("stream_ks", DRIFT_BASE + "SELECT column_name, n_reference, n_current, "
        "round(d, 6) AS ks_statistic FROM ks")
 def q_stream_ks(spark, sf):

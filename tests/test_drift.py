@@ -74,16 +74,55 @@ def test_ks_is_exact_whatever_the_bins_hold(spark):
     assert feats == pytest.approx(want, abs=6e-7)
 
 
-def test_ks_orders_only_open_bins(spark):
-    # a shifted column: the middle decides, bins at both ends are counted only
+def _traced(spark, ref, cur):
+    r, c = _frames(spark, ref, cur)
+    both = drift.pooled(r, c, list(ref))
+    stats = drift.side_stats(both, list(ref), bulk=True)
+    trace = []
+    got = drift.ks_from_histogram(both, stats, drift.histogram(both, stats), trace=trace)
+    return got, trace, both.rdd.getNumPartitions()
+
+
+def test_ks_counts_shifted_columns_and_reads_few_values(spark):
+    # a shifted column: the middle decides, bins at both ends are counted once only
     rng = np.random.default_rng(13)
-    r, c = _frames(spark, {"x": rng.normal(size=30000)}, {"x": rng.normal(0.5, 1, 30000)})
-    both = drift.pooled(r, c, ["x"])
-    stats = drift.side_stats(both, ["x"], bulk=True)
-    hist = drift.histogram(both, stats)
-    _, cells = drift.open_bins(stats, hist)
-    held = {(h["column_name"], h["fine"]): h["n_ref"] + h["n_cur"] for h in hist}
-    assert 0 < sum(held[(c[0], c[1])] for c in cells) < 6000
+    ref, cur = {"x": rng.normal(size=30000)}, {"x": rng.normal(0.5, 1, 30000)}
+    got, trace, _ = _traced(spark, ref, cur)
+    assert got["x"] == pytest.approx(_largest_gap(ref["x"], cur["x"]), abs=1e-12)
+    assert trace[0]["values"] < 6000 and trace[-1]["finish"]
+
+
+def test_ks_of_equal_samples_moves_under_a_hundredth(spark):
+    """Columns that do not differ leave most first bins open; they are split, not ordered."""
+    rng = np.random.default_rng(14)
+    n = 200_000
+    ref = {"a": rng.normal(size=n), "b": rng.exponential(size=n)}
+    cur = {"a": rng.normal(size=n), "b": rng.exponential(size=n)}
+    got, trace, tasks = _traced(spark, ref, cur)
+    assert got == pytest.approx({k: _largest_gap(ref[k], cur[k]) for k in ref}, abs=1e-12)
+    assert trace[0]["values"] > n                       # what the first pass leaves open
+    values = [t["values"] for t in trace]
+    assert values == sorted(values, reverse=True) and trace[-1]["finish"]
+    # a pass moves at most a row per task and part, the last one the values that are left
+    moved = sum(tasks * min(drift.KS_CELLS, t["values"]) for t in trace[:-1]) + values[-1]
+    rows = 4 * n
+    assert values[-1] <= drift.KS_FINISH and values[-1] < 0.01 * rows
+    assert moved < 0.4 * rows and len(trace) <= 6      # the bound on counts falls with rows per task
+
+
+@pytest.mark.parametrize(("cells", "finish"), [(8, 20), (256, 1)])
+def test_ks_splits_to_the_end_at_any_setting(spark, monkeypatch, cells, finish):
+    monkeypatch.setattr(drift, "KS_CELLS", cells)
+    monkeypatch.setattr(drift, "KS_FINISH", finish)
+    monkeypatch.setattr(drift, "KS_BINS", 16)
+    rng = np.random.default_rng(15)
+    n = 600
+    ref = {"steep": 10.0 ** rng.uniform(-300, 300, n), "narrow": 1.0 + rng.integers(0, 9, n) * 2.0 ** -52,
+           "plain": rng.normal(size=n), "ends": rng.choice([-1.7e308, 1.7e308, 0.0], n)}
+    cur = {"steep": 10.0 ** rng.uniform(-300, 300, n), "narrow": 1.0 + rng.integers(0, 9, n) * 2.0 ** -52,
+           "plain": rng.normal(size=n), "ends": rng.choice([-1.7e308, 1.7e308, 1.0], n)}
+    got, _, _ = _traced(spark, ref, cur)
+    assert got == pytest.approx({k: _largest_gap(ref[k], cur[k]) for k in ref}, abs=1e-12)
 
 
 def test_ks_without_values_on_a_side(spark):

@@ -95,3 +95,97 @@ def test_ks_of_every_batch(spark, tmp_path):
     want = sorted((r.ks_statistic, r.ks_pvalue, r.n_current)
                   for part in parts for r in ks_test(ref, part, ["x"]).collect())
     assert got == want and want[0][1] > 0.05 > want[1][1]
+
+
+# ------------------------------------------------------------------ verdicts in the stream
+
+DAY = 86_400
+
+
+def _readings(rng, day, n, shift=0.0):
+    import datetime as dt
+
+    import pandas as pd
+    at = dt.datetime(2021, 1, 1) + dt.timedelta(days=day)
+    return pd.DataFrame({"ts": [at + dt.timedelta(seconds=int(x)) for x in rng.integers(0, DAY, n)],
+                         "x": rng.normal(shift, 1, n), "y": rng.normal(0, 1, n)})
+
+
+def _monitor(spark, tmp, name, ref, **kw):
+    from casaframe.streaming import drift_monitor as dm
+    edges = ds.reference_edges(ref, ["x", "y"])
+    q = dm.start_drift_monitor(spark, f"{tmp}/{name}/in/*", spark.createDataFrame(
+        [], "ts timestamp, x double, y double").schema, "ts", ref, edges, f"{tmp}/{name}/sink",
+        f"{tmp}/{name}/ck", window="1 day", watermark="1 day", **kw)
+    q.awaitTermination()
+    return edges
+
+
+def _put(spark, tmp, name, part, pdf):
+    spark.createDataFrame(pdf).coalesce(1).write.parquet(f"{tmp}/{name}/in/{part}")
+
+
+def _verdicts(spark, tmp, name):
+    from casaframe.streaming import drift_monitor as dm
+    return sorted(map(str, dm.read_verdicts(spark, f"{tmp}/{name}/sink").drop("batch_id").collect()))
+
+
+def test_verdict_of_every_closed_window(spark, tmp_path):
+    """PSI, gap, flags and share against a plain computation; late rows change no verdict."""
+    import numpy as np
+    import pandas as pd
+
+    from casaframe.streaming import drift_monitor as dm
+    rng = np.random.default_rng(5)
+    ref = spark.createDataFrame(_readings(rng, -5, 2000).drop(columns="ts"))
+    days = {0: _readings(rng, 0, 400), 1: _readings(rng, 1, 400, shift=1.5), 2: _readings(rng, 2, 1),
+            6: _readings(rng, 6, 50)}
+    days[0].loc[3, "x"] = None
+    _put(spark, tmp_path, "a", "1", pd.concat([days[d] for d in days]))
+    edges = _monitor(spark, tmp_path, "a", ref)
+    late = _readings(rng, 1, 30, shift=9)
+    _put(spark, tmp_path, "a", "2", pd.concat([late, _readings(rng, 7, 5)]))
+    _monitor(spark, tmp_path, "a", ref)
+    got = {(r["window_start"].day - 1, r["column_name"]): r for r in
+           dm.read_verdicts(spark, f"{tmp_path}/a/sink").collect()}
+    assert sorted(got) == [(d, c) for d in (0, 1, 2) for c in "xy"]
+    held = ref.toPandas()
+    for (d, c), r in got.items():
+        cut = lambda v: np.bincount(np.searchsorted(edges[c][1:-1], v.dropna(), side="right"), minlength=10)  # noqa: E731,B023
+        a, b = cut(held[c]), cut(days[d][c])
+        if b.sum() < 2:
+            assert (r["psi"], r["ks_gap"], r["drifted"]) == (0.0, None, False)
+            continue
+        p, q = (a + 1e-4) / (a + 1e-4).sum(), (b + 1e-4) / (b + 1e-4).sum()
+        assert abs(r["psi"] - ((q - p) * np.log(q / p)).sum()) < 1e-9
+        assert abs(r["ks_gap"] - np.abs(a.cumsum() / a.sum() - b.cumsum() / b.sum()).max()) < 1e-12
+        assert r["n_current"] == b.sum()
+    assert [got[d, c]["drifted"] for d in (0, 1, 2) for c in "xy"] == [False, False, True, False, False, False]
+    assert {(d, r["dataset_drift"], r["drift_share"]) for (d, _), r in got.items()} == {
+        (0, False, 0.0), (1, True, 0.5), (2, False, 0.0)}
+    assert {(r["window_start"].day, r["column_name"], r["n_late"]) for r in
+            dm.read_late(spark, f"{tmp_path}/a/sink").collect()} == {(2, "x", 30), (2, "y", 30)}
+
+
+def test_restart_in_mid_window_gives_the_same_verdicts(spark, tmp_path):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(6)
+    ref = spark.createDataFrame(_readings(rng, -5, 1000).drop(columns="ts"))
+    first, second = _readings(rng, 0, 300), _readings(rng, 0, 300, shift=0.7)
+    parts = [first, pd.concat([second, _readings(rng, 1, 100)]), _readings(rng, 4, 50)]
+    for k, part in enumerate(parts):
+        _put(spark, tmp_path, "whole", str(k), part)
+        _put(spark, tmp_path, "cut", str(k), part)
+        _monitor(spark, tmp_path, "cut", ref)          # a new query on the same checkpoint
+    _monitor(spark, tmp_path, "whole", ref)
+    assert _verdicts(spark, tmp_path, "cut") == _verdicts(spark, tmp_path, "whole")
+    assert len(_verdicts(spark, tmp_path, "cut")) == 4
+
+
+def test_limit_point_is_that_of_the_limit_law(spark):
+    from casaframe.operators.drift import kolmogorov_sf
+    from casaframe.streaming.drift_monitor import limit_point
+    for p in (0.2, 0.05, 0.001):
+        got = spark.range(1).select(kolmogorov_sf(F.lit(limit_point(p)))).first()[0]
+        assert abs(got - p) < 1e-9
