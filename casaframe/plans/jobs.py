@@ -73,7 +73,7 @@ def clean(spark: SparkSession, paths: Paths) -> tuple[DataFrame, dict]:
     """Gate on validity, derive features, fit and apply one-hot, write one prepared dataset."""
     frame = load_clean(spark, paths)
     require_valid(validate_summary(frame))
-    prepared, encoder = prepare(frame)
+    prepared, encoder = prepare(frame, sparse=True)
     write_prepared(prepared, paths.prepared)
     _write_json(spark, _categories(paths), encoder.to_dict())
     return spark.read.parquet(paths.prepared), encoder.to_dict()
@@ -88,7 +88,7 @@ def load_training_data(spark: SparkSession, paths: Paths) -> tuple[DataFrame, di
     """The prepared dataset and its category list; both made from the clean view if absent."""
     if paths.prepared and path_exists(spark, paths.prepared) and path_exists(spark, _categories(paths)):
         return spark.read.parquet(paths.prepared), _read_json(spark, _categories(paths))
-    prepared, encoder = prepare(load_clean(spark, paths))
+    prepared, encoder = prepare(load_clean(spark, paths), sparse=True)
     return prepared, encoder.to_dict()
 
 

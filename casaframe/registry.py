@@ -672,7 +672,7 @@ def _trained(spark, sf) -> tuple:
     """(train result, folder of the saved best model)."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _FITTED:
-        prepared, enc = features.prepare(fx.properties_clean(spark, sf))
+        prepared, enc = features.prepare(fx.properties_clean(spark, sf), sparse=True)
         res = model.train_and_select(prepared, features.feature_columns(prepared))
         out = shared_dir(spark, "models", unique=True)
         model.persist_model(res, out, encoder=enc.to_dict())
