@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from casaframe import schema as sch
 from casaframe.functions.exprs import NUMBER_PATTERN, is_float_type, nan_to_null
 from casaframe.functions.names import normalize_columns
+from casaframe.sources.csv_records import large_files, parsed, records
 
 INT_PATTERN = r"^[+-]?\d+$"
 BOOL_PATTERN = "^(true|false|True|False|TRUE|FALSE)$"
@@ -101,22 +102,34 @@ def apply_schema(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.select(*cols, *extra)
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    conf = spark._jsparkSession.sessionState().conf()
+    return int(conf.filesMaxPartitionBytes())
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = True, normalize: bool = True,
              tokens: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header row; quotes inside quoted cells are doubled.
 
-    Quoted cells may hold line breaks.  Such a file cannot be split, so it is
-    read by one task per file: write many files, or pass
-    ``multi_line=False`` where no cell holds a line break.
+    Quoted cells may hold line breaks.  Files larger than a split
+    (``spark.sql.files.maxPartitionBytes``) are read by many tasks all the same
+    (``csv_records``), smaller ones by a task each; ``multi_line=False`` is a
+    plainer plan where no cell holds a line break.
 
     Cells are read as text, missing tokens become NULL, then either the
     declared ``schema`` (matched after name normalisation) or value-based
     inference types the columns, and names are normalised.
     """
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-           .option("mode", "PERMISSIVE").csv(path))
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+              .option("mode", "PERMISSIVE"))
+    raw = reader.csv(path)
+    if multi_line:
+        large, small = large_files(spark, path, _split_bytes(spark))
+        if large:
+            whole = parsed(records(spark, large), raw.columns)
+            raw = whole.unionByName(reader.schema(raw.schema).csv(small)) if small else whole
     if normalize:
         raw = normalize_columns(raw)
     raw = missing_to_null(raw, tokens)

@@ -120,3 +120,80 @@ def test_csv_keeps_quotes_line_breaks_and_wide_numbers(spark, tmp_path):
     assert [r.n for r in got] == [9007199254740993, 3, None]
     back = read_csv(spark, write_csv(df.select("t", "n"), str(tmp_path / "out")))
     assert {(r.t, r.n) for r in back.collect()} == {(r.t, r.n) for r in df.collect()}
+
+
+# ------------------------------------------------------------------ quoted CSV by many tasks
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of 600 bytes, so that a small file has many."""
+    conf = {"spark.sql.files.maxPartitionBytes": "600", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _one_task(spark, path):
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", True).csv(path))
+
+
+def _bag(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+CELLS = ["plain", "", "two\nlines", "a,b", 'say ""hi""', "\n\n", "x" * 700, 'end""', "é ü", '""', "a\r\nb",
+         "l1\nl2,\nl3 ""q"" \n", " lead", '""\n""']
+
+
+@pytest.mark.parametrize(("seed", "end"), [(1, "\n"), (2, "\r\n"), (3, "\n")])
+def test_split_csv_equals_the_one_task_reader(small_splits, tmp_path, seed, end):
+    import random
+    rng = random.Random(seed)
+    rows = []
+    for k in range(120):
+        cells = [rng.choice(CELLS) for _ in range(3)]
+        shown = [f'"{c}"' if rng.random() < .5 or set(c) & set(',\n"\r') else c for c in cells]
+        rows.append(",".join([str(k), *shown]))
+        if rng.random() < .1:
+            rows.append("")
+    head = 'id,a,"b\nname",c' if seed == 3 else "id,a,b,c"
+    path = str(tmp_path / "t.csv")
+    with open(path, "w", newline="") as f:
+        f.write(end.join([head, *rows]) + (end if seed != 2 else ""))
+    raw = read_csv(small_splits, path, infer=False, normalize=False, tokens=[])
+    assert raw.rdd.getNumPartitions() > 1 and "MultiLine" not in raw._jdf.queryExecution().toString()
+    want = _one_task(small_splits, path)
+    assert raw.columns == want.columns
+    assert _bag(raw) == _bag(want) and want.count() == 120
+
+
+def test_split_csv_reads_the_file_in_many_tasks(small_splits, tmp_path):
+    from casaframe.sources.csv_records import _lines
+    path = str(tmp_path / "t.csv")
+    with open(path, "w") as f:
+        f.write("id,text\n" + "".join(f'{k},"first {k}\nsecond, ""line"""\n' for k in range(300)))
+    assert _lines(small_splits, [path]).rdd.getNumPartitions() >= 8
+    got = read_csv(small_splits, path)
+    assert dict(got.dtypes) == {"id": "bigint", "text": "string"}
+    assert sorted(map(tuple, got.collect())) == [(k, f'first {k}\nsecond, "line"') for k in range(300)]
+
+
+def test_split_csv_with_quotes_inside_plain_cells(small_splits, tmp_path):
+    """A quote counts only where a cell starts with it: a stray one does not swallow lines."""
+    path = str(tmp_path / "t.csv")
+    with open(path, "w") as f:
+        f.write("id,size,text\n" + "".join(f'{k},5" pipe,"a\n{k}"\n{k + 1000},x, "y\n' for k in range(80)))
+    got = read_csv(small_splits, path, infer=False, tokens=[])
+    assert _bag(got) == _bag(_one_task(small_splits, path)) and got.count() == 160
+
+
+def test_large_and_small_files_of_one_folder(small_splits, tmp_path):
+    for name, n in (("a", 3), ("b", 200), ("c", 90)):
+        with open(tmp_path / f"{name}.csv", "w") as f:
+            f.write("k,t\n" + "".join(f'{name}{k},"x\n{k}"\n' for k in range(n)))
+    got = read_csv(small_splits, str(tmp_path), infer=False)
+    assert _bag(got) == _bag(_one_task(small_splits, str(tmp_path))) and got.count() == 293
