@@ -24,6 +24,7 @@ from casaframe.operators.validate import require_valid, validate_summary
 from casaframe.plans.runlog import RunLog
 from casaframe.sources.readers import path_exists, read_tabular
 from casaframe.sources.sinks import replace_table, write_prepared
+from casaframe.sources.snapshots import read_published
 
 STEPS = ["ingest", "validate", "clean", "train", "drift", "full"]
 
@@ -55,7 +56,7 @@ def ingest(spark: SparkSession, paths: Paths, run_log: RunLog | None = None) ->
 
 
 def load_clean(spark: SparkSession, paths: Paths) -> DataFrame:
-    return clean_view(spark.read.parquet(paths.raw_table))
+    return clean_view(read_published(spark, paths.raw_table))
 
 
 def validate(spark: SparkSession, paths: Paths, numeric: list[str] | None = None) -> dict:
@@ -76,7 +77,7 @@ def clean(spark: SparkSession, paths: Paths) -> tuple[DataFrame, dict]:
     prepared, encoder = prepare(frame, sparse=True)
     write_prepared(prepared, paths.prepared)
     _write_json(spark, _categories(paths), encoder.to_dict())
-    return spark.read.parquet(paths.prepared), encoder.to_dict()
+    return read_published(spark, paths.prepared), encoder.to_dict()
 
 
 def _categories(paths: Paths) -> str:
@@ -87,7 +88,7 @@ def _categories(paths: Paths) -> str:
 def load_training_data(spark: SparkSession, paths: Paths) -> tuple[DataFrame, dict]:
     """The prepared dataset and its category list; both made from the clean view if absent."""
     if paths.prepared and path_exists(spark, paths.prepared) and path_exists(spark, _categories(paths)):
-        return spark.read.parquet(paths.prepared), _read_json(spark, _categories(paths))
+        return read_published(spark, paths.prepared), _read_json(spark, _categories(paths))
     prepared, encoder = prepare(load_clean(spark, paths), sparse=True)
     return prepared, encoder.to_dict()
 
@@ -135,7 +136,7 @@ def run_step(spark: SparkSession, step: str, paths: Paths, reference: str | None
     encoder = None
     if step in ("ingest", "full"):
         ingest(spark, paths, log)
-        out["ingest"] = profile_dict(raw_profile(spark.read.parquet(paths.raw_table)))
+        out["ingest"] = profile_dict(raw_profile(read_published(spark, paths.raw_table)))
     if step == "validate":
         out["validate"] = validate(spark, paths)
     if step in ("clean", "full"):

@@ -150,6 +150,36 @@ def q_prepared_roundtrip(spark, sf):
     return load_prepared(spark, path, lambda: q_create_features(spark, sf).limit(0))
 
 
+@query("prepared_build", ORACLE["create_features"])
+def q_prepared_build(spark, sf):
+    """No prepared dataset is there: the plan that builds it is returned."""
+    from casaframe.sources.readers import load_prepared
+
+    path = shared_dir(spark, "scratch", "prepared_absent", unique=True)
+    return load_prepared(spark, path, lambda: q_create_features(spark, sf))
+
+
+@query("csv_tabular", ORACLE["csv_documents"])
+def q_csv_tabular(spark, sf):
+    """Whole texts through the reader chosen by suffix, files split within their quoted cells."""
+    from casaframe.sources.readers import read_tabular
+
+    path = shared_dir(spark, "scratch", "tabular", unique=True) + "/documents.csv"
+    write_csv(fx.table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars"), path)
+    return read_tabular(spark, path, split_bytes=1 << 16)
+
+
+@query("table_replace", "SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey > 1")
+def q_table_replace(spark, sf):
+    """A published table is replaced by rows read from itself."""
+    from casaframe.sources.snapshots import publish, read_published
+
+    path = shared_dir(spark, "scratch", "replaced", unique=True)
+    publish(fx.table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"), path)
+    publish(read_published(spark, path).where("n_regionkey > 1"), path)
+    return read_published(spark, path)
+
+
 # Category values of the clean view at the oracle's scale (sf 0.01): N00..N11.
 ORACLE_CATEGORIES = [f"N{i:02d}" for i in range(12)]
 

@@ -12,6 +12,7 @@ from casaframe import schema as sch
 from casaframe.functions.exprs import NUMBER_PATTERN, is_float_type, nan_to_null
 from casaframe.functions.names import normalize_columns
 from casaframe.sources.csv_records import large_files, parsed, records
+from casaframe.sources.snapshots import read_published
 
 INT_PATTERN = r"^[+-]?\d+$"
 BOOL_PATTERN = "^(true|false|True|False|TRUE|FALSE)$"
@@ -109,11 +110,12 @@ def _split_bytes(spark: SparkSession) -> int:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = True, normalize: bool = True,
-             tokens: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+             tokens: list[str] | None = None, multi_line: bool = True,
+             split_bytes: int | None = None) -> DataFrame:
     """CSV with a header row; quotes inside quoted cells are doubled.
 
     Quoted cells may hold line breaks.  Files larger than a split
-    (``spark.sql.files.maxPartitionBytes``) are read by many tasks all the same
+    (``split_bytes``, else ``spark.sql.files.maxPartitionBytes``) are read by many tasks all the same
     (``csv_records``), smaller ones by a task each; ``multi_line=False`` is a
     plainer plan where no cell holds a line break.
 
@@ -126,7 +128,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
               .option("mode", "PERMISSIVE"))
     raw = reader.csv(path)
     if multi_line:
-        large, small = large_files(spark, path, _split_bytes(spark))
+        large, small = large_files(spark, path, split_bytes or _split_bytes(spark))
         if large:
             whole = parsed(records(spark, large), raw.columns)
             raw = whole.unionByName(reader.schema(raw.schema).csv(small)) if small else whole
@@ -169,5 +171,5 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
 def load_prepared(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The prepared dataset at ``path`` if it exists, else the plan that builds it."""
     if path_exists(spark, path):
-        return spark.read.parquet(path)
+        return read_published(spark, path)
     return build()

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from casaframe.operators.clean import clean_view
+from casaframe.sources.snapshots import publish, read_published
 
 
 def replace_table(df: DataFrame, path: str, raw_view: str = "properties_raw",
                   clean_name: str = "vw_properties_clean") -> DataFrame:
-    """Overwrite the raw table at ``path`` (Parquet, no index column), then recreate
-    the raw and clean views over the new files.  Returns the clean view."""
+    """Publish the raw table at ``path`` (Parquet, no index column), then recreate
+    the raw and clean views over the new snapshot.  Returns the clean view."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(path)
-    raw = spark.read.parquet(path)
+    publish(df, path)
+    raw = read_published(spark, path)
     raw.createOrReplaceTempView(raw_view)
     clean = clean_view(raw)
     clean.createOrReplaceTempView(clean_name)
@@ -22,7 +23,7 @@ def replace_table(df: DataFrame, path: str, raw_view: str = "properties_raw",
 
 def write_prepared(df: DataFrame, path: str) -> str:
     """One dataset with key, features and target, so rows stay paired."""
-    df.write.mode("overwrite").parquet(path)
+    publish(df, path)
     return path
 
 

@@ -197,3 +197,49 @@ def test_large_and_small_files_of_one_folder(small_splits, tmp_path):
             f.write("k,t\n" + "".join(f'{name}{k},"x\n{k}"\n' for k in range(n)))
     got = read_csv(small_splits, str(tmp_path), infer=False)
     assert _bag(got) == _bag(_one_task(small_splits, str(tmp_path))) and got.count() == 293
+
+
+# ------------------------------------------------------------------ atomic publication
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from casaframe.sources import snapshots as S
+    path = str(tmp_path / "t")
+    assert S.publish(spark.range(10), path) == 1
+    broken = spark.range(1000).repartition(4).withColumn(
+        "id", F.when(F.col("id") == 977, F.raise_error(F.lit("disk full"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="disk full"):
+        S.publish(broken, path)
+    assert S.read_published(spark, path).count() == 10
+    old = S.read_published(spark, path)
+    assert S.publish(old.where("id < 4"), path) == 2          # from the table to itself
+    assert S.read_published(spark, path).count() == 4 and old.count() == 10
+    assert S.publish(spark.range(2), path) == 3
+    assert S.expire(spark, path, keep=2) == 1 and S.read_published(spark, path).count() == 2
+    assert S.current(spark, str(tmp_path / "none")) is None
+
+
+def test_an_unfinished_manifest_is_not_read(spark, tmp_path):
+    from casaframe.sources import snapshots as S
+    path = str(tmp_path / "t")
+    S.publish(spark.range(3), path)
+    with open(S.numbered(S._manifests(path), 2), "w") as f:
+        f.write('{"snapshot": "snap')
+    assert S.read_published(spark, path).count() == 3
+    assert S.publish(spark.range(5), path) == 3 and S.read_published(spark, path).count() == 5
+
+
+def test_concurrent_commits_get_their_own_numbers(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from casaframe.plans.runlog import RunLog
+    from casaframe.sources import snapshots as S
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda k: S.commit(spark, str(tmp_path / "c"), {"k": k}), range(24)))
+        log = RunLog(spark, str(tmp_path / "log"))
+        versions = list(pool.map(lambda k: log.register_model("m/x", f"run{k}", "p"), range(8)))
+    assert sorted(got) == list(range(1, 25)) and sorted(versions) == list(range(1, 9))
+    rows = log.versions().collect()
+    assert {(r["version"], r["run_id"]) for r in rows} == {(v, f"run{k}") for k, v in enumerate(versions)}
+    assert all(r["name"] == "m/x" and r["ts"] is not None for r in rows)

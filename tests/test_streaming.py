@@ -6,7 +6,7 @@ from casaframe.operators import features, model
 from casaframe.operators.score import score
 from casaframe.sources import fixtures as fx
 from casaframe.streaming import drift_stream as ds
-from casaframe.streaming.score_stream import read_scored, start_stream_score
+from casaframe.streaming.score_stream import read_log, read_scored, start_stream_score
 from conftest import SF001
 
 
@@ -28,6 +28,43 @@ def test_stream_score_matches_batch(spark, tmp_path):
     assert (valid.count(), rejected.count()) == (bv.count(), br.count())
     diff = valid.select("order_id", "precio_predicho").exceptAll(bv.select("order_id", "precio_predicho"))
     assert diff.count() == 0
+    log = read_log(spark, str(tmp_path / "sink"))
+    assert log.count() == req.count() == log.select("request_id").distinct().count()
+    assert log.where("status = 'scored'").join(valid, "request_id").count() == bv.count()
+    assert log.where("latency_ms > 0 AND model_version IS NOT NULL AND ts IS NOT NULL").count() == req.count()
+
+
+def test_a_killed_batch_shows_nothing_and_its_replay_once(spark, tmp_path, monkeypatch):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    from casaframe.streaming import score_stream as ss
+    flat = PipelineModel([SQLTransformer(statement="SELECT *, 1000.0 AS prediction FROM __THIS__")])
+    meta = {"modelo": "flat", "features": [], "r2": 0.9, "model_version": "7"}
+    req = fx.requests(spark, SF001).drop("l_shipdate").limit(50)
+    src, sink, ck = (str(tmp_path / x) for x in ("src", "sink", "ck"))
+    req.coalesce(1).write.parquet(src)
+    run = lambda: ss.start_stream_score(spark, src, req.schema, flat, meta, sink, ck,
+                                        passthrough=["order_id"]).awaitTermination()
+
+    def killed(*args):
+        raise RuntimeError("killed before the commit")
+
+    monkeypatch.setattr(ss, "create_if_absent", killed)
+    import pytest
+    with pytest.raises(Exception, match="killed before the commit"):
+        run()
+    monkeypatch.undo()
+    assert [d.count() for d in (*read_scored(spark, sink), read_log(spark, sink))] == [0, 0, 0]
+    run()
+    valid, rejected = read_scored(spark, sink)
+    log = read_log(spark, sink)
+    assert valid.count() + rejected.count() == 50 == log.select("request_id").distinct().count() == log.count()
+    # the batch is replayed although it was committed (its offset commit was lost)
+    for name in (tmp_path / "ck" / "commits").iterdir():
+        name.unlink()
+    run()
+    assert read_log(spark, sink).count() == 50 and read_scored(spark, sink)[0].count() == valid.count()
 
 
 def test_stream_drift_single_batch(spark, tmp_path):
