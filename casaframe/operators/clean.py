@@ -20,13 +20,13 @@ def clean_filter(df: DataFrame):
 
 def clean_view(df: DataFrame) -> DataFrame:
     """The 12-column clean projection over the raw table (lazy, inlined by Catalyst)."""
-    cols = []
-    for c in schema.CLEAN_COLUMNS:
-        if c in schema.CLEAN_ZERO_FILL:
-            cols.append(F.coalesce(F.col(c), F.lit(0)).alias(c))
-        else:
-            cols.append(F.col(c))
-    return df.where(clean_filter(df)).select(*cols)
+    return df.where(clean_filter(df)).select(*[x.alias(c) for c, x in clean_values().items()])
+
+
+def clean_values() -> dict:
+    """The view's columns as expressions over the raw ones."""
+    return {c: F.coalesce(F.col(c), F.lit(0)) if c in schema.CLEAN_ZERO_FILL else F.col(c)
+            for c in schema.CLEAN_COLUMNS}
 
 
 def register_clean_view(df: DataFrame, raw_name: str = "properties_raw",

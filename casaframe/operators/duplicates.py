@@ -52,8 +52,11 @@ SALTS = 32
 
 
 def _repeated(hashed: DataFrame, shared: DataFrame) -> DataFrame:
-    """Rows of ``hashed`` whose ``_h`` is in ``shared``; equal hashes are spread over SALTS tasks."""
-    salted = hashed.withColumn("_salt", F.monotonically_increasing_id() % SALTS)
+    """Rows of ``hashed`` whose ``_h`` is in ``shared``; equal hashes are spread over SALTS tasks.
+
+    The salt is the task's number: a task that runs again deals its rows the same way.
+    """
+    salted = hashed.withColumn("_salt", F.spark_partition_id().cast("bigint") % SALTS)
     spread = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                              F.lit(SALTS - 1).cast("bigint"))))
     return salted.join(spread, ["_h", "_salt"], "left_semi").drop("_salt")
@@ -97,15 +100,40 @@ def mark_duplicates(df: DataFrame, key: str, columns: list[str] | None = None) -
     bad = df.groupBy(qcol(key).alias("k")).count().where("k IS NULL OR count > 1")
     if not bad.isEmpty():
         raise ValueError(f"{key} is missing or repeated in some rows; duplicates need a unique key")
+    return _mark(df, [key], cols)
+
+
+def _mark(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """``is_duplicate`` for all rows but the one with the smallest ``keys`` of each group."""
     hg = _hash_groups(df, cols)
     if hg is None:
         cand = df
     else:
         hashed, per_hash = hg
         cand = _repeated(hashed, per_hash.where(F.col("_n") > 1).select("_h"))
-    firsts = cand.groupBy(*[qcol(c) for c in cols]).agg(F.min(key).alias(key)).select(key)
-    later = (cand.select(key).join(firsts, key, "left_anti")
-             .select(key, F.lit(True).alias("_dup")))
-    return (df.join(later, key, "left")
-            .withColumn("is_duplicate", F.coalesce(F.col("_dup"), F.lit(False)))
-            .drop("_dup"))
+    named = [qcol(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    on = [f"_k{i}" for i in range(len(keys))]
+    firsts = (cand.groupBy(*[qcol(c) for c in cols]).agg(F.min(F.struct(*named)).alias("_first"))
+              .select("_first.*"))
+    later = cand.select(*named).join(firsts, on, "left_anti").withColumn("_dup", F.lit(True))
+    same = [qcol(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    return (df.join(later, same, "left")
+            .select(*[qcol(c) for c in df.columns],
+                    F.coalesce(F.col("_dup"), F.lit(False)).alias("is_duplicate")))
+
+
+FILE, ROW = "__file", "__row"
+
+
+def mark_duplicates_in_order(table: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``table`` plus ``is_duplicate``: true for every row but the first of its group in file order.
+
+    ``table`` is read from Parquet files as they are (filters and projections
+    may follow the read, no shuffle).  A row's identity is its file's path and
+    its place in the file, so no key is needed, and a task that runs again
+    gives the same marks.  Written files are named in the order of their tasks.
+    """
+    cols = columns or table.columns
+    placed = table.select(*[qcol(c) for c in table.columns], F.col("_metadata.file_path").alias(FILE),
+                          F.col("_metadata.row_index").alias(ROW))
+    return _mark(placed, [FILE, ROW], cols).drop(FILE, ROW)

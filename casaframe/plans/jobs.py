@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from casaframe import schema
 from casaframe.functions.names import select_known_columns
 from casaframe.operators import drift as drift_ops
-from casaframe.operators.clean import clean_view
+from casaframe.operators.clean import clean_filter, clean_values, clean_view
 from casaframe.operators.duplicates import duplicate_report
 from casaframe.operators.features import feature_columns, prepare
 from casaframe.operators.model import (_read_json, _write_json, enforce_r2_gate, persist_model,
                                        train_and_select)
 from casaframe.operators.outliers import outlier_report
-from casaframe.operators.profile import profile_dict, profile_metrics, raw_profile
-from casaframe.operators.validate import require_valid, validate_summary
+from casaframe.operators.profile import metrics_of, observed_profile
+from casaframe.operators.validate import observed_rules, require_valid, validate_summary
 from casaframe.plans.runlog import RunLog
 from casaframe.sources.readers import path_exists, read_tabular
 from casaframe.sources.sinks import replace_table, write_prepared
@@ -41,18 +41,35 @@ class Paths:
     report_dir: str | None = None
 
 
-def ingest(spark: SparkSession, paths: Paths, run_log: RunLog | None = None) -> DataFrame:
-    """Read, normalise, select and rename, replace the raw table, log the raw profile."""
-    raw = read_tabular(spark, paths.raw_source)
-    kept = select_known_columns(raw)
-    clean = replace_table(kept, paths.raw_table)
-    prof = raw_profile(raw)
+def ingest(spark: SparkSession, paths: Paths, run_log: RunLog | None = None,
+           gate: bool = False) -> DataFrame:
+    """Read, normalise, select and rename, replace the raw table, log the raw profile.
+
+    One pass over the source writes the table and takes both profiles and the
+    contract's counts on the way.  With ``gate`` a table whose clean rows break
+    the contract is not published; the old one stays.
+    """
+    return ingest_observed(spark, paths, run_log, gate)[0]
+
+
+def ingest_observed(spark: SparkSession, paths: Paths, run_log: RunLog | None = None,
+                    gate: bool = False) -> tuple[DataFrame, dict, dict]:
+    """``ingest``'s clean view, the profile of the table and the violations of the contract."""
+    raw, raw_result = observed_profile(read_tabular(spark, paths.raw_source))
+    kept, kept_result = observed_profile(select_known_columns(raw))
+    watched, violations = observed_rules(kept, clean_filter(kept), clean_values())
+
+    def check() -> None:
+        broken = {k: n for k, n in violations().items() if n}
+        if gate and broken:
+            raise ValueError(f"the contract is broken, the table stays as it was: {broken}")
+
+    clean = replace_table(watched, paths.raw_table, before_commit=check)
     if run_log is not None:
         run_id = RunLog.new_run_id()
-        m = profile_metrics(prof).first()
-        run_log.log_metrics(run_id, "ingest", m.asDict())
-        run_log.log_artifact(run_id, "ingest", "raw_data_stats.json", profile_dict(prof))
-    return clean
+        run_log.log_metrics(run_id, "ingest", metrics_of(raw_result()))
+        run_log.log_artifact(run_id, "ingest", "raw_data_stats.json", raw_result())
+    return clean, kept_result(), violations()
 
 
 def load_clean(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -135,8 +152,7 @@ def run_step(spark: SparkSession, step: str, paths: Paths, reference: str | None
     out: dict = {}
     encoder = None
     if step in ("ingest", "full"):
-        ingest(spark, paths, log)
-        out["ingest"] = profile_dict(raw_profile(read_published(spark, paths.raw_table)))
+        _, out["ingest"], _ = ingest_observed(spark, paths, log)
     if step == "validate":
         out["validate"] = validate(spark, paths)
     if step in ("clean", "full"):

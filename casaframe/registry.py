@@ -64,6 +64,19 @@ def q_raw_profile(spark, sf):
     return profile.raw_profile(fx.properties_raw(spark, sf))
 
 
+@query("ingest_profile", ORACLE["raw_profile"])
+def q_ingest_profile(spark, sf):
+    """The raw profile taken by the pass that publishes the table."""
+    from casaframe.sources.snapshots import publish
+
+    watched, result = profile.observed_profile(fx.properties_raw(spark, sf))
+    publish(watched, shared_dir(spark, "scratch", "observed", unique=True))
+    got = result()
+    return spark.createDataFrame(
+        [(c, n, got["row_count"], got["column_count"]) for c, n in got["null_counts"].items()],
+        "column_name string, null_count bigint, row_count bigint, column_count bigint")
+
+
 PART_HEADERS = {"p_partkey": "P PartKey", "p_name": "P Name", "p_brand": "P Brand",
                 "p_type": "P/Type", "p_size": "P Size", "p_retailprice": "P RetailPrice"}
 PART_WANTED = ["p_partkey", "p_brand", "p_type", "p_container", "p_size", "p_retailprice"]
@@ -456,6 +469,13 @@ def q_duplicate_rows(spark, sf):
     return duplicates.mark_duplicates(docs, "doc_id", DOC_COLS).select("doc_id", "is_duplicate")
 
 
+@query("duplicate_rows_in_order", ORACLE["duplicate_rows"])
+def q_duplicate_rows_in_order(spark, sf):
+    """Marks in file order, without a key."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", *DOC_COLS)
+    return duplicates.mark_duplicates_in_order(docs, DOC_COLS).select("doc_id", "is_duplicate")
+
+
 # ------------------------------------------------------------------ drift
 
 CUT = f"TIMESTAMP '{fx.DRIFT_CUTOFF}'"
@@ -867,6 +887,46 @@ def q_stream_ks(spark, sf):
         "column_name", "n_reference", "n_current", F.round("ks_statistic", 6).alias("ks_statistic"))
 
 
+@query("score_line", _with(FIX, fx.duckdb_request_cte(), "f AS (SELECT regr_slope(saleprice, overall_qual) AS b, "
+       "regr_intercept(saleprice, overall_qual) AS a FROM properties_clean WHERE NOT "
+       "(substr(md5(concat(CAST(order_id AS VARCHAR), '|42')), 1, 8) < '33333333'))",
+       f"judged AS ({ORACLE['request_validation'].replace(_with(FIX, fx.duckdb_request_cte()), '').replace('SELECT order_id,', 'SELECT order_id, overall_qual,', 1)})")
+       + "SELECT order_id, CASE WHEN n_errors = 0 THEN 'scored' ELSE 'rejected' END AS status, "
+       "CASE WHEN n_errors = 0 THEN round(f.a + f.b * overall_qual, 2) END AS precio_predicho "
+       "FROM judged, f")
+def q_score_line(spark, sf):
+    """Requests through rules, features, alignment and a saved one-feature linear model."""
+    from casaframe.operators.score import score
+
+    clean = fx.properties_clean(spark, sf).select("order_id", "overall_qual", "saleprice")
+    res = model.train_and_select(clean, ["overall_qual"], names=["Linear Regression"])
+    out = shared_dir(spark, "models", unique=True)
+    model.persist_model(res, out)
+    pm, meta = model.load_model(spark, out)
+    scored, rejected = score(fx.requests(spark, sf).drop("l_shipdate"), pm, meta, passthrough=["order_id"])
+    return scored.select("order_id", F.lit("scored").alias("status"), "precio_predicho").unionByName(
+        rejected.select("order_id", F.lit("rejected").alias("status"),
+                        F.lit(None).cast("double").alias("precio_predicho")))
+
+
+@query("ingest_log", _with(FIX) + "SELECT 'ingest' AS step, k AS key, CAST(v AS DOUBLE) AS value, 2 AS version "
+       f"FROM (SELECT count(*) AS raw_rows, {len(RAW_COLS)} AS raw_columns, "
+       + " + ".join(f"(count(*) - count({c}))" for c in RAW_COLS)
+       + " AS raw_total_nulls FROM properties_raw) UNPIVOT (v FOR k IN (raw_rows, raw_columns, raw_total_nulls))")
+def q_ingest_log(spark, sf):
+    """Metrics of an ingest in the run log, beside the second version registered under one name."""
+    from casaframe.plans.runlog import RunLog
+
+    log = RunLog(spark, shared_dir(spark, "runlog", unique=True))
+    run_id = RunLog.new_run_id()
+    prof = profile.raw_profile(fx.properties_raw(spark, sf))
+    log.log_metrics(run_id, "ingest", profile.profile_metrics(prof).first().asDict())
+    for _ in range(2):
+        log.register_model(schema.MODEL_NAME, run_id, "none")
+    last = log.versions().agg(F.max("version").cast("int").alias("version"))
+    return log.metrics().select("step", "key", "value").crossJoin(F.broadcast(last))  # one row
+
+
 @query("metrics_log")
 def q_metrics_log(spark, sf):
     from casaframe.plans.runlog import RunLog

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from casaframe.operators.clean import clean_view
@@ -9,11 +11,12 @@ from casaframe.sources.snapshots import publish, read_published
 
 
 def replace_table(df: DataFrame, path: str, raw_view: str = "properties_raw",
-                  clean_name: str = "vw_properties_clean") -> DataFrame:
+                  clean_name: str = "vw_properties_clean",
+                  before_commit: Callable[[], None] | None = None) -> DataFrame:
     """Publish the raw table at ``path`` (Parquet, no index column), then recreate
     the raw and clean views over the new snapshot.  Returns the clean view."""
     spark = df.sparkSession
-    publish(df, path)
+    publish(df, path, before_commit)
     raw = read_published(spark, path)
     raw.createOrReplaceTempView(raw_view)
     clean = clean_view(raw)

@@ -71,3 +71,48 @@ def test_steps_one_by_one_equal_the_full_run(spark, tmp_path):
         assert not any(f.startswith("nbh_") for f in scored.first().missing_features.split(","))
         prices[name] = {r.order_id: r.precio_predicho for r in scored.collect()}
     assert prices["full"] == prices["steps"] == prices["bare"] and prices["full"]
+
+
+def test_ingest_reads_its_source_once_for_table_profile_and_contract(spark, tmp_path, monkeypatch):
+    from casaframe.operators.clean import clean_view
+    from casaframe.operators.profile import profile_dict, raw_profile
+    from casaframe.operators.validate import validate_rules
+    from casaframe.plans import jobs
+    raw = fx.properties_raw(spark, SF001).drop("l_shipdate").withColumnRenamed("order_id", "order")
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    monkeypatch.setattr(jobs, "read_tabular", lambda *_: raw.mapInPandas(count, raw.schema))
+    paths = Paths("unused", str(tmp_path / "t"), runlog=str(tmp_path / "log"))
+    log = RunLog(spark, paths.runlog)
+    clean, table, violations = jobs.ingest_observed(spark, paths, log)
+    n = raw.count()
+    assert read.value == n and clean.count() == clean_view(raw.withColumnRenamed("order", "order_id")).count()
+    assert table["row_count"] == n
+    want = profile_dict(raw_profile(raw))
+    assert {c: table["null_counts"][c] for c in want["null_counts"] if c in table["null_counts"]} == {
+        c: v for c, v in want["null_counts"].items() if c in table["null_counts"]}
+    rules = {f"{r['rule']}:{r['column_name']}": r["violations"] for r in validate_rules(clean_view(raw.withColumnRenamed("order", "order_id"))).collect()}
+    assert violations == rules
+    got = {r["key"]: r["value"] for r in log.metrics().where("kind = 'metric'").collect()}
+    assert (got["raw_rows"], got["raw_total_nulls"]) == (n, sum(want["null_counts"].values()))
+
+
+def test_a_broken_contract_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from casaframe.plans import jobs
+    from casaframe.sources.snapshots import read_published
+    raw = fx.properties_raw(spark, SF001).drop("l_shipdate").withColumnRenamed("order_id", "order")
+    paths = Paths("unused", str(tmp_path / "t"))
+    monkeypatch.setattr(jobs, "read_tabular", lambda *_: raw.limit(500))
+    jobs.ingest(spark, paths, gate=True)
+    broken = raw.withColumn("neighborhood", F.lit(None).cast("string"))
+    monkeypatch.setattr(jobs, "read_tabular", lambda *_: broken)
+    with pytest.raises(ValueError, match="not_null:neighborhood"):
+        jobs.ingest(spark, paths, gate=True)
+    assert read_published(spark, paths.raw_table).count() == 500

@@ -224,3 +224,20 @@ def test_column_names_with_dots(spark):
     assert outlier_report(df, ["a.b"]).first().outliers == 1
     assert outlier_report(df, ["a.b"], approx=True).first().column_name == "a.b"
     assert outlier_rows(df, ["a.b"]).where("`a.b_iqr_outlier`").count() == 1
+
+
+def test_marks_in_file_order_need_no_key(spark, tmp_path):
+    from casaframe.operators.duplicates import mark_duplicates_in_order
+    path = str(tmp_path / "t")
+    rows = [("a", 1.0), ("b", None), ("a", 1.0), ("b", None), ("c", 2.0), ("a", 1.0)] * 40
+    spark.createDataFrame(rows, "`s.x` string, d double").coalesce(1).write.option(
+        "maxRecordsPerFile", 50).parquet(path)
+    for _ in range(2):
+        table = spark.read.parquet(path)
+        got = mark_duplicates_in_order(table).collect()
+        assert sum(r["is_duplicate"] for r in got) == len(rows) - 3
+    files = table.select("*", "_metadata.file_path", "_metadata.row_index")
+    marked = mark_duplicates_in_order(files, ["s.x", "d"]).where("NOT is_duplicate").collect()
+    first = min(r["file_path"] for r in files.collect())
+    assert sorted((r["s.x"], r["file_path"] == first, r["row_index"]) for r in marked) == [
+        ("a", True, 0), ("b", True, 1), ("c", True, 4)]
