@@ -229,20 +229,50 @@ def test_fingerprints_by_hand(spark, docs):
         edited = t[:len(t) - half] + nxt[:half]
         assert r["edited_sha256"] == sha(edited)
         for x, name in ((t, "fingerprint"), (edited, "edited_fingerprint")):
-            nodes = [sha(p) for p in x.split("\n")]
-            out, now = [], []
-            for k, (n, p) in enumerate(zip(nodes, x.split("\n"))):
-                now.append(n)
-                if k == len(nodes) - 1 or p == "" or n[0] in "01":
-                    out.append(sha("".join(now)))
-                    now = []
-            assert r[name] == sha("".join(out))
-        leaf = lambda x: set(re.findall(r"[^\n.!?]{1,64}[.!?]*", x))
+            assert r[name] == tree_by_hand(x)[0]
         for x, name in ((edited, "near_edited"), (nxt, "near_next")):
-            a, b = leaf(t), leaf(x)
-            if all(ord(c) < 0x10000 for c in t + x):
-                assert r[name] == pytest.approx(
-                    1.0 if t == x else len(a & b) / len(a | b) if a | b else 0.0)
+            assert r[name] == pytest.approx(likeness_by_hand(t, x))
+        a, b = t.split("\n"), edited.split("\n")
+        if t == edited:
+            assert r["edit_first_paragraph"] is None
+            continue
+        front = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+        back = next((k for k in range(min(len(a), len(b))) if a[-1 - k] != b[-1 - k]), min(len(a), len(b)))
+        assert r["edit_first_paragraph"] == front
+        assert r["edit_last_paragraph"] == max(front, len(b) - back - 1)
+
+
+def tree_by_hand(text):
+    """(root, all nodes below it with repeats) of a text's tree."""
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    roots, every, now, size = [], [], [], []
+    lines = text.split("\n")
+    for k, p in enumerate(lines):
+        leaf = [sha(x) for x in re.findall(r"[^.!?]{1,64}[.!?]*|[.!?]+", p)]
+        node = sha("".join(leaf))
+        every += [("leaf", x) for x in leaf] + [("paragraph", node)]
+        now.append(node)
+        if k == len(lines) - 1 or p == "" or node[0] in "01":
+            roots.append(sha("".join(now)))
+            every.append(("section", roots[-1]))
+            now = []
+    return sha("".join(roots)), Counter(every)
+
+
+def likeness_by_hand(a, b):
+    (ra, na), (rb, nb) = tree_by_hand(a), tree_by_hand(b)
+    common = sum((na & nb).values())
+    return 1.0 if ra == rb else common / (sum(na.values()) + sum(nb.values()) - common)
+
+
+def test_order_and_repeats_show_in_the_likeness(spark):
+    a = "One is here. Two is there.\nThird line.\n\nFourth! Fifth?"
+    texts = [a, "Third line.\nOne is here. Two is there.\n\nFourth! Fifth?", a + "\n" + a,
+             "Two is there. One is here.\nThird line.\n\nFourth! Fifth?", a]
+    rows = fingerprints.fingerprints(frame(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
+    for k, r in enumerate(rows):
+        assert r["near_next"] == pytest.approx(likeness_by_hand(texts[k], texts[(k + 1) % 5]))
+    assert all(0 < r["near_next"] < 1 for r in rows[:4]) and rows[4]["near_next"] == 1.0
 
 
 def test_fingerprints_without_ids_or_rows(spark):
