@@ -11,8 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from casaframe import schema
+from casaframe.functions.exprs import qcol
 from casaframe.functions.names import select_known_columns
 from casaframe.operators import drift as drift_ops
+from casaframe.operators import reference_profile
 from casaframe.operators.clean import clean_filter, clean_values, clean_view
 from casaframe.operators.duplicates import duplicate_report
 from casaframe.operators.features import feature_columns, prepare
@@ -39,6 +41,7 @@ class Paths:
     model_dir: str | None = None
     runlog: str | None = None
     report_dir: str | None = None
+    profile: str | None = None         # stored reference profile, for drift without the reference
 
 
 def ingest(spark: SparkSession, paths: Paths, run_log: RunLog | None = None,
@@ -144,6 +147,36 @@ def drift(spark: SparkSession, reference_path: str, current_path: str,
     return report, out
 
 
+def store_reference_profile(spark: SparkSession, reference_path: str, profile_path: str,
+                            part: str | None = None) -> int:
+    """Profile a reference data set and add its parts (by the column ``part``) to the stored profile."""
+    ref = read_tabular(spark, reference_path)
+    return reference_profile.add(
+        reference_profile.profile_of(ref, part=qcol(part) if part else None), profile_path)
+
+
+def drift_from_profile(spark: SparkSession, profile_path: str, current_path: str,
+                       reference_path: str | None = None,
+                       threshold: float = schema.DRIFT_SHARE_THRESHOLD) -> dict:
+    """The dataset's verdict against a stored profile.
+
+    Features that the profile leaves open are judged against the reference
+    where it is given; else they are listed, and the verdict is None if it
+    hangs on them.
+    """
+    cur = read_tabular(spark, current_path)
+    found = reference_profile.drift_of(reference_profile.load(spark, profile_path), cur)
+    if reference_path is not None:
+        found = reference_profile.settle(found, read_tabular(spark, reference_path), cur)
+    flags = {r["column_name"]: r["drifted"] for r in found.select("column_name", "drifted").collect()}
+    n, sure = max(len(flags), 1), sum(1 for f in flags.values() if f)
+    still_open = sorted(c for c, f in flags.items() if f is None)
+    least, most = sure / n, (sure + len(still_open)) / n
+    verdict = True if least >= threshold else False if most < threshold else None
+    return {"dataset_drift": verdict, "drift_share": round(least, 4), "undecided": still_open,
+            "per_feature_drift": flags}
+
+
 def run_step(spark: SparkSession, step: str, paths: Paths, reference: str | None = None,
              current: str | None = None, params: dict | None = None) -> dict:
     if step not in STEPS:
@@ -166,6 +199,8 @@ def run_step(spark: SparkSession, step: str, paths: Paths, reference: str | None
             report, path = drift(spark, reference, current, paths.report_dir)
             out["drift"] = {"dataset_drift": report.dataset_drift,
                             "drift_share": report.drift_share, "report": path}
+        elif current is not None and paths.profile and path_exists(spark, paths.profile):
+            out["drift"] = drift_from_profile(spark, paths.profile, current)
         elif step == "drift":
             raise SystemExit("drift needs both a reference and a current dataset (csv/parquet)")
         else:

@@ -580,6 +580,79 @@ def q_drift_report(spark, sf):
     return drift.drift_report(drift.drift_features(ref, cur, DRIFT_COLS))
 
 
+def _profile_drift_sql() -> str:
+    from casaframe.operators.reference_profile import OFFSET, PER_E, SHIFT
+    from casaframe.streaming.drift_monitor import limit_point
+
+    size = f"(floor(ln(CASE WHEN value = 0 THEN 1 ELSE abs(value) END) * {PER_E} + {OFFSET}) + {SHIFT})"
+    beyond = lambda d: (f"{d} > 0 AND {d} * sqrt(en) + 1.0 / (6.0 * sqrt(en)) + ({d} * sqrt(en) - 1.0) "
+                        f"/ (4.0 * en) > {limit_point(schema.KS_P_LIMIT)!r}")
+    share = lambda n, total: f"(({n}) + 0.0001) / ({total} + 0.001)"
+    return _with(
+        FIX, POOLED_SQL, LONG_SQL, STATS_SQL, BINS_SQL,
+        f"cells AS (SELECT column_name, CASE WHEN value = 0 THEN 0 WHEN value > 0 THEN {size} ELSE -{size} END "
+        "AS cell, count(*) FILTER (WHERE side = 0) AS a, count(*) FILTER (WHERE side = 1) AS b, "
+        "min(value) AS lo, max(value) AS hi, min(value) FILTER (WHERE side = 0) AS rlo, "
+        "max(value) FILTER (WHERE side = 0) AS rhi FROM long GROUP BY ALL)",
+        "cum AS (SELECT c.*, n0, n1, sum(a) OVER w AS ca, sum(b) OVER w AS cb FROM cells c JOIN stats USING "
+        "(column_name) WINDOW w AS (PARTITION BY column_name ORDER BY cell ROWS UNBOUNDED PRECEDING))",
+        "ks AS (SELECT column_name, max(abs(ca / n0 - cb / n1)) AS ks_low, max(CASE WHEN lo < hi THEN greatest("
+        "abs(ca / n0 - cb / n1), ca / n0 - (cb - b) / n1, cb / n1 - (ca - a) / n0) "
+        "ELSE abs(ca / n0 - cb / n1) END) AS ks_high FROM cum GROUP BY column_name)",
+        "edges AS (SELECT column_name, n0, n1, k, lo + k * ((hi - lo) / 10) AS cut FROM stats, "
+        "(SELECT CAST(range AS INTEGER) AS k FROM range(1, 10)))",
+        "inner_below AS (SELECT e.column_name, k, sum(CASE WHEN rhi < cut THEN a ELSE 0 END) AS low, "
+        "sum(CASE WHEN rlo < cut THEN a ELSE 0 END) AS top FROM edges e JOIN cells c USING (column_name) "
+        "WHERE a > 0 GROUP BY ALL)",
+        "below AS (FROM inner_below UNION ALL SELECT column_name, 0, 0, 0 FROM stats "
+        "UNION ALL SELECT column_name, 10, n0, n0 FROM stats)",
+        f"shares AS (SELECT h.column_name, {share('greatest(r.low - l.top, 0)', 'n0')} AS p0, "
+        f"{share('r.top - l.low', 'n0')} AS p1, {share('current_count', 'n1')} AS q FROM hist h "
+        "JOIN stats s USING (column_name) JOIN below l ON l.column_name = h.column_name AND l.k = h.bin "
+        "JOIN below r ON r.column_name = h.column_name AND r.k = h.bin + 1)",
+        "terms AS (SELECT column_name, p0 <= q AND q <= p1 AS held, (q - p0) * ln(q / p0) AS t0, "
+        "(q - p1) * ln(q / p1) AS t1 FROM shares)",
+        "ps AS (SELECT column_name, sum(CASE WHEN held THEN 0 ELSE least(t0, t1) END) AS psi_low, "
+        "sum(greatest(t0, t1)) AS psi_high FROM terms GROUP BY column_name)") + (
+        "SELECT column_name, CAST(n0 AS BIGINT) AS n_reference, CAST(n1 AS BIGINT) AS n_current, "
+        "round(psi_low, 6) AS psi_low, round(psi_high, 6) AS psi_high, round(ks_low, 6) AS ks_low, "
+        f"round(ks_high, 6) AS ks_high, CASE WHEN psi_low > {schema.PSI_LIMIT} OR ({beyond('ks_low')}) THEN true "
+        f"WHEN psi_high <= {schema.PSI_LIMIT} AND NOT ({beyond('ks_high')}) THEN false END AS drifted "
+        "FROM (SELECT *, round_even(CAST(n0 AS DOUBLE) * n1 / (n0 + n1), 0) AS en FROM stats JOIN ks USING "
+        "(column_name) JOIN ps USING (column_name))")
+
+
+def _stored_profile(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The profile of the reference side, stored by neighborhood and read again; the current side."""
+    from casaframe.operators import reference_profile as rp
+
+    ref, cur = fx.drift_pair(spark, sf)
+    path = shared_dir(spark, "scratch", "reference_profile", unique=True)
+    rp.add(rp.profile_of(ref, DRIFT_COLS, part=F.col("neighborhood")), path)
+    return rp.load(spark, path), cur
+
+
+@query("profile_drift", _profile_drift_sql())
+def q_profile_drift(spark, sf):
+    """Drift of the current side against the stored profile; the reference is not read again."""
+    from casaframe.operators import reference_profile as rp
+
+    stored, cur = _stored_profile(spark, sf)
+    score = ["psi_low", "psi_high", "ks_low", "ks_high"]
+    return rp.drift_of(stored, cur, DRIFT_COLS).select(
+        "column_name", "n_reference", "n_current", *[F.round(c, 6).alias(c) for c in score], "drifted")
+
+
+@query("profile_settled", DRIFT_BASE + "SELECT column_name, drifted FROM (" + DRIFT_FEATURES_SQL + ")")
+def q_profile_settled(spark, sf):
+    """The same flags as the exact test: what the stored profile leaves open is judged by it."""
+    from casaframe.operators import reference_profile as rp
+
+    stored, cur = _stored_profile(spark, sf)
+    ref, _ = fx.drift_pair(spark, sf)
+    return rp.settle(rp.drift_of(stored, cur, DRIFT_COLS), ref, cur)
+
+
 # ------------------------------------------------------------------ modelling (SQL forms)
 
 @query("train_test_split", _with(FIX) + "SELECT order_id, saleprice, "

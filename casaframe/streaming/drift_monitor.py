@@ -152,19 +152,26 @@ def window_counts(stream: DataFrame, ts_col: str, edges: dict[str, list[float]],
 
 
 def start_drift_monitor(spark: SparkSession, source_dir: str, source_schema: T.StructType, ts_col: str,
-                        reference: DataFrame, edges: dict[str, list[float]], sink_dir: str,
+                        reference: DataFrame | dict, edges: dict[str, list[float]], sink_dir: str,
                         checkpoint_dir: str, *, window: str = "30 days", watermark: str = "1 day",
                         psi_limit: float = schema.PSI_LIMIT, p_limit: float = schema.KS_P_LIMIT,
                         threshold: float = schema.DRIFT_SHARE_THRESHOLD, available_now: bool = True,
                         fmt: str = "parquet", max_files: int | None = None) -> StreamingQuery:
-    """Start the monitor; ``edges`` as of ``drift_stream.reference_edges``."""
+    """Start the monitor; ``edges`` as of ``drift_stream.reference_edges``.
+
+    ``reference`` may also be the counts per feature and bin that
+    ``reference_profile.frozen_bins`` returns with its edges; no reference is read then.
+    """
     reader = spark.readStream.schema(source_schema).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     counts = window_counts(reader.load(source_dir), ts_col, edges, window, watermark)
     names = list(edges)
-    held = {(r["column_name"], r["bin"]): r["reference_count"]
-            for r in reference_bins(reference, edges).collect()}  # features x bins
+    if isinstance(reference, dict):
+        held = {(c, k): n for c in names for k, n in enumerate(reference[c])}
+    else:
+        held = {(r["column_name"], r["bin"]): r["reference_count"]
+                for r in reference_bins(reference, edges).collect()}  # features x bins
     table = np.array([[held[c, k] for k in range(schema.PSI_BINS)] for c in names], dtype=np.int64)
     verdicts = counts.groupBy("start_ms", "end_ms").transformWithStateInPandas(
         WindowVerdict(names, table, psi_limit, p_limit, threshold), OUTPUT, "Append", "EventTime")
