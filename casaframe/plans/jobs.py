@@ -7,7 +7,7 @@ rule that ``drift`` needs both inputs (an error alone, a skip inside
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from casaframe import schema
@@ -72,6 +72,7 @@ def ingest_observed(spark: SparkSession, paths: Paths, run_log: RunLog | None =
         run_id = RunLog.new_run_id()
         run_log.log_metrics(run_id, "ingest", metrics_of(raw_result()))
         run_log.log_artifact(run_id, "ingest", "raw_data_stats.json", raw_result())
+        run_log.log_document(run_id, "ingest", "raw_profile", raw_result())
     return clean, kept_result(), violations()
 
 
@@ -130,7 +131,7 @@ def train(spark: SparkSession, paths: Paths, encoder: dict | None = None,
     persist_model(result, paths.model_dir, encoder=encoder)
     if run_log is not None:
         try:
-            run_log.register_model(schema.MODEL_NAME, run_id, paths.model_dir)
+            run_log.register_model(schema.MODEL_NAME, run_id, run_log.log_model(run_id, result, encoder))
         except Exception as exc:  # registration failure marks the run, then propagates
             run_log.log_params(run_id, "train", {"promotion_status": "failed",
                                                  "promotion_error": str(exc)[:250]})
@@ -197,6 +198,8 @@ def run_step(spark: SparkSession, step: str, paths: Paths, reference: str | None
     if step in ("drift", "full"):
         if reference is not None and current is not None:
             report, path = drift(spark, reference, current, paths.report_dir)
+            if log is not None:
+                log.log_document(RunLog.new_run_id(), "drift", "drift_report", asdict(report))
             out["drift"] = {"dataset_drift": report.dataset_drift,
                             "drift_share": report.drift_share, "report": path}
         elif current is not None and paths.profile and path_exists(spark, paths.profile):

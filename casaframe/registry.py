@@ -1000,6 +1000,27 @@ def q_ingest_log(spark, sf):
     return log.metrics().select("step", "key", "value").crossJoin(F.broadcast(last))  # one row
 
 
+@query("run_documents", DRIFT_BASE + "SELECT 'raw_profile' AS document, column_name AS key, "
+       "CAST(null_count AS DOUBLE) AS value FROM (" + ORACLE["raw_profile"].replace(_with(FIX), "") + ") UNION ALL "
+       "SELECT 'drift_report', column_name, psi FROM (" + DRIFT_FEATURES_SQL + ")")
+def q_run_documents(spark, sf):
+    """Nested metrics of two logged documents: missing cells of a profile, PSI scores of a drift report."""
+    from dataclasses import asdict
+
+    from casaframe.plans.runlog import RunLog
+
+    log = RunLog(spark, shared_dir(spark, "runlog", unique=True))
+    run_id = RunLog.new_run_id()
+    log.log_document(run_id, "ingest", "raw_profile",
+                     profile.profile_dict(profile.raw_profile(fx.properties_raw(spark, sf))))
+    ref, cur = fx.drift_pair(spark, sf)
+    report = drift.detect_drift(ref.select(*DRIFT_COLS), cur.select(*DRIFT_COLS))
+    log.log_document(run_id, "drift", "drift_report", asdict(report))
+    parts = [log.nested(name, path).select(F.lit(name).alias("document"), "key", "value")
+             for name, path in (("raw_profile", "$.null_counts"), ("drift_report", "$.psi_scores"))]
+    return parts[0].unionByName(parts[1])
+
+
 @query("metrics_log")
 def q_metrics_log(spark, sf):
     from casaframe.plans.runlog import RunLog

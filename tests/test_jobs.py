@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from casaframe import schema
 from casaframe.plans.jobs import Paths, run_step
 from casaframe.plans.runlog import RunLog, model_info
 from casaframe.sources import fixtures as fx
@@ -27,6 +28,15 @@ def test_full_run(spark, tmp_path):
     keys = {r.key for r in log.metrics().collect()}
     assert {"raw_rows", "raw_columns", "raw_total_nulls", "mae", "rmse", "r2", "best_model"} <= keys
     assert log.versions().first().version == 1
+    # the model is kept under its run; the next run leaves it as it is
+    kept = log.model_path(schema.MODEL_NAME)
+    assert f"run_id={log.versions().first().run_id}" in kept
+    assert model_info(spark, kept).drop("model_version").collect() == model_info(
+        spark, paths.model_dir).drop("model_version").collect()
+    r2 = log.nested("model", "$.metrics").where("key = 'r2'").first()
+    assert r2.value == out["train"]["r2"] and r2.run_id == log.versions().first().run_id
+    missing = {r.key: r.value for r in log.nested("raw_profile", "$.null_counts", "bigint").collect()}
+    assert missing["lot_frontage"] == raw.where("lot_frontage IS NULL").count()
     v = run_step(spark, "validate", paths)["validate"]
     assert v["summary"]["is_valid"] is True
     with pytest.raises(SystemExit):
@@ -38,6 +48,26 @@ def test_full_run(spark, tmp_path):
     c.write.parquet(cur)
     d = run_step(spark, "drift", paths, reference=ref, current=cur)["drift"]
     assert 0.0 <= d["drift_share"] <= 1.0 and d["report"].endswith(".json")
+    assert {r.key: r.value for r in log.nested("drift_report", "$.per_feature_drift", "boolean").collect()}
+    # the same step from a stored profile of the reference
+    from casaframe.plans.jobs import store_reference_profile
+    paths.profile = f"{w}/profile"
+    store_reference_profile(spark, ref, paths.profile, part="neighborhood")
+    p = run_step(spark, "drift", paths, current=cur)["drift"]
+    assert p["dataset_drift"] in (None, d["dataset_drift"])
+    assert set(p["undecided"]) == {c for c, f in p["per_feature_drift"].items() if f is None}
+
+
+def test_documents_of_many_runs(spark, tmp_path):
+    log = RunLog(spark, str(tmp_path / "log"))
+    assert log.documents().count() == 0 and log.nested("a").count() == 0
+    log.log_document("r1", "s", "a", {"m": {"x": 1.5, "y": float("nan"), "t": "word"}, "n": [1, 2]})
+    log.log_document("r2", "s", "a", {"m": {"x": 2}})
+    log.log_document("r3", "s", "a", {"other": 1})
+    log.log_document("r1", "s", "b", {"m": {"x": 9.0}})
+    got = {(r.run_id, r.key): r.value for r in log.nested("a", "$.m").collect()}
+    assert got == {("r1", "x"): 1.5, ("r1", "y"): None, ("r1", "t"): None, ("r2", "x"): 2.0}
+    assert log.model_path("nobody") is None
 
 
 def test_cli_parser_and_unknown_step(spark, tmp_path):
