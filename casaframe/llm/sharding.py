@@ -13,6 +13,12 @@ bin, narrows each node's interval to the bin that holds its quantile and
 goes on inside it, until the bin is under a thousandth of the node (or one
 point).  A round moves nodes x bins sums, whatever the size of the table.
 
+Slots are numbered in parts of about ``SLOT_ROWS`` rows, as many as the table
+needs; rows that are equal in everything and more than that many are dealt
+over parts of their own, which come after the others of their part, so no
+other row's slot hangs on the deal.  The deal is drawn when the rows are
+written, and is the same for every later reader of the table.
+
 Defined results: null texts count as empty; null metadata count as 0 or as
 the empty name; rows without an id have a place like any other; an empty
 table gives no rows.  The law is ``bytes``: shards of nearly equal size, as
@@ -24,14 +30,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casaframe.llm.common import written
+from casaframe.llm.common import join_small, written
 
 SHARDS = 16
 BINS = 64            # bins per node and round
 TOLERANCE = 1e-3     # weight of the split bin, as a share of its node, that ends the search
 ROUNDS = 8           # 64 ** 8 distinct places: as fine as a double
 SLOT_ROWS = 50_000   # rows numbered by one task
-MAX_PARTS = 4096     # parts of a shard that number their rows apart
 
 
 def _metadata(docs: DataFrame) -> dict[str, Column]:
@@ -158,18 +163,30 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         if "left" not in t:
             of_node = F.when(F.col("node") == t["node"], t["first"]).otherwise(of_node)
     leaf = pts.withColumn("node", locate(tree)).select("text_key", of_node.alias("shard"))
-    placed = written(rows.join(leaf, "text_key").drop("text_key"), "sharding_rows")
-    # slots: rows are numbered in parts of a shard; a part starts where the ones before it end
-    n = placed.count()
-    parts = max(1, min(MAX_PARTS, n // SLOT_ROWS))
-    part = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts))
-    placed = placed.withColumn("part", part)
-    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
-               .select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
-    order = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
-    return (placed.withColumn("at", F.row_number().over(order))
-            .join(F.broadcast(offsets), ["shard", "part"])  # at most shards * MAX_PARTS rows
-            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("base") + F.col("at") - 1).alias("slot"),
-                    F.lit(None).cast("int").alias("grown_shard")))
+    same = F.xxhash64("doc_id", "text_crc32", "size")  # a collision only deals more rows
+    placed = written(rows.join(leaf, "text_key").drop("text_key").withColumns(
+        {"same": same, "draw": F.monotonically_increasing_id()}), "sharding_rows")
+    return numbered(placed).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                                   F.lit(None).cast("int").alias("grown_shard"))
+
+
+def numbered(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``slot``: its rows numbered from 0 in every shard.
+
+    ``placed`` is a written table with shard, doc_id, text_crc32, size, a hash
+    ``same`` of equal rows and a number ``draw`` that spreads them.
+    """
+    parts = max(1, placed.count() // SLOT_ROWS)
+    hot = (placed.groupBy("same").agg(F.count("*").alias("n")).where(F.col("n") > SLOT_ROWS)
+           .select("same", F.ceil(F.col("n") / SLOT_ROWS).alias("deals")))
+    deal = F.when(F.col("deals").isNull(), 0).otherwise(1 + F.pmod("draw", "deals"))
+    dealt = (join_small(placed, written(hot, "sharding_hot"), "same", "left")
+             .withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts)))
+             .withColumn("deal", deal))
+    key = ["shard", "part", "deal"]
+    before = Window.partitionBy("shard").orderBy("part", "deal").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = written(dealt.groupBy(*key).agg(F.count("*").alias("n")).select(  # a row per part
+        *key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "sharding_offsets")
+    order = Window.partitionBy(*key).orderBy("doc_id", "text_crc32", "size")
+    return (join_small(dealt.withColumn("at", F.row_number().over(order)), offsets, key, "inner")
+            .withColumn("slot", F.col("base") + F.col("at") - 1))

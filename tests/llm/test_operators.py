@@ -715,6 +715,35 @@ def test_shards_of_ties_one_group_and_nothing(spark):
     assert sharding.shard(same.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_a_third_of_equal_rows_is_numbered_in_many_parts(spark, monkeypatch, small):
+    rows = [(i, f"text {i}") for i in range(400)] + [(7, "hot")] * 150 + [(None, None)] * 50
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 20)
+    if not small:
+        monkeypatch.setattr("casaframe.llm.common.MAX_BROADCAST_ROWS", -1)
+    seen = []
+    real = sharding.written
+
+    def keep(df, name):
+        out = real(df, name)
+        if name == "sharding_offsets":
+            seen.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(sharding, "written", keep)
+    got = sharding.shard(frame(spark, rows), 4).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({r["deal"] for r in seen}) > 8 and len({r["part"] for r in seen}) == 30
+    # the slots of rows that are not dealt are the same each time
+    again = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard(
+        frame(spark, rows).repartition(7), 4).collect() if r["doc_id"] not in (None, 7)}
+    assert again == {r["doc_id"]: (r["shard"], r["slot"]) for r in got if r["doc_id"] not in (None, 7)}
+
+
 # ------------------------------------------------------------------ 10 personal data
 
 def plain_base(t):
