@@ -4,10 +4,10 @@ Fingerprints are 64-bit SimHashes of word shingles.  Two fingerprints at
 most ``max_distance`` bits apart differ in at most that many of their 8
 bytes, so they agree in at least ``8 - max_distance`` byte positions: the
 guaranteed minimum of matches.  The index posts every distinct fingerprint
-under each choice of that many positions with the bytes found there, so
-only pairs that reach the minimum ever meet.  Within a posting the matching
-bytes are tallied, pairs below the minimum dropped, the rest verified by bit
-count.
+under each choice of ``posted`` positions with the bytes found there, one
+fewer than the minimum, so a pair that meets has yet to reach it: its shared
+positional bytes are tallied, pairs below the minimum dropped, the rest
+verified by bit count.
 
 Only links are needed that keep the groups connected, so a posting is
 searched breadth first (a fingerprint leaves the search once reached) and
@@ -39,6 +39,7 @@ from casaframe.session import reliable_checkpoint
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
 SEED = 42
+POSTED = 3           # byte positions of one posting, at most 8 - MAX_DISTANCE
 BLOCK = 1 << 15      # fingerprints of one posting compared in one task
 SALTS = 16           # parts of a fingerprint's documents when ids are looked up
 
@@ -74,12 +75,12 @@ def with_fingerprints(docs: DataFrame, name: str, *, keep: list[str],
     return append_columns(docs, keep, f"`{name}` long", make)
 
 
-def _positions(max_distance: int) -> list[tuple[int, ...]]:
-    return list(combinations(range(8), 8 - max_distance))
+def _positions(posted: int) -> list[tuple[int, ...]]:
+    return list(combinations(range(8), posted))
 
 
-def _posting_masks(max_distance: int) -> list[int]:
-    return [sum(0xFF << (8 * p) for p in ps) for ps in _positions(max_distance)]
+def _posting_masks(posted: int) -> list[int]:
+    return [sum(0xFF << (8 * p) for p in ps) for ps in _positions(posted)]
 
 
 def _signed(x: int) -> int:
@@ -91,13 +92,14 @@ def _matching(x: np.ndarray) -> np.ndarray:
     return x.view(np.uint8).reshape(-1, 8) == 0
 
 
-def forest(fps: np.ndarray, posting: int, max_distance: int) -> Iterator[tuple[int, int]]:
+def forest(fps: np.ndarray, posting: int, max_distance: int,
+           posted: int = POSTED) -> Iterator[tuple[int, int]]:
     """Links of a posting's distinct fingerprints: a spanning forest by breadth-first search.
 
     Left out are links whose pair already meets under an earlier posting;
     there it is connected, if not by this link then by others.
     """
-    first = {ps: k for k, ps in enumerate(_positions(max_distance))}
+    first = {ps: k for k, ps in enumerate(_positions(posted))}
     need = 8 - max_distance
     left = fps.astype("<i8").view(np.uint64)
     while len(left) > 1:
@@ -110,7 +112,7 @@ def forest(fps: np.ndarray, posting: int, max_distance: int) -> Iterator[tuple[i
             if not len(near):
                 continue
             for b, agree in zip(left[near], _matching(x[near])):
-                if first[tuple(np.flatnonzero(agree)[:need].tolist())] == posting:
+                if first[tuple(np.flatnonzero(agree)[:posted].tolist())] == posting:
                     yield _signed(int(a)), _signed(int(b))
             queue.extend(left[near])
             left = np.delete(left, near)
@@ -119,9 +121,9 @@ def forest(fps: np.ndarray, posting: int, max_distance: int) -> Iterator[tuple[i
 class _Postings:
     """Walks sorted rows (posting, at, fp); collects links, and blocks of long postings."""
 
-    def __init__(self, max_distance: int, block: int):
-        self.max_distance, self.block = max_distance, block
-        self.masks = np.array(_posting_masks(max_distance), dtype=np.uint64)
+    def __init__(self, max_distance: int, block: int, posted: int):
+        self.max_distance, self.block, self.posted = max_distance, block, posted
+        self.masks = np.array(_posting_masks(posted), dtype=np.uint64)
         self.key, self.parts, self.n, self.flushed = None, [], 0, 0
         self.found: list[tuple] = []   # (a, b, posting, at, part); links have part -1
 
@@ -135,7 +137,7 @@ class _Postings:
             self._flush(fps)
         elif len(fps) > 1:
             self.found += [(a, b, 0, 0, -1) for a, b in
-                           forest(fps, self.key[0], self.max_distance)]
+                           forest(fps, self.key[0], self.max_distance, self.posted)]
         self.key, self.parts, self.n, self.flushed = None, [], 0, 0
 
     def feed(self, key: tuple[int, int], fps: np.ndarray) -> None:
@@ -170,7 +172,7 @@ class _Postings:
               & (np.bitwise_count(x) <= self.max_distance))
         # the first posting that holds the pair has the pair's first agreeing bytes
         rank = np.cumsum(agree, axis=1)
-        taken = agree & (rank <= 8 - self.max_distance)
+        taken = agree & (rank <= self.posted)
         mask = (taken * (np.uint64(0xFF) << (np.uint64(8) * np.arange(8, dtype=np.uint64)))
                 ).sum(axis=1, dtype=np.uint64)
         ok &= mask == self.masks[posting[at]]
@@ -185,22 +187,26 @@ class _Postings:
 
 
 def links(distinct: DataFrame, fp: str, *, max_distance: int = MAX_DISTANCE,
-          block: int = BLOCK) -> DataFrame:
+          block: int = BLOCK, posted: int = POSTED) -> DataFrame:
     """(a, b): links that connect exactly the fingerprints connected by all links.
 
-    ``distinct`` holds every fingerprint once, as a long.
+    ``distinct`` holds every fingerprint once, as a long.  More ``posted``
+    positions, up to the guaranteed minimum, mean shorter postings but more of
+    them.
     """
+    if not 1 <= posted <= 8 - max_distance:
+        raise ValueError(f"posted must be between 1 and {8 - max_distance}")
     spark = distinct.sparkSession
-    posted = distinct.select(F.col(fp).alias("fp"), F.explode(F.array(*[
+    entries = distinct.select(F.col(fp).alias("fp"), F.explode(F.array(*[
         F.struct(F.lit(k).cast("long").alias("posting"),
                  F.col(fp).bitwiseAND(F.lit(_signed(m))).alias("at"))
-        for k, m in enumerate(_posting_masks(max_distance))])).alias("p"))
-    dealt = (posted.select("p.posting", "p.at", "fp")
+        for k, m in enumerate(_posting_masks(posted))])).alias("p"))
+    dealt = (entries.select("p.posting", "p.at", "fp")
              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "posting", "at")
              .sortWithinPartitions("posting", "at", "fp"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        walker = _Postings(max_distance, block)
+        walker = _Postings(max_distance, block, posted)
         for pdf in batches:
             if len(pdf):
                 walker.batch(*(pdf[c].to_numpy(dtype=np.int64) for c in ("posting", "at", "fp")))
@@ -222,7 +228,8 @@ def links(distinct: DataFrame, fp: str, *, max_distance: int = MAX_DISTANCE,
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         fps = np.sort(pdf["fp"].to_numpy(dtype=np.int64))
-        return pd.DataFrame(list(forest(fps, int(pdf["posting"].iloc[0]), max_distance)),
+        return pd.DataFrame(list(forest(fps, int(pdf["posting"].iloc[0]), max_distance,
+                                        posted)),
                             columns=["a", "b"], dtype=np.int64)
 
     return short.unionByName(met.groupBy("posting", "at", "i", "j")
@@ -258,7 +265,7 @@ def components(edges: DataFrame, own: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS,
-           max_distance: int = MAX_DISTANCE, block: int = BLOCK) -> DataFrame:
+           max_distance: int = MAX_DISTANCE, block: int = BLOCK, posted: int = POSTED) -> DataFrame:
     """(doc_id, th, fp, least) of every row.
 
     ``th`` is a hash of the text, ``least`` (lost, doc_id, th) the first row
@@ -270,7 +277,7 @@ def groups(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS,
     # a fingerprint shared by many documents is summed up before anything is joined
     label = F.min(F.struct(F.isnull("doc_id").alias("lost"), "doc_id", "th")).alias("label")
     distinct = written(prints.groupBy("fp").agg(label), "simhash_distinct")
-    edges = links(distinct, "fp", max_distance=max_distance, block=block)
+    edges = links(distinct, "fp", max_distance=max_distance, block=block, posted=posted)
     linked = components(edges, distinct.select(F.col("fp").alias("node"), "label"))
     final = (distinct.join(linked.select(F.col("node").alias("fp"), F.col("label").alias("found")),
                            "fp", "left")

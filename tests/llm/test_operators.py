@@ -641,8 +641,8 @@ def test_simhash_by_brute_force(spark, docs):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block", [1 << 15, 7])
-def test_links_connect_what_brute_force_connects(spark, block):
+@pytest.mark.parametrize("block, posted", [(1 << 15, 3), (7, 3), (1 << 15, 4), (7, 1)])
+def test_links_connect_what_brute_force_connects(spark, block, posted):
     """Dense clusters, chains of small steps and lone fingerprints; long postings go in blocks."""
     rng = random.Random(8)
     fps = {rng.getrandbits(64) for _ in range(120)}
@@ -661,7 +661,7 @@ def test_links_connect_what_brute_force_connects(spark, block):
     fps = sorted(fps)
     signed = [simhash._signed(f) for f in fps]
     df = spark.createDataFrame([(f, i) for i, f in enumerate(signed)], "fp long, label long")
-    edges = simhash.links(df.select("fp"), "fp", block=block)
+    edges = simhash.links(df.select("fp"), "fp", block=block, posted=posted)
     for r in edges.collect():
         assert bin((r["a"] ^ r["b"]) & (2 ** 64 - 1)).count("1") <= 4
     found = {r["node"]: r["label"] for r in simhash.components(
@@ -669,6 +669,18 @@ def test_links_connect_what_brute_force_connects(spark, block):
     assert [found.get(f, i) for i, f in enumerate(signed)] == plain_components(fps, range(len(fps)))
 
 
+def test_count_filter_drops_pairs_below_the_guaranteed_minimum():
+    """Three shared bytes meet in a posting, but only four may be within 4 bits."""
+    a = 0
+    three = sum(1 << (8 * p) for p in range(3, 8))       # bytes 0-2 agree, 5 bits differ
+    four = sum(1 << (8 * p) for p in range(4, 8))        # bytes 0-3 agree, 4 bits differ
+    fps = np.array([a, three, four], dtype="<i8")
+    assert list(simhash.forest(fps[:2], 0, 4)) == []
+    assert (a, four) in [tuple(sorted(e)) for e in simhash.forest(fps, 0, 4)]
+    with pytest.raises(ValueError):
+        simhash.links(None, "fp", posted=5)
+
+
 def test_one_of_each_group_stays(spark, docs):
     odd = docs.withColumn("fp", F.lit("own")).withColumn("least", F.lit(1)).withColumn("th", F.lit(1))
     kept = simhash.one_of_each(odd)
