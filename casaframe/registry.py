@@ -299,6 +299,27 @@ def q_validate_summary_clean(spark, sf):
     return validate.validate_summary(fx.properties_clean(spark, sf))
 
 
+def _gate_sql() -> str:
+    one = lambda source: ("SELECT '" + source + "' AS source, is_valid AS passed, CASE WHEN is_valid THEN '' "
+                          "ELSE 'dataset is not valid: ' || errors END AS message, validated_rows FROM ("
+                          + _summary_sql(source) + ")")
+    return one("properties_raw") + " UNION ALL " + one("properties_clean")
+
+
+@query("contract_gate", _gate_sql())
+def q_contract_gate(spark, sf):
+    """What the gate says of the raw and of the clean table: rows let through, or the broken rules."""
+    said = []
+    for source, make in (("properties_raw", fx.properties_raw), ("properties_clean", fx.properties_clean)):
+        try:
+            rows, message = validate.require_valid(validate.validate_summary(make(spark, sf))), ""
+        except ValueError as e:
+            rows, message = 0, str(e)
+        said.append((source, not message, message, rows))
+    return spark.createDataFrame(
+        said, "source string, passed boolean, message string, validated_rows bigint")
+
+
 def _request_sql() -> str:
     msgs, counts = [], []
     for name, kind, required, lo, lo_incl, hi in schema.REQUEST_FIELDS:
@@ -555,6 +576,34 @@ def q_ks_pvalue(spark, sf):
         "column_name", F.round("ks_pvalue", 6).alias("ks_pvalue"))
 
 
+# A lattice path inside the band |i/n0 - j/n1| < d; ``p`` holds, per point i of the
+# anti-diagonal s, the share of paths to it that stayed inside.
+EXACT_SQL = (
+    "long AS (SELECT 'acctbal' AS column_name, 0 AS side, CAST(c_acctbal AS DOUBLE) AS value FROM customer "
+    "UNION ALL SELECT 'acctbal', 1, CAST(s_acctbal AS DOUBLE) FROM supplier)", KS_SQL,
+    "size AS (SELECT *, CAST(round(d * lcm(n_reference, n_current)) AS BIGINT) AS h, "
+    "lcm(n_reference, n_current) // n_reference AS a, lcm(n_reference, n_current) // n_current AS b FROM ks)",
+    "walk(s, p) AS (SELECT CAST(0 AS BIGINT), list_transform(range(0, n_reference + 1), "
+    "lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FROM size UNION ALL "
+    "SELECT s + 1, list_transform(range(0, n_reference + 1), lambda i: CASE "
+    "WHEN i > s + 1 OR s + 1 - i > n_current OR abs(i * a - (s + 1 - i) * b) >= h THEN 0.0::DOUBLE "
+    "ELSE (CASE WHEN i > 0 THEN p[i] * i ELSE 0.0 END + p[i + 1] * (s + 1 - i)) / (s + 1) END) "
+    "FROM walk, size WHERE s < n_reference + n_current)")
+
+
+@query("ks_exact", "WITH RECURSIVE " + ", ".join(EXACT_SQL) +
+       " SELECT column_name, n_reference, n_current, round(d, 6) AS ks_statistic, "
+       "round(CASE WHEN h = 0 THEN 1.0 ELSE 1.0 - p[n_reference + 1] END, 6) AS ks_pvalue "
+       "FROM walk JOIN size ON s = n_reference + n_current")
+def q_ks_exact(spark, sf):
+    """Do balances of customers and suppliers differ?  The exact law, at any size."""
+    ref = fx.table(spark, sf, "customer").select(F.col("c_acctbal").cast("double").alias("acctbal"))
+    cur = fx.table(spark, sf, "supplier").select(F.col("s_acctbal").cast("double").alias("acctbal"))
+    return drift.ks_test(ref, cur, ["acctbal"], method="exact").select(
+        "column_name", "n_reference", "n_current", F.round("ks_statistic", 6).alias("ks_statistic"),
+        F.round("ks_pvalue", 6).alias("ks_pvalue"))
+
+
 DRIFT_FEATURES_SQL = (
     "SELECT s.column_name, CAST(s.n0 AS BIGINT) AS n_reference, CAST(s.n1 AS BIGINT) AS n_current, "
     "CASE WHEN psi.psi IS NULL THEN 0.0 ELSE round(psi.psi, 6) END AS psi, "
@@ -580,6 +629,25 @@ def q_drift_report(spark, sf):
     return drift.drift_report(drift.drift_features(ref, cur, DRIFT_COLS))
 
 
+@query("drift_report_file", DRIFT_BASE + "SELECT column_name, psi, ks_pvalue, drifted, "
+       "(count(*) FILTER (WHERE drifted) OVER ()) / (count(*) OVER ()) >= 0.1 AS dataset_drift, "
+       "round((count(*) FILTER (WHERE drifted) OVER ()) / (count(*) OVER ()), 4) AS drift_share "
+       "FROM (" + DRIFT_FEATURES_SQL + ")")
+def q_drift_report_file(spark, sf):
+    """The saved report read back; its features are the numeric columns that both sides have."""
+    ref, cur = (side.select(*DRIFT_COLS, "neighborhood") for side in fx.drift_pair(spark, sf))
+    path = shared_dir(spark, "scratch", "drift_report", unique=True)
+    drift.save_drift_report(drift.detect_drift(ref, cur), path, spark)
+    saved = spark.read.schema(
+        "dataset_drift boolean, drift_share double, psi_scores map<string, double>, "
+        "ks_pvalues map<string, double>, per_feature_drift map<string, boolean>").json(path)
+    return saved.select("dataset_drift", "drift_share", "psi_scores", "ks_pvalues",
+                        F.explode("per_feature_drift").alias("column_name", "drifted")).select(
+        "column_name", F.col("psi_scores")[F.col("column_name")].alias("psi"),
+        F.col("ks_pvalues")[F.col("column_name")].alias("ks_pvalue"), "drifted", "dataset_drift",
+        "drift_share")
+
+
 def _profile_drift_sql() -> str:
     from casaframe.operators.reference_profile import OFFSET, PER_E, SHIFT
     from casaframe.streaming.drift_monitor import limit_point
