@@ -406,6 +406,8 @@ def kolmogorov_sf(z: Column, terms: int = 100) -> Column:
     return F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0))
 
 
+LOG_NEGLIGIBLE = -45.0  # shares of paths below exp(-45) = 3e-20 do not change a double near 1
+WALK_STEPS = 4096    # steps of the lattice walk whose bounds are computed at once
 FINITE_MAX_N = 2000  # effective size up to which the one-sample law is summed exactly
 
 
@@ -470,30 +472,46 @@ def ks_asymptotic_pvalue(d: Column, n1: Column, n2: Column) -> Column:
 def ks_exact_pvalue(n1: int, n2: int, d: float) -> float:
     """Two-sided exact p-value: share of lattice paths that leave the band |i/n1 - j/n2| < d.
 
-    Walks the anti-diagonals of the (n1+1) x (n2+1) grid keeping, per point,
-    the probability that a uniformly random path reaches it inside the band.
+    Walks the anti-diagonals of the (n1+1) x (n2+1) grid keeping, per point
+    inside the band, the probability that a uniformly random path reaches it
+    inside the band.  i counts the smaller sample (the law is symmetric).
+
+    A path is at i after s steps by the hypergeometric law, so by Hoeffding's
+    bound it strays t from its mean with probability exp(-2 t^2 / n1) at most;
+    a band that all paths but a share below double precision stay in is not
+    walked, and one that is walked has at most some ten times sqrt(n1) points.
     """
-    n1, n2 = int(n1), int(n2)
+    n1, n2 = sorted((int(n1), int(n2)))
+    steps = n1 + n2
     g = math.gcd(n1, n2)
     lcm = (n1 // g) * n2
     h = int(round(d * lcm))
     if h == 0:
         return 1.0
     a, b = lcm // n1, lcm // n2
-    prev = np.zeros(n1 + 1)
-    prev[0] = 1.0
-    idx = np.arange(n1 + 1)
-    for s in range(1, n1 + n2 + 1):
-        lo, hi = max(0, s - n2), min(n1, s)
-        i = idx[lo:hi + 1]
-        from_i = np.where(i >= 1, prev[np.maximum(i - 1, 0)], 0.0)
-        from_j = np.where(s - i >= 1, prev[i], 0.0)
-        val = (from_i * i + from_j * (s - i)) / s
-        val[np.abs(i * a - (s - i) * b) >= h] = 0.0
-        cur = np.zeros(n1 + 1)
-        cur[lo:hi + 1] = val
-        prev = cur
-    return float(min(max(1.0 - prev[n1], 0.0), 1.0))
+    half = h / (a + b)  # half the band's width in i
+    if math.log(2 * steps) - 2.0 * half * half / n1 < LOG_NEGLIGIBLE:
+        return 0.0
+    at = np.zeros(n1 + 2)  # the point i is at[i + 1]; zero outside the band
+    at[1] = 1.0
+    idx, low = np.arange(n1 + 1, dtype="float64"), 0
+    for start in range(1, steps + 1, WALK_STEPS):
+        s = np.arange(start, min(start + WALK_STEPS, steps + 1))
+        los = np.maximum(np.maximum(s - n2, 0), (s * b - h) // (a + b) + 1)
+        his = np.minimum(np.minimum(s, n1), -((-s * b - h) // (a + b)) - 1)
+        # no point of a diagonal is inside, or none that paths still reach by any share worth a digit
+        if (los > his).any() or at.max() < math.exp(LOG_NEGLIGIBLE):
+            return 1.0
+        for k, lo, hi in zip(s.tolist(), los.tolist(), his.tolist()):
+            here = at[lo + 1:hi + 2]
+            moved = at[lo:hi + 1] - here  # (before * i + here * (k - i)) / k
+            moved *= idx[lo:hi + 1]
+            moved /= k
+            here += moved
+            if lo > low:
+                at[lo] = 0.0
+                low = lo
+    return float(min(max(1.0 - at[n1 + 1], 0.0), 1.0))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -510,7 +528,8 @@ def _exact_pvalue_udf(n1: pd.Series, n2: pd.Series, d: pd.Series) -> pd.Series:
 def ks_pvalue(n1: Column, n2: Column, d: Column, method: str = "auto") -> Column:
     """p-value: exact up to 10000 values per side (``auto``), else by the one-sample law.
 
-    ``method="exact"`` walks the lattice at any size (n1 + n2 steps of n1 points).
+    ``method="exact"`` walks the lattice at any size: n1 + n2 steps of at most some
+    ten times the root of the smaller size points.
     """
     asym = ks_asymptotic_pvalue(d, n1, n2)
     if method == "asymp":

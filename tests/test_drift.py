@@ -205,3 +205,39 @@ def test_save_report(spark, tmp_path):
     rows = [json.loads(x.value) for x in spark.read.text(out).collect()]
     assert len(rows) == 1 and rows[0]["report_name"] == name
     assert {k: rows[0][k] for k in vars(found)} == vars(found)
+
+
+def _all_points_pvalue(n1, n2, d):
+    """The lattice walk over every point of every anti-diagonal, in fractions."""
+    from fractions import Fraction
+
+    prev = {0: Fraction(1)}
+    for s in range(1, n1 + n2 + 1):
+        prev = {i: (prev.get(i - 1, 0) * i + prev.get(i, 0) * (s - i)) / Fraction(s)
+                for i in range(max(0, s - n2), min(n1, s) + 1)
+                if abs(Fraction(i, n1) - Fraction(s - i, n2)) < d}
+    return float(1 - prev.get(n1, 0))
+
+
+def test_banded_walk_equals_the_full_one():
+    from fractions import Fraction
+    from math import lcm
+
+    for n1, n2 in ((1, 1), (1, 7), (5, 5), (9, 4), (12, 30), (31, 17)):
+        whole = lcm(n1, n2)
+        for h in {1, 2, whole // 5, whole // 3, whole // 2, whole - 1, whole} - {0}:
+            want = _all_points_pvalue(n1, n2, Fraction(h, whole))
+            for p in (drift.ks_exact_pvalue(n1, n2, h / whole), drift.ks_exact_pvalue(n2, n1, h / whole)):
+                assert p == pytest.approx(want, abs=1e-12), (n1, n2, h)
+
+
+def test_exact_walk_over_large_samples_keeps_to_the_band(spark):
+    import time
+
+    start = time.time()
+    got = drift.ks_exact_pvalue(300_000, 20_000, 0.01)
+    assert time.time() - start < 30  # all points of all diagonals: minutes
+    near = spark.range(1).select(drift.ks_asymptotic_pvalue(F.lit(0.01), F.lit(300_000), F.lit(20_000))).first()[0]
+    assert got == pytest.approx(near, rel=0.02)
+    assert drift.ks_exact_pvalue(900_000, 60_000, 0.2) == 0.0
+    assert drift.ks_exact_pvalue(900_000, 60_000, 0.0002) == 1.0
