@@ -20,10 +20,12 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,7 @@ KS_CELLS = 4096  # parts that one pass counts, over all features
 LEAST_PARTS = 8  # into which an open bin is split at least
 LOG_RATIO = 1024.0  # a cell whose ends differ more is split by logarithms
 KS_FINISH = 4096  # open values that are read rather than split again
+KS_KEEP = 8_000_000  # open values that are kept for later passes rather than read again
 BULK = 0.001     # share of the values left out on either end of the fine bins' range
 
 
@@ -194,7 +197,8 @@ def ks_statistic(reference: DataFrame, current: DataFrame,
     columns = numeric_columns(reference, current) if columns is None else columns
     both = pooled(reference, current, columns)
     stats = side_stats(both, columns, bulk=True, finite=False)
-    found = ks_from_histogram(both, stats, histogram(both, stats))
+    found = ks_from_histogram(both, stats, histogram(both, stats),
+                              only=lambda names: pooled(reference, current, names))
     return reference.sparkSession.createDataFrame(
         [(c, stats[c]["n0"], stats[c]["n1"], found.get(c)) for c in columns
          if stats[c]["n0"] + stats[c]["n1"]],
@@ -332,7 +336,8 @@ def _part(parts: int) -> Column:
 
 def ks_from_histogram(both: DataFrame, stats: dict[str, dict], hist: list,
                       edges: dict[str, list[float]] | None = None,
-                      trace: list[dict] | None = None) -> dict[str, float]:
+                      trace: list[dict] | None = None,
+                      only: Callable[[list[str]], DataFrame] | None = None) -> dict[str, float]:
     """D per feature by branch and bound; ``edges`` must be those of ``histogram``.
 
     Bins that may hold a larger gap than the largest seen are split again, and
@@ -340,6 +345,10 @@ def ks_from_histogram(both: DataFrame, stats: dict[str, dict], hist: list,
     chain of broadcast lookups (a row per open bin).  Every pass shrinks what
     is open, until at most KS_FINISH values are left to read.  No value is
     ordered or moved but these.  ``trace`` gets a record per pass.
+
+    ``only`` gives the rows of ``pooled`` for some of its columns: features
+    that the histogram settles are not read again.  Open values that are
+    KS_KEEP or fewer are kept on the executors for the passes after.
     """
     gaps = Gaps(stats)
     done = dict.fromkeys(gaps.n, (0, 0))
@@ -351,31 +360,43 @@ def ks_from_histogram(both: DataFrame, stats: dict[str, dict], hist: list,
     spark, rows, on = both.sparkSession, None, ["column_name", "fine", "bin"]
     sides = (F.count_if(F.col("side") == SIDE_REF).alias("n_ref"),
              F.count_if(F.col("side") == SIDE_CUR).alias("n_cur"))
-    while cells:
-        left, parts = sum(x.n for x in cells), max(LEAST_PARTS, min(KS_BINS, KS_CELLS // len(cells)))
-        table = spark.createDataFrame(
-            [(*((x.column,) if rows is None else ()), *x.key, i, *_split(x, parts))
-             for i, x in enumerate(cells)],
-            ("column_name string, fine int, bin int, " if rows is None else "cell int, part int, ")
-            + "next int, sign double, base double, width double, cut double")
-        source = with_bins(both, edges, _filled(stats)) if rows is None else rows
-        rows = source.join(F.broadcast(table), on).select(  # a row per open bin: bounded
-            F.col("next").alias("cell"), "side", "value", _part(parts).alias("part"))
-        on = ["cell", "part"]
-        if trace is not None:
-            trace.append({"values": left, "cells": len(cells), "finish": left <= KS_FINISH})
-        if left <= KS_FINISH:
-            for c, a, b in _walk(cells, rows.groupBy("cell", "value").agg(*sides).collect()):
-                gaps.see(c, a, b)
-            break
-        found = rows.groupBy("cell", "part").agg(
-            *sides, F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
-        at = {}
-        for r in sorted(found, key=lambda r: (r["cell"], r["part"])):
-            x = cells[r["cell"]]
-            at[r["cell"]] = gaps.part(x.column, (r["cell"], r["part"]), *at.get(r["cell"], (x.a, x.b)),
-                                      r["n_ref"], r["n_cur"], r["lo"], r["hi"])
-        cells = gaps.open()
+    kept = None
+    try:
+        while cells:
+            left, parts = sum(x.n for x in cells), max(LEAST_PARTS, min(KS_BINS, KS_CELLS // len(cells)))
+            table = spark.createDataFrame(
+                [(*((x.column,) if rows is None else ()), *x.key, i, *_split(x, parts))
+                 for i, x in enumerate(cells)],
+                ("column_name string, fine int, bin int, " if rows is None else "cell int, part int, ")
+                + "next int, sign double, base double, width double, cut double")
+            if rows is None:
+                names = {x.column for x in cells}
+                source = with_bins(only([c for c in stats if c in names]) if only else both, *(
+                    x and {c: v for c, v in x.items() if c in names} for x in (edges, _filled(stats))))
+            else:
+                source = rows
+            rows = source.join(F.broadcast(table), on).select(  # a row per open bin: bounded
+                F.col("next").alias("cell"), "side", "value", _part(parts).alias("part"))
+            on = ["cell", "part"]
+            if KS_FINISH < left <= KS_KEEP and kept is None:
+                kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            if trace is not None:
+                trace.append({"values": left, "cells": len(cells), "finish": left <= KS_FINISH})
+            if left <= KS_FINISH:
+                for c, a, b in _walk(cells, rows.groupBy("cell", "value").agg(*sides).collect()):
+                    gaps.see(c, a, b)
+                break
+            found = rows.groupBy("cell", "part").agg(
+                *sides, F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+            at = {}
+            for r in sorted(found, key=lambda r: (r["cell"], r["part"])):
+                x = cells[r["cell"]]
+                at[r["cell"]] = gaps.part(x.column, (r["cell"], r["part"]), *at.get(r["cell"], (x.a, x.b)),
+                                          r["n_ref"], r["n_cur"], r["lo"], r["hi"])
+            cells = gaps.open()
+    finally:
+        if kept is not None:
+            kept.unpersist()
     return gaps.best
 
 
@@ -578,7 +599,8 @@ def drift_features(reference: DataFrame, current: DataFrame, columns: list[str]
         both = both.where(F.col("column_name").isin(usable))
         hist = histogram(both, {c: stats[c] for c in usable}, edges)
         psi_df = psi_from_bins(psi_bins_of(spark, hist, usable))
-        found = ks_from_histogram(both, {c: stats[c] for c in usable}, hist, edges)
+        found = ks_from_histogram(both, {c: stats[c] for c in usable}, hist, edges,
+                                  only=lambda names: pooled(reference, current, names))
         ks_df = spark.createDataFrame([(c, found[c]) for c in usable],
                                       "column_name string, ks_statistic double")
         scores = psi_df.join(ks_df, "column_name")
