@@ -241,3 +241,22 @@ def test_exact_walk_over_large_samples_keeps_to_the_band(spark):
     assert got == pytest.approx(near, rel=0.02)
     assert drift.ks_exact_pvalue(900_000, 60_000, 0.2) == 0.0
     assert drift.ks_exact_pvalue(900_000, 60_000, 0.0002) == 1.0
+
+
+def test_ks_narrowing_reads_only_features_still_open(spark, monkeypatch):
+    # few distinct values are settled by the histogram; the smooth column takes several passes
+    rng = np.random.default_rng(15)
+    n = 60_000
+    ref = {"few": rng.integers(0, 9, n).astype(float), "smooth": rng.normal(size=n)}
+    cur = {"few": rng.integers(0, 9, n).astype(float), "smooth": rng.normal(size=n)}
+    r, c = _frames(spark, ref, cur)
+    asked, whole = [], drift.pooled
+    monkeypatch.setattr(drift, "pooled", lambda a, b, names: asked.append(list(names)) or whole(a, b, names))
+    want = {k: _largest_gap(ref[k], cur[k]) for k in ref}
+    for keep in (drift.KS_KEEP, 0):  # open values kept, or read again by every pass
+        asked.clear()
+        monkeypatch.setattr(drift, "KS_KEEP", keep)
+        got = {x.column_name: x.ks_statistic for x in drift.ks_statistic(r, c).collect()}
+        assert got == pytest.approx(want, abs=1e-12)
+        assert asked == [["few", "smooth"], ["smooth"]]
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 0
