@@ -39,3 +39,10 @@ def valid_frame(spark):
         "overall_qual bigint, gr_liv_area double, total_bsmt_sf double, full_bath bigint, "
         "bedroom_abvgr bigint, garage_cars double, garage_area double, lot_frontage double, "
         "neighborhood string, saleprice double")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def _no_cached_frames_left(spark):
+    """A module's cached frames end with it: others count what is kept."""
+    yield
+    spark.catalog.clearCache()
